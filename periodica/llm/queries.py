@@ -1,13 +1,17 @@
 """The queries of this subpackage and, where SQL can express them, their SQL."""
 
+from .bpe import op1_bpe
 from .exact_dedup import OP6_SQL, op6_exact_dedup
+from .language_id import op9_language_id
 from .mixing import OP5_SQL, op5_mixing
 from .sharding import op3_sharding
 
 QUERIES = {
+    "op1_bpe": op1_bpe,
     "op3_sharding": op3_sharding,
     "op5_mixing": op5_mixing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLE_SQL = {
