@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -325,14 +326,14 @@ def tokenize(docs: DataFrame, path: str) -> DataFrame:
     strings of special tokens in a text become those tokens. Rows are independent: repeated
     rows, null ids and other columns don't matter, an empty table gives an empty result.
     """
-    coder = docs.sparkSession.sparkContext.broadcast(Coder(path))
+    packed = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(Coder(path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Known()
+        coder, known = cloudpickle.loads(packed.value), Known()
         for batch in batches:
             at = 0
             for part in slices(batch.column(1).to_pylist()):
-                done = list(coder.value.texts(part, known))
+                done = list(coder.texts(part, known))
                 ids = pa.array([d[0] for d in done], pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -351,11 +352,12 @@ def tokenize(docs: DataFrame, path: str) -> DataFrame:
 
 def detokenize(tokens: DataFrame, path: str) -> DataFrame:
     """doc_id, decoded, from the binary column `ids`; null ids decode to an empty string."""
-    coder = tokens.sparkSession.sparkContext.broadcast(Coder(path))
+    packed = tokens.sparkSession.sparkContext.broadcast(cloudpickle.dumps(Coder(path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = cloudpickle.loads(packed.value)
         for batch in batches:
-            texts = [coder.value.decode(np.frombuffer(x or b"", "<u4").tolist()) for x in batch.column(1).to_pylist()]
+            texts = [coder.decode(np.frombuffer(x or b"", "<u4").tolist()) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "decoded"])
 
     own = tokens.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").alias("ids"))
