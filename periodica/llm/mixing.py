@@ -52,11 +52,11 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, total: int |
         pairs = [x for k, v in weights.items() for x in (F.lit("s" + k), F.lit(float(v)))]
         given = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,double>")
         weighed = counts.withColumn("weight", F.coalesce(F.try_element_at(given, F.col("source_key")), F.lit(0.0)))
-    sums = weighed.agg(F.sum("weight").alias("weights"), F.sum("rows").alias("all_rows"))
-    wanted = F.col("all_rows") if total is None else F.lit(total)
-    rate = wanted * (F.col("weight") / F.col("weights")) / F.col("rows")
+    sums = weighed.agg(F.sum("weight").alias("weights"), F.sum("rows").alias("rows")).first()
+    wanted = F.lit(float((sums["rows"] or 0) if total is None else total))
+    rate = wanted * (F.col("weight") / F.lit(sums["weights"])) / F.col("rows")
     return (
-        weighed.where("weight > 0").join(F.broadcast(sums))  # one row
+        weighed.where("weight > 0")
         .select("source_key", rate.cast("double").alias("rate"))
         .select("source_key", cumulated(F.col("rate")).alias("cdf"))
     )

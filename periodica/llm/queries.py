@@ -3,6 +3,7 @@
 from .bpe import op1_bpe
 from .exact_dedup import OP6_SQL, op6_exact_dedup
 from .language_id import op9_language_id
+from .merkle import op10_fingerprints
 from .mixing import OP5_SQL, op5_mixing
 from .sharding import op3_sharding
 
@@ -12,6 +13,7 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_language_id": op9_language_id,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLE_SQL = {
