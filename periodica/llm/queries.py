@@ -5,11 +5,13 @@ from .exact_dedup import OP6_SQL, op6_exact_dedup
 from .language_id import op9_language_id
 from .merkle import op10_fingerprints
 from .mixing import OP5_SQL, op5_mixing
+from .near_dedup import op4_near_dedup
 from .sharding import op3_sharding
 
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_sharding": op3_sharding,
+    "op4_near_dedup": op4_near_dedup,
     "op5_mixing": op5_mixing,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_language_id": op9_language_id,
