@@ -2,18 +2,22 @@
 
 from .bpe import op1_bpe
 from .exact_dedup import OP6_SQL, op6_exact_dedup
+from .html_text import op8_html_text
 from .language_id import op9_language_id
 from .merkle import op10_fingerprints
 from .mixing import OP5_SQL, op5_mixing
 from .near_dedup import op4_near_dedup
+from .pii import op2_pii
 from .sharding import op3_sharding
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_pii": op2_pii,
     "op3_sharding": op3_sharding,
     "op4_near_dedup": op4_near_dedup,
     "op5_mixing": op5_mixing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_html_text": op8_html_text,
     "op9_language_id": op9_language_id,
     "op10_fingerprints": op10_fingerprints,
 }
