@@ -9,6 +9,7 @@ from .mixing import OP5_SQL, op5_mixing
 from .near_dedup import op4_near_dedup
 from .pii import op2_pii
 from .sharding import op3_sharding
+from .tool_calls import OP7_SQL, op7_tool_calls
 
 QUERIES = {
     "op1_bpe": op1_bpe,
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_near_dedup": op4_near_dedup,
     "op5_mixing": op5_mixing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_tool_calls": op7_tool_calls,
     "op8_html_text": op8_html_text,
     "op9_language_id": op9_language_id,
     "op10_fingerprints": op10_fingerprints,
@@ -25,4 +27,5 @@ QUERIES = {
 ORACLE_SQL = {
     "op5_mixing": OP5_SQL,
     "op6_exact_dedup": OP6_SQL,
+    "op7_tool_calls": OP7_SQL,
 }
