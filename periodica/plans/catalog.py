@@ -1,4 +1,4 @@
 """All registered queries of the library's own operators."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from . import series_queries  # noqa: F401
+from .registry import ORACLE_SQL, QUERIES  # noqa: F401
