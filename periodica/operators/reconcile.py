@@ -203,7 +203,8 @@ def warnings(candidates: DataFrame, publishers: DataFrame) -> DataFrame:
     apart = cross_block_conflict(wide)
     all_values = F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("values")))), "、").alias("values")
     documents = wide.join(apart, "publisher", "left_semi").groupBy(*base).agg(all_values).withColumn("kind", F.lit("documents"))
-    inner = authority_edges(scoped(asked.where("NOT several"), publishers)).where("size(values) > 1")
+    single = scoped(candidates, publishers).join(publishers.select("publisher", "target", "bottom", "several"), "publisher").where("NOT several")
+    inner = authority_edges(single).where("size(values) > 1")
     block = inner.groupBy(*base).agg(F.array_join(F.array_sort(F.min_by("values", "first_seq")), "、").alias("values")).withColumn("kind", F.lit("block"))
     many = presentations(asked.where("several")).where("issue = target").groupBy(*base).agg(F.collect_set("value").alias("v")).where("size(v) > 1")
     several = many.select(*base, F.array_join(F.array_sort("v"), "、").alias("values"), F.lit("several").alias("kind"))

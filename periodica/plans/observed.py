@@ -62,7 +62,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     digit = F.when(s % 17 == 0, F.col("value").cast("long")).otherwise((p + i) % 10)
     value = F.when((p % 7 == 0) & (s % 19 != 0), F.concat_ws("、", digit.cast("string"), ((digit + 1) % 10).cast("string"))).otherwise(digit.cast("string"))
     return observations(spark, sf_dir).select(
-        "publisher", "issue", value.alias("value"), F.length("kind").alias("document_order"), (i * 10_000_000 + s).cast("long").alias("position"),
+        "publisher", "issue", value.alias("value"), F.length("kind").alias("document_order"), (i.cast("long") * 10_000_000 + s).alias("position"),
         F.lit("compact").alias("parser"), F.concat_ws("/", p.cast("string"), "kind").alias("document"), F.concat(F.lit("https://p"), p.cast("string"), F.lit(".example/list")).alias("source_url"),
         F.lit("browser").alias("source_type"), F.lit("").alias("record"), s.alias("seq"), F.when(s % 29 != 0, F.concat(F.lit("row "), s.cast("string"))).otherwise("").alias("block"),
         F.when(s % 101 == 0, "broken row").when(s % 103 == 0, "开0000占位记录").alias("error"),

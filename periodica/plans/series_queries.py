@@ -135,8 +135,8 @@ def d3(spark, sf_dir):
 HISTORY = f"""{O.OBS}, rec AS (SELECT publisher, issue, value, seq % 31 <> 0 AS valid FROM obs WHERE issue BETWEEN 16 AND 25 AND publisher % 10 = 3 AND (publisher + issue) % 4 = 0),
 base AS (SELECT publisher, 25 AS issue, CASE WHEN bool_or(bottom) THEN arg_max(value, seq) ELSE arg_min(value, seq) END AS value FROM obs WHERE issue = 25 AND publisher % 10 = 3 GROUP BY publisher),
 h AS (SELECT publisher, issue, count(*) AS n, count(*) FILTER (valid) AS good, min(value) AS value FROM rec GROUP BY publisher, issue),
-j AS (SELECT publisher, issue, h.value, base.value AS base_value, CASE WHEN n IS NOT NULL AND NOT (n = 1 AND good = 1) THEN 'not unique' WHEN h.value <> base.value THEN 'conflict' END AS error FROM h FULL JOIN base USING (publisher, issue)),
-history AS (SELECT publisher, issue, CASE WHEN error IS NULL THEN coalesce(value, base_value) END AS value, error FROM j)"""
+jj AS (SELECT publisher, issue, h.value, base.value AS base_value, CASE WHEN n IS NOT NULL AND NOT (n = 1 AND good = 1) THEN 'not unique' WHEN h.value <> base.value THEN 'conflict' END AS error FROM h FULL JOIN base USING (publisher, issue)),
+history AS (SELECT publisher, issue, CASE WHEN error IS NULL THEN coalesce(value, base_value) END AS value, error FROM jj)"""
 
 
 def history(spark, sf_dir):
