@@ -71,7 +71,7 @@ def last_issue(text: Column) -> Column:
 
 def issue_chunks(text: Column) -> Column:
     """The text cut before each issue number; trimmed, without empty pieces."""
-    pieces = F.transform(F.split(text, fixed.ISSUE_START, -1), F.trim)
+    pieces = F.transform(F.split(text, fixed.ISSUE_START, -1), lambda p: F.trim(p))
     return F.filter(pieces, lambda p: p != "")
 
 
