@@ -1,6 +1,6 @@
 """Extraction: documents to records.
 
-documents: publisher, document, content, and the rule's columns (see RULE). Records:
+documents: publisher, document, content, and the rule's columns (see default_rule). Records:
 publisher, document, position, issue, value, draw, snippet. What a rule says is data, so a
 new publisher needs a row, not code; further kinds are registered with register_extractor.
 """
@@ -17,12 +17,17 @@ from ..functions import text as T
 from ..helpers import markup
 from ..helpers.values import absolute_url, unescape, value_in
 
-#: Columns of a rule with their defaults.
-RULE: dict[str, Column] = {
-    "name": F.lit(""), "signals": T.words(fixed.SIGNAL_WORDS), "excluded": T.words(fixed.EXCLUDED_WORDS), "span": F.lit(240), "lead": F.lit(700),
-    "need_site": F.lit(True), "need_draw": F.lit(True), "sections": T.words(fixed.SECTION_WORDS), "stops": T.words(()), "section_span": F.lit(1500),
-    "headers": T.words(fixed.TABLE_HEADERS), "required": T.words(()), "anchors": T.words(()), "scope_re": F.lit(None).cast("string"), "value_re": F.lit(None).cast("string"),
-}
+
+
+def default_rule() -> dict[str, Column]:
+    """Columns of a rule with their defaults."""
+    return {
+        "name": F.lit(""), "signals": T.words(fixed.SIGNAL_WORDS), "excluded": T.words(fixed.EXCLUDED_WORDS), "span": F.lit(240), "lead": F.lit(700),
+        "need_site": F.lit(True), "need_draw": F.lit(True), "sections": T.words(fixed.SECTION_WORDS), "stops": T.words(()), "section_span": F.lit(1500),
+        "headers": T.words(fixed.TABLE_HEADERS), "required": T.words(()), "anchors": T.words(()), "scope_re": F.lit(None).cast("string"), "value_re": F.lit(None).cast("string"),
+    }
+
+
 RECORD = ("publisher", "document", "position", "issue", "value", "draw", "snippet")
 EXTRACTORS: dict[str, Callable[[DataFrame], DataFrame]] = {}
 
@@ -38,7 +43,7 @@ def extract(documents: DataFrame, kind: str) -> DataFrame:
 
 
 def with_rule(documents: DataFrame) -> DataFrame:
-    return documents.withColumns({k: v for k, v in RULE.items() if k not in documents.columns})
+    return documents.withColumns({k: v for k, v in default_rule().items() if k not in documents.columns})
 
 
 def page_text(content: Column) -> Column:

@@ -29,18 +29,33 @@ def rendered(spark, sf_dir, row: Column, head: Column | None = None, tail: Colum
     return docs.select("publisher", "name", F.concat(F.lit("d"), F.col("publisher").cast("string")).alias("document"), F.concat(*parts).alias("content"))
 
 
-I, V, P = (F.col(c).cast("string") for c in ("issue", "value", "publisher"))
-DRAW = F.concat(F.lit(" 开:鼠"), F.lpad(I, 2, "0"), F.lit("准"))
-NAME = F.concat(F.lit("P"), P)
-MIXED = (F.col("publisher") % 4 == 2) & (F.col("issue") % 5 == 0)
-PLAIN_ROW = F.concat(
-    I, F.lit("期："), NAME, F.lit(" "),
-    F.when(F.col("publisher") % 4 == 1, F.concat(F.lit("上期杀一尾【9】 本期杀一尾【"), V, F.lit("】")))
-    .when(MIXED, F.concat(F.lit("杀一尾["), V, ((F.col("value").cast("int") + 1) % 10).cast("string"), F.lit("]")))
-    .when(F.col("publisher") % 4 == 3, F.concat(F.lit("<b>絕殺一尾</b>&nbsp;("), F.repeat(V, 3), F.lit("尾)")))
-    .otherwise(F.concat(F.lit("杀一尾["), V, F.lit("]"))),
-    DRAW,
-)
+# Rows of the rendered texts; functions, because a Column needs a session.
+I, V, P = (lambda c=c: F.col(c).cast("string") for c in ("issue", "value", "publisher"))
+
+
+def draw():
+    return F.concat(F.lit(" 开:鼠"), F.lpad(I(), 2, "0"), F.lit("准"))
+
+
+def name():
+    return F.concat(F.lit("P"), P())
+
+
+def mixed():
+    return (F.col("publisher") % 4 == 2) & (F.col("issue") % 5 == 0)
+
+
+def plain_row():
+    return F.concat(
+        I(), F.lit("期："), name(), F.lit(" "),
+        F.when(F.col("publisher") % 4 == 1, F.concat(F.lit("上期杀一尾【9】 本期杀一尾【"), V(), F.lit("】")))
+        .when(mixed(), F.concat(F.lit("杀一尾["), V(), ((F.col("value").cast("int") + 1) % 10).cast("string"), F.lit("]")))
+        .when(F.col("publisher") % 4 == 3, F.concat(F.lit("<b>絕殺一尾</b>&nbsp;("), F.repeat(V(), 3), F.lit("尾)")))
+        .otherwise(F.concat(F.lit("杀一尾["), V(), F.lit("]"))),
+        draw(),
+    )
+
+
 KEPT = "NOT (publisher % 4 = 2 AND issue % 5 = 0)"
 SHOWN = "publisher, issue, value"
 
@@ -51,19 +66,19 @@ def shown(records: DataFrame) -> DataFrame:
 
 @query("x1_compact", f"WITH {SERIES} SELECT {SHOWN}, row_number() OVER (PARTITION BY publisher ORDER BY issue DESC) - 1 AS position, '开鼠' || lpad(CAST(issue AS VARCHAR), 2, '0') || '准' AS draw FROM series WHERE {KEPT}")
 def x1(spark, sf_dir):
-    found = extract.extract(rendered(spark, sf_dir, PLAIN_ROW), "compact")
+    found = extract.extract(rendered(spark, sf_dir, plain_row()), "compact")
     return found.select("publisher", "issue", "value", F.col("position").cast("long").alias("position"), "draw")
 
 
 @query("v19_rejections", f"WITH {SERIES} SELECT 'prior values only' AS reason, count(*) AS times FROM series WHERE publisher % 3 = 0")
 def v19(spark, sf_dir):
-    row = F.concat(I, F.lit("期："), NAME, F.when(F.col("publisher") % 3 == 0, F.lit(" 上期杀一尾【")).otherwise(F.lit(" 本期杀一尾【")), V, F.lit("】"), DRAW)
+    row = F.concat(I(), F.lit("期："), name(), F.when(F.col("publisher") % 3 == 0, F.lit(" 上期杀一尾【")).otherwise(F.lit(" 本期杀一尾【")), V(), F.lit("】"), draw())
     return reconcile.rejections(extract.refused(rendered(spark, sf_dir, row)))
 
 
 @query("x2_section", f"WITH {SERIES} SELECT {SHOWN}, publisher % 3 = 0 AS uncut FROM series")
 def x2(spark, sf_dir):
-    row = F.concat(I, F.lit("期:"), NAME, F.lit(" 杀一尾["), V, F.lit("]"), DRAW)
+    row = F.concat(I(), F.lit("期:"), name(), F.lit(" 杀一尾["), V(), F.lit("]"), draw())
     early = F.col("publisher") % 3 == 0
     head = F.concat(F.lit("<p>1期 P0 杀一尾[0] 开:鼠01准</p>杀尾专区 "), F.col("name"), F.lit(" 杀一尾 "), F.when(early, "完结 ").otherwise(""))
     tail = F.when(early, "").otherwise(F.concat(F.lit(" 完结 99期:"), F.col("name"), F.lit(" 杀一尾[8] 开:鼠01准")))
@@ -75,7 +90,7 @@ def x2(spark, sf_dir):
 def x3(spark, sf_dir):
     odd = F.col("publisher") % 2 == 1
     shown_issue = (F.col("issue") * F.when(odd, 3).otherwise(1)).cast("string")
-    row = F.concat(shown_issue, F.lit("期:"), NAME, F.lit(" 杀一尾["), V, F.lit("]"), DRAW)
+    row = F.concat(shown_issue, F.lit("期:"), name(), F.lit(" 杀一尾["), V(), F.lit("]"), draw())
     found = extract.extract(rendered(spark, sf_dir, row).withColumn("lead", F.lit(10_000)), "lead_compact")
     return found.select("publisher", (F.col("issue") / F.when(odd, 3).otherwise(1)).cast("int").alias("issue"), "value")
 
@@ -83,11 +98,14 @@ def x3(spark, sf_dir):
 @query("x4_user_feed", f"WITH {SERIES} SELECT {SHOWN} FROM series WHERE NOT (publisher % 5 = 1 AND issue % 4 = 0)")
 def x4(spark, sf_dir):
     double = (F.col("publisher") % 5 == 1) & (F.col("issue") % 4 == 0)
-    row = F.concat(I, F.lit("期:杀一尾【"), F.when(double, F.repeat(V, 2)).otherwise(V), F.lit("】开鼠"), F.lpad(I, 2, "0"), F.lit("准 "), NAME)
+    row = F.concat(I(), F.lit("期:杀一尾【"), F.when(double, F.repeat(V(), 2)).otherwise(V()), F.lit("】开鼠"), F.lpad(I(), 2, "0"), F.lit("准 "), name())
     return shown(extract.extract(rendered(spark, sf_dir, row), "user_feed"))
 
 
-TABLE_ROW = F.concat(F.lit("<tr><td>"), I, F.lit("期</td><td>"), NAME, F.lit("</td><td>"), F.when(F.col("issue") % 6 == 0, F.concat(V, F.lit("、3尾"))).otherwise(F.concat(V, F.lit("尾"))), F.lit("</td><td>开:鼠"), F.lpad(I, 2, "0"), F.lit("</td></tr>"))
+def table_row():
+    return F.concat(F.lit("<tr><td>"), I(), F.lit("期</td><td>"), name(), F.lit("</td><td>"), F.when(F.col("issue") % 6 == 0, F.concat(V(), F.lit("、3尾"))).otherwise(F.concat(V(), F.lit("尾"))), F.lit("</td><td>开:鼠"), F.lpad(I(), 2, "0"), F.lit("</td></tr>"))
+
+
 TABLE_HEAD = "<table><tr><th>期数</th><th>名</th><th>杀一尾</th><th>开奖结果</th></tr>"
 
 
@@ -95,20 +113,23 @@ TABLE_HEAD = "<table><tr><th>期数</th><th>名</th><th>杀一尾</th><th>开奖
 def x5(spark, sf_dir):
     head = F.concat(F.lit("<table><tr><td>7期</td><td>1尾</td></tr></table><div>"), F.col("name"), F.lit("主表</div>" + TABLE_HEAD))
     tail = F.lit("<tr><th>期数</th><th>名</th><th>其他</th></tr><tr><td>88期</td><td>x</td><td>4尾</td></tr></table>")
-    docs = rendered(spark, sf_dir, TABLE_ROW, head, tail, "\n").withColumns({"anchors": F.array(F.lit("主表")), "required": F.array(F.lit("期数"))})
+    docs = rendered(spark, sf_dir, table_row(), head, tail, "\n").withColumns({"anchors": F.array(F.lit("主表")), "required": F.array(F.lit("期数"))})
     return extract.extract(docs, "table").select("publisher", "issue", "value", "draw")
 
 
 @query("x6_row_regex", f"WITH {SERIES} SELECT {SHOWN} FROM series WHERE publisher % 3 <> 2 OR issue % 2 = 0")
 def x6(spark, sf_dir):
     third = F.col("publisher") % 3 == 2
-    row = F.concat(I, F.lit("期 尾数"), F.when(third & (F.col("issue") % 2 == 1), "x").otherwise(F.concat(F.lit("4"), V)), F.lit("点"), DRAW)
+    row = F.concat(I(), F.lit("期 尾数"), F.when(third & (F.col("issue") % 2 == 1), "x").otherwise(F.concat(F.lit("4"), V())), F.lit("点"), draw())
     docs = rendered(spark, sf_dir, row, F.concat(F.lit("5期 尾数77点 开:鼠01准 "), F.col("name"), F.lit("主区 ")), F.lit(" 下区 6期 尾数88点 开:鼠01准"))
     ruled = docs.withColumns({"scope_re": F.when(F.col("publisher") % 2 == 0, F.concat("name", F.lit("主区"))), "value_re": F.lit("尾数(\\d+)点"), "stops": F.array(F.lit("下区")), "section_span": F.lit(6000)})
     return shown(extract.extract(ruled, "dedicated"))
 
 
-BODY_ROW = F.concat(F.lit("<p>"), I, F.lit("期 稳杀["), V, F.when(F.col("publisher") % 7 == 0, F.concat(F.lit("."), ((F.col("value").cast("int") + 1) % 10).cast("string"))).otherwise(""), F.lit("]尾</p>"))
+def body_row():
+    return F.concat(F.lit("<p>"), I(), F.lit("期 稳杀["), V(), F.when(F.col("publisher") % 7 == 0, F.concat(F.lit("."), ((F.col("value").cast("int") + 1) % 10).cast("string"))).otherwise(""), F.lit("]尾</p>"))
+
+
 SHAPE = r"^(\d+)期 稳杀\[(\d)(?:\.(\d))?\]尾$"
 PAIRED = "CASE WHEN publisher % 7 = 0 THEN value || '、' || (CAST(value AS INTEGER) + 1) % 10 ELSE value END"
 
@@ -116,7 +137,7 @@ PAIRED = "CASE WHEN publisher % 7 = 0 THEN value || '、' || (CAST(value AS INTE
 def bodies(spark, sf_dir) -> DataFrame:
     head = F.concat(F.lit('<div class="top"><p>9期 稳杀[9]尾</p></div><h2>'), F.col("name"), F.lit(' 200期</h2><div id="b1" class="body main">'))
     tail = F.lit('<p>more words</p></div><h2>other 1期</h2><div class="body"><p>3期 稳杀[3]尾</p></div>')
-    return rendered(spark, sf_dir, BODY_ROW, head, tail, "\n")
+    return rendered(spark, sf_dir, body_row(), head, tail, "\n")
 
 
 @query("x7_row_shape", f"WITH {SERIES} SELECT publisher, issue, {PAIRED} AS value FROM series")
@@ -133,22 +154,22 @@ def x8(spark, sf_dir):
 
 @query("x9_published_body", f"WITH {O.OBS} SELECT publisher, issue, CASE WHEN count(DISTINCT value) = 1 THEN min(value) END AS value, count(DISTINCT value) > 1 AS conflict FROM obs GROUP BY publisher, issue")
 def x9(spark, sf_dir):
-    row = F.concat(F.lit("<li>"), I, F.lit("期 稳杀["), V, F.lit("]尾</li>"))
-    docs = O.observations(spark, sf_dir).groupBy("publisher").agg(joined(row).alias("rows")).select("publisher", F.concat(F.lit("d"), P).alias("document"), F.concat(F.lit('<ul class="body">'), "rows", F.lit("</ul>")).alias("content"))
+    row = F.concat(F.lit("<li>"), I(), F.lit("期 稳杀["), V(), F.lit("]尾</li>"))
+    docs = O.observations(spark, sf_dir).groupBy("publisher").agg(joined(row).alias("rows")).select("publisher", F.concat(F.lit("d"), P()).alias("document"), F.concat(F.lit('<ul class="body">'), "rows", F.lit("</ul>")).alias("content"))
     rows = extract.shaped_rows(extract.body_rows(docs, r"ul\.body"), SHAPE)
     return extract.one_value_each(rows, F.col("publisher") % 2 == 0).select("publisher", "issue", "value", "conflict")
 
 
 @query("x10_keyword_block", f"WITH {SERIES} SELECT {SHOWN} FROM series")
 def x10(spark, sf_dir):
-    row = F.concat(I, F.lit("期 本站杀["), V, F.lit("尾]"), DRAW)
+    row = F.concat(I(), F.lit("期 本站杀["), V(), F.lit("尾]"), draw())
     docs = rendered(spark, sf_dir, row, F.concat(F.lit("导航 "), F.col("name"), F.lit(" ■杀区 ")), F.lit(" ■杀区 77期 本站杀[1尾] 开:鼠01准"))
     return shown(extract.keyword_block(docs, "■杀区"))
 
 
 @query("x24_target_blocks", f"WITH {SERIES} SELECT publisher, 'P' || publisher || ' ' || string_agg(issue || ':' || value, ' ' ORDER BY issue DESC) AS text FROM series GROUP BY publisher")
 def x24(spark, sf_dir):
-    row = F.concat(F.lit("<p>"), I, F.lit(":"), V, F.lit("</p>"))
+    row = F.concat(F.lit("<p>"), I(), F.lit(":"), V(), F.lit("</p>"))
     head = F.concat(F.lit('<div id="t1"><p>other</p></div><div id="t12"><p>'), F.col("name"), F.lit("</p>"))
     docs = rendered(spark, sf_dir, row, head, F.lit('</div><div id="t123"><p>x</p></div>'), "").withColumn("target_id", F.lit("t12"))
     return extract.target_blocks(docs).select("publisher", "text")
@@ -167,7 +188,7 @@ SELECT 'https://p.example/' || start AS url, 'https://p.example/' || here AS pag
 def x26(spark, sf_dir):
     p = F.col("publisher")
     url = lambda c: F.concat(F.lit("https://p.example/"), c.cast("string"))
-    goal = F.concat(F.lit('<a href="/goal/'), P, F.lit('">第9期 杀尾</a>'))
+    goal = F.concat(F.lit('<a href="/goal/'), P(), F.lit('">第9期 杀尾</a>'))
     html = F.concat(F.lit('<a href="/x">x</a>'), F.when(p % 6 == 5, goal).otherwise(F.concat(F.lit('<a href="'), (p + 1).cast("string"), F.lit('">下一页</a>'))))
     pages = O.publishers(spark, sf_dir).select(url(p).alias("url"), html.alias("html"))
     return extract.follow(pages.select("url"), extract.links(pages), "下一页", ["9期", "杀尾"]).select("url", "page", "target")
@@ -183,7 +204,7 @@ def x27(spark, sf_dir):
 concat_ws('; ', CASE WHEN NOT has THEN 'issue absent' END, CASE WHEN has AND publisher % 5 = 0 THEN 'no valid field' END, CASE WHEN publisher % 4 = 3 THEN 'keyword absent' END) AS why FROM g""")
 def x28(spark, sf_dir):
     p = F.col("publisher")
-    row = F.concat(I, F.lit("期:"), F.when(p % 4 == 3, "无").otherwise("杀一尾"), V, F.when(p % 5 == 0, " ").otherwise(DRAW))
+    row = F.concat(I(), F.lit("期:"), F.when(p % 4 == 3, "无").otherwise("杀一尾"), V(), F.when(p % 5 == 0, " ").otherwise(draw()))
     return extract.diagnosis(rendered(spark, sf_dir, row), (p % 40).cast("int"), T.words(("杀一尾",)))
 
 
@@ -197,13 +218,13 @@ def p5(spark, sf_dir):
     k, third = F.col("publisher") % 5, F.col("issue") % 3 == 0
     other = ((F.col("value").cast("int") + 1) % 10).cast("string")
     row = F.concat(
-        I, F.lit("期 "), F.when((k == 1) & third, F.concat(F.lit("杀一尾["), V, other, F.lit("]"))).when((k == 2) & third, F.concat(F.lit("杀一尾:头"), V, F.lit(" 码")))
-        .when((k == 3) & third, F.concat(F.lit("杀一尾 另见栏目 "), V)).otherwise(F.concat(F.lit("杀一尾["), V, F.lit("]"))), DRAW,
+        I(), F.lit("期 "), F.when((k == 1) & third, F.concat(F.lit("杀一尾["), V(), other, F.lit("]"))).when((k == 2) & third, F.concat(F.lit("杀一尾:头"), V(), F.lit(" 码")))
+        .when((k == 3) & third, F.concat(F.lit("杀一尾 另见栏目 "), V())).otherwise(F.concat(F.lit("杀一尾["), V(), F.lit("]"))), draw(),
     )
     docs = rendered(spark, sf_dir, row)
     top = F.row_number().over(Window.partitionBy("publisher").orderBy(F.desc("issue"))) - 1
     kind = F.when(k == 3, "dedicated").otherwise("compact")
-    records = O.series(spark, sf_dir).withColumns({"document": F.concat(F.lit("d"), P), "position": top, "kind": kind, "snippet": F.lit("")})
+    records = O.series(spark, sf_dir).withColumns({"document": F.concat(F.lit("d"), P()), "position": top, "kind": kind, "snippet": F.lit("")})
     return guards.enforce(records, docs).select("publisher", "issue", "error", "document_error")
 
 
@@ -212,14 +233,14 @@ def p5(spark, sf_dir):
 
 def feed_json(spark, sf_dir) -> DataFrame:
     item = F.struct(
-        F.col("seq").cast("string").alias("id"), F.struct((F.col("publisher") + F.when(F.col("seq") % 9 == 0, 1000).otherwise(0)).cast("string").alias("id"), F.concat(F.lit("P"), P).alias("nickname")).alias("user"),
-        F.when(F.col("seq") % 8 == 0, "其他").otherwise("绝杀一尾").alias("topic"), F.when(F.col("seq") % 2 == 0, F.col("issue").cast("string")).alias("draw"), F.concat(I, F.lit("期")).alias("title"),
+        F.col("seq").cast("string").alias("id"), F.struct((F.col("publisher") + F.when(F.col("seq") % 9 == 0, 1000).otherwise(0)).cast("string").alias("id"), F.concat(F.lit("P"), P()).alias("nickname")).alias("user"),
+        F.when(F.col("seq") % 8 == 0, "其他").otherwise("绝杀一尾").alias("topic"), F.when(F.col("seq") % 2 == 0, F.col("issue").cast("string")).alias("draw"), F.concat(I(), F.lit("期")).alias("title"),
         F.concat(F.lit("body "), F.col("seq").cast("string")).alias("content"),
     )
     own = O.observations(spark, sf_dir).where("kind != 'view'")
     items = F.transform(F.array_sort(F.collect_list(F.struct("seq", item.alias("item")))), lambda x: x["item"])
     texts = own.groupBy("publisher").agg(F.to_json(items).alias("text"))
-    return texts.select("publisher", P.alias("feed"), P.alias("owner"), F.concat(F.lit("P"), P).alias("name"), F.lit("绝杀一尾").alias("keyword"), "text")
+    return texts.select("publisher", P().alias("feed"), P().alias("owner"), F.concat(F.lit("P"), P()).alias("name"), F.lit("绝杀一尾").alias("keyword"), "text")
 
 
 FEED = f"""WITH {O.OBS}, items AS (SELECT * FROM obs WHERE kind <> 'view' AND seq % 9 <> 0 AND seq % 8 <> 0)"""
@@ -246,11 +267,11 @@ def x18_edge(spark, sf_dir):
 CASE WHEN seq % 9 <> 0 AND seq % 7 <> 0 THEN 'P' || publisher || chr(10) || 'T' || chr(10) || '绝杀一尾' || chr(10) || 'body ' || seq END AS document FROM obs WHERE kind = 'click' AND seq % 5 <> 0""")
 def x19(spark, sf_dir):
     own = O.observations(spark, sf_dir).where("kind = 'click'")
-    item = F.struct(F.col("seq").cast("string").alias("id"), P.alias("user_id"), F.when(F.col("seq") % 5 == 0, "其他").otherwise(" 绝杀一尾").alias("sub_topic"), I.alias("draw"))
-    histories = own.groupBy("publisher").agg(F.to_json(F.collect_list(item)).alias("text")).select(P.alias("feed"), P.alias("owner"), F.lit("绝杀一尾").alias("sub_topic"), "text")
+    item = F.struct(F.col("seq").cast("string").alias("id"), P().alias("user_id"), F.when(F.col("seq") % 5 == 0, "其他").otherwise(" 绝杀一尾").alias("sub_topic"), I().alias("draw"))
+    histories = own.groupBy("publisher").agg(F.to_json(F.collect_list(item)).alias("text")).select(P().alias("feed"), P().alias("owner"), F.lit("绝杀一尾").alias("sub_topic"), "text")
     wanted = feeds.history_items(histories).select("feed", "item_id").join(histories.select("feed", "owner", "sub_topic", F.concat(F.lit("P"), F.col("feed")).alias("name")), "feed")
     detail = F.struct(
-        F.col("seq").cast("string").alias("id"), F.when(F.col("seq") % 9 == 0, "0x").otherwise(P).alias("user_id"), F.lit("T").alias("topic"), F.lit("绝杀一尾").alias("sub_topic"),
+        F.col("seq").cast("string").alias("id"), F.when(F.col("seq") % 9 == 0, "0x").otherwise(P()).alias("user_id"), F.lit("T").alias("topic"), F.lit("绝杀一尾").alias("sub_topic"),
         F.when(F.col("seq") % 7 == 0, " ").otherwise(F.concat(F.lit("body "), F.col("seq").cast("string"))).alias("content"),
     )
     return feeds.details(wanted, own.select(F.col("seq").cast("string").alias("item_id"), F.to_json(detail).alias("text")))
@@ -319,7 +340,7 @@ def t5(spark, sf_dir):
 
 @query("t6_t9_chunks", f"WITH {SERIES} SELECT publisher, count(*) AS chunks, max(issue) AS first_issue, min(issue) AS last_issue, count(*) FILTER (issue % 2 = 0) AS with_draw FROM series GROUP BY publisher")
 def t6(spark, sf_dir):
-    row = F.concat(I, F.lit("期 公开12 杀"), V, F.when(F.col("issue") % 2 == 0, DRAW).otherwise(" 开始"))
+    row = F.concat(I(), F.lit("期 公开12 杀"), V(), F.when(F.col("issue") % 2 == 0, draw()).otherwise(" 开始"))
     docs = rendered(spark, sf_dir, row).withColumn("text", T.strip_tags(F.col("content")))
     return docs.select(
         "publisher", F.size(T.issue_chunks(F.col("text"))).cast("long").alias("chunks"), T.first_issue(F.col("text")).alias("first_issue"), T.last_issue(F.col("text")).alias("last_issue"),
@@ -331,8 +352,8 @@ def t6(spark, sf_dir):
 def t16(spark, sf_dir):
     k = F.col("seq") % 5
     numeral = F.translate(F.col("value"), "0123456789", "零一二三四五六七八九")
-    cell = F.when(k == 0, F.concat(V, F.lit("尾3尾"))).when(k == 1, F.concat(F.lit("【"), V, F.lit("尾】"))).when(k == 2, F.concat(numeral, F.lit("尾"))).when(k == 3, V).otherwise(F.concat(V, (F.col("seq") % 10).cast("string")))
-    raw = F.when(k == 4, F.concat(V, (F.col("seq") % 10).cast("string"))).otherwise(F.repeat(V, 3))
+    cell = F.when(k == 0, F.concat(V(), F.lit("尾3尾"))).when(k == 1, F.concat(F.lit("【"), V(), F.lit("尾】"))).when(k == 2, F.concat(numeral, F.lit("尾"))).when(k == 3, V()).otherwise(F.concat(V(), (F.col("seq") % 10).cast("string")))
+    raw = F.when(k == 4, F.concat(V(), (F.col("seq") % 10).cast("string"))).otherwise(F.repeat(V(), 3))
     return O.observations(spark, sf_dir).select("seq", T.cell_digit(cell).alias("digit"), T.exact_digit(raw).alias("exact"))
 
 

@@ -156,11 +156,10 @@ def s2(spark, sf_dir):
     v = rolling.as_vectors(rolled).join(pubs.select("publisher", "idx", "name", "url", "pick"), "publisher")
     item = F.struct("name", "url", "pick", F.col("issues").alias("periods"), "values", "extended", F.col("failed").alias("failed_periods"), F.col("reasons").alias("failure_reasons"))
     holed = F.size("failed") > 0
-    state = v.agg(
-        F.lit(2).alias("schema"), F.lit(O.LAST_ISSUE).alias("period"), F.lit(10).alias("window"), F.count("*").alias("site_count"), F.count_if(~holed).alias("vector_count"), F.count_if(holed).alias("fail_count"),
-        F.transform(F.array_sort(F.collect_list(F.struct("idx", item.alias("i")))), lambda x: x["i"]).alias("sites"),
-    )
-    header, items = S.state_items(spark, written(spark, state.select(F.to_json(F.struct("*")).alias("value"))))
+    sites = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", F.to_json(item).alias("i")))), lambda x: x["i"]), ",")
+    head = F.format_string('{"schema":2,"period":%d,"window":10,"site_count":%d,"vector_count":%d,"fail_count":%d,"sites":[', F.lit(O.LAST_ISSUE), F.count("*"), F.count_if(~holed), F.count_if(holed))
+    state = v.agg(F.concat(head, sites, F.lit("]}")).alias("value"))
+    header, items = S.state_items(spark, written(spark, state))
     plain = pubs.select("url", F.lit(False).alias("paired"))
     faults = S.state_faults(header, items, O.LAST_ISSUE, plain, complete=False).agg(F.array_join(F.array_sort(F.collect_set("fault")), ",").alias("faults"))
     return S.long_state(items).select("publisher", "issue", "value").join(F.broadcast(faults))  # one row
