@@ -87,7 +87,7 @@ def with_next(docs: DataFrame) -> tuple[DataFrame, Window]:
     ranges = min(MAX_RANGES, max(MIN_RANGES, -(-total // RANGE_ROWS)))
     shares = [i / ranges for i in range(1, ranges)]
     found = own.agg(F.percentile_approx("place", shares, 10_000).alias("cuts")).first()["cuts"] or []
-    cuts = F.split(F.lit(",".join(map(str, sorted(set(found))))), ",").cast("array<long>")
+    cuts = F.filter(F.split(F.lit(",".join(map(str, sorted(set(found))))), ","), lambda c: c != "").cast("array<long>")
     ranged = own.withColumn("range", F.size(F.filter(cuts, lambda c: c < F.col("place"))))
     heads = ranged.groupBy("range").agg(F.max("place").alias("head"))  # at most MAX_RANGES rows
     down = Window.orderBy("range")
