@@ -127,7 +127,7 @@ def written(spark, text):
 
 
 @query("s1_publishers", f"""WITH {O.PUBLISHERS}, p AS (SELECT *, publisher % 10 = 3 AS bad_pick, publisher % 10 = 4 AS bad_url, publisher % 10 = 5 AS twice FROM publishers)
-SELECT publisher AS place, CASE WHEN bad_pick THEN 'unknown pick' WHEN bad_url THEN 'no http URL with a host' WHEN twice AND NOT archived THEN 'name twice' ELSE pick END AS said FROM p WHERE NOT archived OR bad_pick OR bad_url""")
+SELECT publisher AS place, CASE WHEN bad_pick THEN 'unknown pick' WHEN bad_url THEN 'no http URL with a host' WHEN twice AND NOT archived AND (SELECT count(*) FROM p WHERE twice AND NOT archived) > 1 THEN 'name twice' ELSE pick END AS said FROM p WHERE NOT archived OR bad_pick OR bad_url""")
 def s1(spark, sf_dir):
     from ..sources.publishers import load_publishers
 
