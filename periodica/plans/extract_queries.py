@@ -369,3 +369,48 @@ def t26(spark, sf_dir):
     k = F.col("event_id") % 4
     message = F.when(k == 0, "Read TimeOut").when(k == 1, "certificate verify failed: timeout").when(k == 2, "没有找到").otherwise("Connection reset by peer")
     return O.table(spark, sf_dir, "events").select("event_id", T.retryable(message).alias("retry"))
+
+
+# compositions for single publishers' layouts
+
+
+@query("x11_static_article", f"WITH {SERIES} SELECT {SHOWN} FROM series WHERE issue > 3")
+def x11(spark, sf_dir):
+    """Rows of <p> below the heading that names the publisher and the keyword, up to the next heading; the
+    bracketed digit directly behind the keyword, with no letters between."""
+    row = F.concat(F.lit("<p>"), I(), F.lit("期:杀一尾 "), F.when(F.col("issue") <= 3, "另").otherwise(""), F.lit("["), V(), F.lit("] 开</p>"))
+    docs = rendered(spark, sf_dir, row, F.concat(F.lit("<h2>其他 杀一尾</h2><p>9期:杀一尾 [9]</p><h2>"), F.col("name"), F.lit(" 杀一尾</h2>")), F.lit("<h2>上一篇</h2><p>8期:杀一尾 [8]</p>"), "")
+    below = extract.titled(extract.body_rows(docs, "h2|p"), F.contains(F.col("text"), F.col("name")) & F.contains(F.col("text"), F.lit("杀一尾")))
+    return shown(extract.shaped_rows(below, r"^(\d+)期:杀一尾[^一-鿿A-Za-z\d]*\[(\d)\]()"))
+
+
+@query("x13_tabbed_block", f"WITH {SERIES} SELECT publisher, issue, value || '、' || (CAST(value AS INTEGER) + 1) % 10 AS value FROM series")
+def x13(spark, sf_dir):
+    other = ((F.col("value").cast("int") + 1) % 10).cast("string")
+    row = F.concat(F.lit("<li>"), I(), F.lit("期 ["), V(), F.lit("."), other, F.lit("]</li>"))
+    docs = rendered(spark, sf_dir, row, F.lit('<div id="tab1"><ul id="b2"><li>7期 [1.2]</li></ul></div><div id="tab2"><ul id="b1">'), F.lit('</ul><ul id="b2"><li>6期 [3.4]</li></ul></div>'), "")
+    return shown(extract.shaped_rows(extract.body_rows(docs, r"div#tab2>ul#b1>"), r"^(\d+)期 \[(\d)\.(\d)\]$"))
+
+
+@query("x15_combined_table", f"""WITH {O.OBS} SELECT publisher, issue, CASE WHEN count(DISTINCT value) = 1 THEN min(value) END AS value, count(DISTINCT value) > 1 AS conflict FROM obs WHERE seq % 7 <> 0 GROUP BY publisher, issue""")
+def x15(spark, sf_dir):
+    """A combined table: a row not yet published ('?') is passed over, equal presentations count once, values
+    that contradict each other within an issue are an error."""
+    row = F.concat(F.lit("<tr><td>"), I(), F.lit("期</td><td>"), F.when(F.col("seq") % 7 == 0, "?").otherwise(V()), F.lit("</td></tr>"))
+    docs = O.observations(spark, sf_dir).groupBy("publisher").agg(joined(row).alias("rows")).select(
+        "publisher", F.concat(F.lit("d"), P()).alias("document"), F.lit("").alias("name"), F.concat(F.lit("<table><tr><th>期数</th><th>杀一尾</th></tr>"), "rows", F.lit("</table>")).alias("content")
+    )
+    rows = extract.extract(docs, "table").withColumn("place", F.col("position"))
+    return extract.one_value_each(rows, F.col("publisher") % 2 == 0).select("publisher", "issue", "value", "conflict")
+
+
+@query("x17_bottom_cycle", f"""WITH {SERIES}, s AS (SELECT *, row_number() OVER (PARTITION BY publisher ORDER BY issue DESC) AS n FROM series), g AS (SELECT *, issue + n AS island FROM s),
+l AS (SELECT publisher, island, count(*) AS rows, min(issue) AS low FROM g GROUP BY publisher, island QUALIFY row_number() OVER (PARTITION BY publisher ORDER BY min(issue)) = 1) SELECT publisher, issue, value FROM g JOIN l USING (publisher, island) WHERE rows >= 6""")
+def x17(spark, sf_dir):
+    """Compact rows, of which the last contiguous segment counts, if it has six rows or more."""
+    from ..operators import series
+
+    rows = extract.extract(rendered(spark, sf_dir, F.concat(I(), F.lit("期："), name(), F.lit(" 杀一尾["), V(), F.lit("]"), draw())), "compact").withColumn("place", F.col("position"))
+    ends = rows.select("publisher").distinct().select("publisher", F.lit(None).cast("int").alias("target"), F.lit("last").alias("edge"))
+    last = series.chosen_segment(rows, ends)
+    return last.withColumn("n", F.count("*").over(Window.partitionBy("publisher"))).where("n >= 6").select("publisher", "issue", "value")
