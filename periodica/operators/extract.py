@@ -220,6 +220,29 @@ def titled(blocks: DataFrame, title: Column) -> DataFrame:
     return below.withColumn("title", F.col("heading.text")).withColumn("title_issue", T.first_issue(F.col("heading.text"))).drop("heading")
 
 
+def authored(blocks: DataFrame, author: str) -> DataFrame:
+    """Blocks of documents in which the block whose path matches `author` is exactly the publisher's
+    name; others are left out as a whole."""
+    told = blocks.where(F.col("path").rlike(author)).groupBy("document").agg(F.bool_and(T.normalize("text") == T.normalize("name")).alias("mine"))
+    return blocks.join(told.where("mine").select("document"), "document", "left_semi")
+
+
+def first_container(blocks: DataFrame) -> DataFrame:
+    """Of each document's containers the first: a thread's first post."""
+    first = blocks.groupBy("document").agg(F.min("container").alias("container"))
+    return blocks.join(first, ["document", "container"], "left_semi")
+
+
+def detail_rows(blocks: DataFrame, shape: str, issue: str = r"^(\d{1,4})\s*期") -> DataFrame:
+    """Rows of the one titled detail: publisher, issue, value, error. A row of an issue that hasn't
+    the publisher's shape is an error record; a document with several details of the title has none."""
+    single = blocks.groupBy("document").agg(F.count_distinct("title").alias("titles"), F.count_distinct("container").alias("parts")).where("titles = 1 AND parts = 1")
+    rows = blocks.join(single.select("document"), "document", "left_semi").withColumn("issue", F.regexp_extract("text", issue, 1).try_cast("int")).where("issue IS NOT NULL")
+    fits = F.col("text").rlike(shape)
+    value = F.when(fits, F.regexp_extract("text", shape, 2))
+    return rows.select("publisher", "document", "place", "issue", value.alias("value"), F.when(~fits, "invalid row").alias("error"))
+
+
 def keyword_block(documents: DataFrame, marker: str, reach: int = 160, field: int = 100) -> DataFrame:
     """X10 (text form): from the marker up to its next occurrence; the publisher within `reach` characters;
     per chunk the digit within `field` characters after the marker's category word."""

@@ -414,3 +414,36 @@ def x17(spark, sf_dir):
     ends = rows.select("publisher").distinct().select("publisher", F.lit(None).cast("int").alias("target"), F.lit("last").alias("edge"))
     last = series.chosen_segment(rows, ends)
     return last.withColumn("n", F.count("*").over(Window.partitionBy("publisher"))).where("n >= 6").select("publisher", "issue", "value")
+
+
+@query("x12_thread_main_post", f"WITH {SERIES} SELECT publisher, issue, CASE WHEN issue % 9 <> 0 THEN value END AS value, CASE WHEN issue % 9 = 0 THEN 'invalid row' END AS error FROM series WHERE publisher % 4 <> 0")
+def x12(spark, sf_dir):
+    """The first post of a thread whose author is the publisher; a hidden row is an error record."""
+    row = F.concat(F.lit("<p>"), I(), F.lit("期 "), name(), F.lit(" 杀一尾["), F.when(F.col("issue") % 9 == 0, "本帖隐藏").otherwise(V()), F.lit("]</p>"))
+    author = F.when(F.col("publisher") % 4 == 0, "other").otherwise(F.col("name"))
+    head = F.concat(F.lit('<div class="author"><a href="/u">'), author, F.lit('</a></div><div class="post">'))
+    docs = rendered(spark, sf_dir, row, head, F.concat(F.lit('</div><div class="post"><p>7期 '), F.col("name"), F.lit(" 杀一尾[7]</p></div>")), "")
+    mine = extract.authored(extract.body_rows(docs, "div"), r"div\.author>a")
+    post = extract.first_container(mine.where(F.col("path").rlike(r"div\.post"))).withColumn("title", F.col("name"))
+    return extract.detail_rows(post, r"^(\d+)期 P\d+ 杀一尾\[(\d)\]$").select("publisher", "issue", "value", "error")
+
+
+@query("x14_list_detail", f"WITH {SERIES} SELECT publisher, issue, CASE WHEN issue % 8 <> 0 THEN value END AS value, CASE WHEN issue % 8 = 0 THEN 'invalid row' END AS error FROM series WHERE publisher % 5 <> 0")
+def x14(spark, sf_dir):
+    """The one detail with the exact title; where a page has two there is no record."""
+    row = F.concat(F.lit("<p>"), I(), F.lit("期:["), F.when(F.col("issue") % 8 == 0, F.repeat(V(), 2)).otherwise(V()), F.lit("]</p>"))
+    title = F.concat(F.lit("<div><h3>"), F.col("name"), F.lit("</h3>"))
+    twice = F.when(F.col("publisher") % 5 == 0, F.concat(title, F.lit("<p>5期:[5]</p></div>"))).otherwise("")
+    docs = rendered(spark, sf_dir, row, F.concat(F.lit("<div><h3>x</h3><p>9期:[9]</p></div>"), title), F.concat(F.lit("</div>"), twice), "")
+    below = extract.titled(extract.body_rows(docs, "div"), F.col("text") == F.col("name"))
+    return extract.detail_rows(below, r"^(\d+)期:\[(\d)\]$").select("publisher", "issue", "value", "error")
+
+
+@query("x16_author_pairs", f"WITH {SERIES} SELECT publisher, issue, value || '、' || (CAST(value AS INTEGER) + 1) % 10 AS value FROM series WHERE publisher % 3 <> 0")
+def x16(spark, sf_dir):
+    other = ((F.col("value").cast("int") + 1) % 10).cast("string")
+    row = F.concat(F.lit("<p>"), I(), F.lit("期 ["), V(), F.lit("."), other, F.lit("]</p>"))
+    author = F.when(F.col("publisher") % 3 == 0, "other").otherwise(F.col("name"))
+    docs = rendered(spark, sf_dir, row, F.concat(F.lit('<div class="topic"><h2 class="by">'), author, F.lit('</h2><div class="body">')), F.lit("</div></div>"), "")
+    mine = extract.authored(extract.body_rows(docs, r"div\.topic"), r"h2\.by")
+    return shown(extract.shaped_rows(mine, r"^(\d+)期 \[(\d)\.(\d)\]$"))
