@@ -3,8 +3,7 @@
 Messages: conv_id, turn, role, text. An assistant's text may be JSON with
 `tool_calls: [{id, name, arguments, after: [ids]}]`, a tool's text JSON with `tool_call_id`
 and `content`. Calls and results are hash-joined by conversation and identifier; calls are
-ordered topologically (Kahn's levels: a call comes after all those that it names in
-`after`), arguments are validated against the tools' schemas, and each pair is serialised
+ordered topologically (by level: a call comes after all those that it names in `after`), arguments are validated against the tools' schemas, and each pair is serialised
 as canonical JSON (sorted keys, no spaces).
 """
 
@@ -57,17 +56,54 @@ def argument_errors(name: Column, arguments: Column, tools: dict[str, dict[str,
 def levels(calls: DataFrame) -> DataFrame:
     """conv_id, id, level: 0 for a call that comes after no other, else one more than the highest
     level it comes after; -1 for calls on or behind a cycle. Names of calls that the
-    conversation hasn't got are passed over. There are as many rounds as levels."""
+    conversation hasn't got are passed over.
+
+    Where no call of a conversation names two others, levels are distances to a root, found
+    by pointer jumping: as many rounds as the logarithm of the longest chain. Other
+    conversations are levelled by Kahn's rounds, as many as they have levels.
+    """
     key = ["conv_id", "id"]
     named = calls.select(*key, F.explode("after").alias("parent")).distinct()
     known = calls.select(F.col("conv_id").alias("c"), F.col("id").alias("p"))
-    edges = stored(named.join(known, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("parent") == F.col("p"))).select(*key, "parent"), "call-edges")
-    done = stored(anti(calls.select(*key), edges).withColumn("level", F.lit(0)), "call-levels")
-    pending, level = edges, 0
+    edges = stored(named.join(known, same("conv_id", "c") & (F.col("parent") == F.col("p"))).select(*key, "parent"), "call-edges")
+    several = edges.groupBy(*key).count().where("count > 1").select(F.col("conv_id").alias("c")).distinct()
+    several = stored(several, "call-conversations")
+    own = calls.select(*key)
+    simple = jumped(own.join(several, same("conv_id", "c"), "left_anti"), edges.join(several, same("conv_id", "c"), "left_anti"))
+    if several.isEmpty():
+        return simple
+    rest = kahn(own.join(several, same("conv_id", "c"), "left_semi"), edges.join(several, same("conv_id", "c"), "left_semi"))
+    return simple.unionByName(rest)
+
+
+def same(a: str, b: str) -> Column:
+    return F.col(a).eqNullSafe(F.col(b))
+
+
+def jumped(calls: DataFrame, edges: DataFrame) -> DataFrame:
+    """Levels where each call has one parent at most: each round doubles the distance looked back."""
+    at = edges.select("conv_id", "id", F.col("parent").alias("jump"), F.lit(1).alias("level"))
+    now = stored(anti(calls, edges).select("conv_id", "id", F.lit(None).cast("string").alias("jump"), F.lit(0).alias("level")).unionByName(at), "call-jumps")
+    left = now.where("jump IS NOT NULL").count()
+    while left:
+        target = now.select(F.col("conv_id").alias("c"), F.col("id").alias("p"), F.col("jump").alias("next"), F.col("level").alias("further"))
+        moved = now.join(target, same("conv_id", "c") & (F.col("jump") == F.col("p")), "left")
+        now = stored(moved.select("conv_id", "id", F.col("next").alias("jump"), (F.col("level") + F.coalesce("further", F.lit(0))).alias("level")), "call-jumps")
+        before, left = left, now.where("jump IS NOT NULL").count()
+        if left == before:  # what is left never gets to a root
+            break
+    return now.select("conv_id", "id", F.when(F.col("jump").isNull(), F.col("level")).otherwise(-1).alias("level"))
+
+
+def kahn(calls: DataFrame, edges: DataFrame) -> DataFrame:
+    """Levels by removing, round by round, the calls whose parents have all got theirs."""
+    key = ["conv_id", "id"]
+    pending, level = stored(edges, "call-edges"), 0
+    done = stored(anti(calls, pending).withColumn("level", F.lit(0)), "call-levels")
     while not pending.isEmpty():
         level += 1
         ready = done.select(F.col("conv_id").alias("c"), F.col("id").alias("p"), F.lit(True).alias("ready"))
-        checked = pending.join(ready, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("parent") == F.col("p")), "left")
+        checked = pending.join(ready, same("conv_id", "c") & (F.col("parent") == F.col("p")), "left")
         new = stored(checked.groupBy(*key).agg(F.every(F.coalesce("ready", F.lit(False))).alias("all")).where("all").select(*key), "call-ready")
         if new.isEmpty():
             return done.unionByName(pending.select(*key).distinct().withColumn("level", F.lit(-1)))

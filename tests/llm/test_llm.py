@@ -282,6 +282,23 @@ def test_tool_calls(spark):
     assert found[1, "a"]["json"] == '{"arguments":{"question":"q","turn":1},"id":"a","name":"answer","result":"A"}'
 
 
+def test_levels_of_chains_and_graphs(spark):
+    rnd = random.Random(8)
+    after = {("chain", f"c{i}"): [f"c{i - 1}"] if i else [] for i in range(70)}
+    after |= {("graph", f"g{i}"): [f"g{j}" for j in range(i) if rnd.random() < 0.3] + ["gone"] for i in range(12)}
+    after |= {("loop", "x"): ["y", "z"], ("loop", "y"): ["x"], ("loop", "z"): []}
+    calls = spark.createDataFrame([(c, i, a) for (c, i), a in after.items()], "conv_id string, id string, after array<string>")
+
+    def level(c, i, seen=()):
+        if i in seen:
+            return None
+        own = [level(c, p, (*seen, i)) for p in after[c, i] if (c, p) in after]
+        return None if None in own else 1 + max(own, default=-1)
+
+    found = {(r["conv_id"], r["id"]): r["level"] for r in tool_calls.levels(calls).collect()}
+    assert found == {k: -1 if level(*k) is None else level(*k) for k in after}
+
+
 def test_sql_oracles(spark, sf_dir, duck):
     from conftest import oracle_rows, rows_of
     from periodica.llm.queries import ORACLE_SQL, QUERIES
