@@ -4,16 +4,18 @@
    bits each), and a 128-bit digest of the sorted set. Documents of equal sets form a
    class, of which one row goes on.
 2. BANDS bands of ROWS MinHashes put classes into buckets; a pair of similarity 0.75 misses
-   all of them with probability 5e-6. A bucket's members are compared with its smallest and
-   its largest node, not with each other.
+   all of them with probability 5e-6. A bucket's members are compared with two of them
+   (drawn by hash), not with each other.
 3. A pair's signatures are compared in batches. After each, similarity has a posterior
    (Beta, from a uniform prior); a pair goes as soon as the posterior probability of the
    threshold or more falls below MISS.
-4. Survivors are verified exactly on their full shingle sets: first the best pair of each
-   node, then, of the others, those whose ends aren't connected yet.
-5. Buckets of four and more members can hold pairs that 2. left out. Where such a bucket
-   still holds several components, members outside the largest one are compared with all
-   of other components, so no candidate link between two components is lost.
+4. Of the survivors each node's best pair is verified exactly on the full shingle sets.
+5. Buckets that still hold several components are gone through whole, in blocks of BLOCK
+   members against each other: signatures again prune pairs of different components, and
+   the members that have a pair left get their full sets, from which the block's
+   intersections are counted at once. A task hands on members or spanning links, never
+   pairs, so what moves grows with the members, also where thousands of copies lie close
+   to the threshold, and no candidate link between two components is lost.
 6. Components of the links; one document of each stays.
 """
 
@@ -35,6 +37,7 @@ BANDS, ROWS = 32, 4
 BATCH = 32  # MinHashes compared at once
 NUMERATOR, DENOMINATOR = 75, 100  # the similarity that links
 MISS = 1e-6
+BLOCK = 1024  # members of a bucket that a task compares at once
 SLICE_CHARS = 400_000
 KNOWN_WORDS = 200_000
 
@@ -164,6 +167,105 @@ def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index)], ["a", "b"])
 
 
+KEY = ["bucket", "left", "right"]  # a bucket, and two of its blocks (or one twice)
+
+
+def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Runs of equal KEY in sorted batches (columns 0 to 2)."""
+    held: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        keys = np.stack([table.column(i).to_numpy() for i in range(3)], axis=1)
+        starts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        at = 0
+        for end in starts.tolist():
+            yield table.slice(at, end - at)
+            at = end
+        held = table.slice(at).combine_chunks()
+    if held is not None and held.num_rows:
+        yield held
+
+
+def across(block: np.ndarray, left: int, right: int) -> np.ndarray:
+    """Which pairs of rows a group answers for."""
+    if left == right:
+        return np.triu(np.ones((len(block), len(block)), bool), 1)
+    return (block == left)[:, None] & (block == right)[None, :]
+
+
+def screen(least: list[int]):
+    """Of each group the members that have a pair left: of different components, in no earlier band
+    together, and not pruned by its signatures. Columns: KEY, band, block, node, root, signature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches):
+            block, node, root = (group.column(i).to_numpy() for i in (4, 5, 6))
+            bands = group.column(7).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(node), BANDS)
+            hashes = bands.view(np.uint16).reshape(len(node), BANDS * ROWS)
+            band = group.column(3)[0].as_py()
+            wanted = across(block, group.column(1)[0].as_py(), group.column(2)[0].as_py()) & (root[:, None] != root[None, :])
+            busy = np.zeros(len(node), bool)
+            for i in range(0, len(node), 32):
+                pairs = wanted[i : i + 32]
+                if not pairs.any():
+                    continue
+                if band:
+                    pairs = pairs & ~(bands[i : i + 32, None, :band] == bands[None, :, :band]).any(axis=2)
+                same = hashes[i : i + 32, None] == hashes[None]
+                counts = same.reshape(*same.shape[:2], -1, BATCH).sum(axis=3).cumsum(axis=2)
+                pairs = pairs & (counts >= np.array(least)).all(axis=2)
+                busy[i : i + 32] |= pairs.any(axis=1)
+                busy |= pairs.any(axis=0)
+            if busy.any():
+                index = pa.array(np.flatnonzero(busy))
+                kept = group.take(index)
+                names = [*KEY, "block", "node", "root"]
+                yield from pa.table([kept.column(i) for i in (0, 1, 2, 4, 5, 6)], names).combine_chunks().to_batches()
+
+    return run
+
+
+def spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Exact links within each group as a, b: every linked member with the smallest it reaches there.
+    Columns: KEY, block, node, root, hashes."""
+    for group in groups(batches):
+        block, node, root = (group.column(i).to_numpy() for i in (3, 4, 5))
+        wanted = across(block, group.column(1)[0].as_py(), group.column(2)[0].as_py()) & (root[:, None] != root[None, :])
+        sets = [np.frombuffer(x, np.uint64) for x in group.column(6).to_pylist()]
+        sizes = np.array([len(x) for x in sets])
+        common = intersections(sets)
+        linked = wanted & (DENOMINATOR * common >= NUMERATOR * (sizes[:, None] + sizes[None, :] - common))
+        linked |= linked.T
+        best = np.arange(len(node))
+        while linked.any():
+            smaller = np.minimum(best, np.where(linked, best[None, :], len(node)).min(axis=1))
+            if (smaller == best).all():
+                break
+            best = smaller
+        found = np.flatnonzero(best != np.arange(len(node)))
+        yield pa.RecordBatch.from_arrays([pa.array(node[found]), pa.array(node[best[found]])], ["a", "b"])
+
+
+def intersections(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of all intersections: products of 0/1 matrices, `width` shared hashes at a time."""
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[column]
+    row, column = row[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, int(shared.sum()), width):
+        a, b = np.searchsorted(column, [start, start + width])
+        part = np.zeros((len(sets), width), np.float32)
+        part[row[a:b], column[a:b] - start] = 1
+        common += part @ part.T
+    return common.astype(np.int64)
+
+
 class Verifier:
     """Links among candidate pairs of classes; `texts` has rep (a document of the class) and text."""
 
@@ -175,54 +277,47 @@ class Verifier:
         one = self.classes.select(F.col("node").alias("a"), F.col("signature").alias("sig_a"))
         two = self.classes.select(F.col("node").alias("b"), F.col("signature").alias("sig_b"))
         both = pairs.join(one, "a").join(two, "b").select("a", "b", "sig_a", "sig_b")
-        return stored(both.mapInArrow(compare(self.least), "a long, b long, matches int"), "near-survivors")
+        return both.mapInArrow(compare(self.least), "a long, b long, matches int")
 
-    def exact(self, pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        needed = self.classes.select("node", "print", "rep").join(ends, "node")
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """node, hashes: full shingle sets of distinct nodes, from the texts of their representatives."""
+        needed = self.classes.select("node", "print", "rep").join(nodes, "node")
         reps = needed.select(F.col("rep").alias("id")).distinct()
         texts = self.texts.join(reps, F.col("rep").eqNullSafe(F.col("id")), "left_semi").select("text")
-        sets = stored(
-            texts.mapInArrow(full_sets, "print binary, hashes binary").join(needed, "print").dropDuplicates(["node"]).select("node", "hashes"),
-            "near-sets",
+        found = texts.mapInArrow(full_sets, "print binary, hashes binary").join(needed, "print")
+        return stored(found.dropDuplicates(["node"]).select("node", "hashes"), "near-sets")
+
+    def best_links(self, pairs: DataFrame) -> DataFrame:
+        """4.: exact links among each node's best surviving pair."""
+        best = stored(
+            self.survivors(pairs).groupBy("b").agg(F.max_by("a", F.struct("matches", "a")).alias("a")).select("a", "b"), "near-best"
         )
+        sets = self.sets(best.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         one = sets.select(F.col("node").alias("a"), F.col("hashes").alias("set_a"))
         two = sets.select(F.col("node").alias("b"), F.col("hashes").alias("set_b"))
-        both = pairs.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b")
+        both = best.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b")
         return stored(both.mapInArrow(verify, "a long, b long"), "near-links")
 
-    def links(self, pairs: DataFrame, links: DataFrame | None) -> DataFrame:
-        """The old links and, among `pairs`, those found: of pairs within a component, as many as connect it."""
-        alive = self.survivors(pairs)
-        best = alive.groupBy("b").agg(F.max_by("a", F.struct("matches", "a")).alias("a")).select("a", "b")
-        found = self.exact(stored(best, "near-best"))
-        links = found if links is None else links.unionByName(found)
-        rest = apart(alive.join(best, ["a", "b"], "left_anti").select("a", "b"), components(links))
-        rest = stored(rest.select("a", "b"), "near-rest")
-        return links if rest.isEmpty() else stored(links.unionByName(self.exact(rest)), "near-links")
-
-
-def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs whose ends are in different components."""
-    one = found.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
-    two = found.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-    return pairs.join(one, "a", "left").join(two, "b", "left").where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
-
-
-def left_out(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of 5.: within buckets of four and more, between components, not yet compared."""
-    roots = found.select("node", "root")
-    inside = stored(
-        members.where("size >= 4").join(roots, "node", "left").select("bucket", "node", "low", "high", F.coalesce("root", "node").alias("root")),
-        "near-inside",
-    )
-    sizes = inside.groupBy("bucket", "root").count()
-    mixed = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
-    outside = inside.join(stored(mixed, "near-mixed"), "bucket").where("root != main AND node NOT IN (low, high)")
-    left = outside.select("bucket", F.col("node").alias("x"), F.col("root").alias("x_root"), "main")
-    right = inside.where("node NOT IN (low, high)").select("bucket", F.col("node").alias("y"), F.col("root").alias("y_root"))
-    crossed = left.join(right, "bucket").where("x_root != y_root AND (y_root = main OR x < y)")
-    return crossed.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    def block_links(self, members: DataFrame, found: DataFrame) -> DataFrame:
+        """5.: spanning links between components, from all pairs of members of mixed buckets."""
+        inside = stored(
+            members.join(found, "node", "left").select("bucket", "band", "size", "node", F.coalesce("root", "node").alias("root")), "near-inside"
+        )
+        mixed = inside.groupBy("bucket").agg((F.min("root") != F.max("root")).alias("mixed")).where("mixed").select("bucket")
+        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+        rows = inside.join(stored(mixed, "near-mixed"), "bucket").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+        other = F.explode(F.sequence(F.lit(0), blocks - 1))
+        paired = rows.withColumn("other", other).select(
+            "bucket", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "band", "block", "node", "root"
+        )
+        signed = paired.join(self.classes.select("node", "signature"), "node")
+        ordered = signed.select(*KEY, "band", "block", "node", "root", "signature").repartition(*KEY).sortWithinPartitions(*KEY)
+        busy = stored(ordered.mapInArrow(screen(self.least), "bucket long, left int, right int, block int, node long, root long"), "near-busy")
+        if busy.isEmpty():
+            return busy.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        full = busy.join(self.sets(busy.select("node").distinct()), "node")
+        ordered = full.select(*KEY, "block", "node", "root", "hashes").repartition(*KEY).sortWithinPartitions(*KEY)
+        return stored(ordered.mapInArrow(spanning, "a long, b long"), "near-links")
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -243,9 +338,15 @@ def near_groups(docs: DataFrame) -> DataFrame:
         .withColumn("node", F.monotonically_increasing_id()),
         "near-classes",
     )
-    bands = classes.select("node", F.posexplode("signature").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("bucket"))
-    shared = bands.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("size")).where("size > 1")
-    members = stored(bands.join(stored(shared, "near-buckets"), "bucket"), "near-members")
+    bands = classes.select("node", F.posexplode("signature").alias("band", "value")).select(
+        "node", "band", F.xxhash64("band", "value").alias("bucket")
+    )
+    order = F.xxhash64("node", "bucket")  # each bucket compares with two members of its own
+    shared = bands.groupBy("bucket").agg(
+        F.min(F.struct(order.alias("h"), "node")).alias("low"), F.max(F.struct(order.alias("h"), "node")).alias("high"), F.count("*").alias("size")
+    )
+    buckets = stored(shared.where("size > 1").select("bucket", F.col("low.node").alias("low"), F.col("high.node").alias("high"), "size"), "near-buckets")
+    members = stored(bands.join(buckets, "bucket"), "near-members")
     pairs = (
         members.select("node", F.explode(F.array("low", "high")).alias("other"))
         .where("node != other")
@@ -253,11 +354,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
         .distinct()
     )
     verifier = Verifier(classes, own.select(F.col("doc_id").alias("rep"), "text"))
-    links = verifier.links(stored(pairs, "near-pairs"), None)
-    found = components(links)
-    more = stored(left_out(members, found), "near-pairs")
-    if not more.isEmpty():
-        found = components(verifier.links(more, links))
+    links = verifier.best_links(pairs)
+    more = verifier.block_links(members, components(links))
+    found = components(links.unionByName(more))
     placed = classes.select("node", "print", "rep", "rows").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.join(found, "node", "left_semi").groupBy("root").agg(F.min("rep").alias("component_id"))
     moved = placed.join(stored(smallest, "near-roots"), "root", "left").where("rows > 1 OR component_id IS NOT NULL")
