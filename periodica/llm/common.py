@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BROADCAST_IDS = 1_000_000  # ids (of 8 bytes) that are broadcast at most; more are joined by shuffle
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -15,15 +17,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir of the session.
+OWN_FOLDERS: dict[str, str] = {}  # by application, where the setting is unset
+
 
-    Only where it is unset, as in tests on one machine, a temporary folder is made and set.
-    """
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir of the session. Only where it is
+    unset, as in tests on one machine, a temporary folder takes its place."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="periodica-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        application = spark.sparkContext.applicationId
+        folder = OWN_FOLDERS.setdefault(application, "") or tempfile.mkdtemp(prefix="periodica-")
+        OWN_FOLDERS[application] = folder
     return folder.rstrip("/")
 
 
@@ -50,9 +54,15 @@ def whole(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def checked(ids: DataFrame, name: str) -> DataFrame:
+    """`ids`, written, and to be broadcast if they are few enough: a join with texts then moves no text."""
+    kept = stored(ids, name)
+    return F.broadcast(kept) if kept.count() <= BROADCAST_IDS else kept
+
+
 def keep_columns(docs: DataFrame, kept: DataFrame, how: str) -> DataFrame:
     """Rows of `docs` by a semi or anti join with the ids in `kept.doc_id`; names of extra
     columns can't clash because the row travels as one struct. A null doc_id matches nothing."""
     packed = docs.select(F.struct("*").alias("row"))
-    ids = kept.select(F.col("doc_id").alias("id")).distinct()
+    ids = checked(kept.select(F.col("doc_id").alias("id")).distinct(), "ids")
     return packed.join(ids, F.col("row.doc_id") == F.col("id"), how).select("row.*")

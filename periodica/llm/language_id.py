@@ -21,8 +21,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from .common import documents, keep_columns, stored
+from .common import documents
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -162,6 +163,23 @@ def sharpened(learned: dict[str, np.ndarray]) -> tuple[list[str], np.ndarray]:
     return names, unit.astype(np.float32)
 
 
+def judge(texts: list[str | None], names: list[str], vectors: np.ndarray, known: Grams) -> tuple[list[str], list[float]]:
+    """Language and score of each text."""
+    langs, scores = [], []
+    for text in texts:
+        plain = clean(text)
+        if not names or not plain.strip():
+            langs.append(UNKNOWN)
+            scores.append(0.0)
+            continue
+        profile = known.bundle(*counted(plain))
+        cosines = vectors @ profile / max(float(np.linalg.norm(profile)), 1e-12)
+        best = int(np.argmax(cosines))
+        langs.append(names[best])
+        scores.append(min(1.0, max(0.0, float(cosines[best]))))
+    return langs, scores
+
+
 def identify(docs: DataFrame, learned: dict[str, np.ndarray] | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred, score for each row of `docs`.
 
@@ -177,18 +195,7 @@ def identify(docs: DataFrame, learned: dict[str, np.ndarray] | None = None) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Grams()
         for batch in batches:
-            langs, scores = [], []
-            for text in batch.column(2).to_pylist():
-                plain = clean(text)
-                if not names or not plain.strip():
-                    langs.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                profile = known.bundle(*counted(plain))
-                cosines = vectors @ profile / max(float(np.linalg.norm(profile)), 1e-12)
-                best = int(np.argmax(cosines))
-                langs.append(names[best])
-                scores.append(min(1.0, max(0.0, float(cosines[best]))))
+            langs, scores = judge(batch.column(2).to_pylist(), names, vectors, known)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 ["doc_id", "held_out", "lang_pred", "score"],
@@ -198,10 +205,18 @@ def identify(docs: DataFrame, learned: dict[str, np.ndarray] | None = None) -> D
     return own.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that have a language: those with `und` go. Rows with a null doc_id stay."""
-    found = stored(identify(docs).select("doc_id", "lang_pred"), "language")
-    return keep_columns(docs, found.where(F.col("lang_pred") == UNKNOWN), "left_anti")
+def keep_identified(docs: DataFrame, learned: dict[str, np.ndarray] | None = None) -> DataFrame:
+    """The rows of `docs` that have a language: those with `und` go. Each row is judged where it stands, so
+    nothing is joined and no column name can clash."""
+    names, vectors = sharpened(prototypes(docs) if learned is None else learned)
+
+    @F.pandas_udf(StringType())
+    def language(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = Grams()
+        for texts in batches:
+            yield pd.Series(judge(texts.tolist(), names, vectors, known)[0], dtype=object)
+
+    return docs.where(language(F.col("text").cast("string")) != UNKNOWN)
 
 
 def op9_language_id(spark, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, keep_columns, stored
+from .common import checked, documents, keep_columns, stored
 from .components import components
 
 WORDS = 5
@@ -282,7 +282,7 @@ class Verifier:
     def sets(self, nodes: DataFrame) -> DataFrame:
         """node, hashes: full shingle sets of distinct nodes, from the texts of their representatives."""
         needed = self.classes.select("node", "print", "rep").join(nodes, "node")
-        reps = needed.select(F.col("rep").alias("id")).distinct()
+        reps = checked(needed.select(F.col("rep").alias("id")).distinct(), "near-reps")
         texts = self.texts.join(reps, F.col("rep").eqNullSafe(F.col("id")), "left_semi").select("text")
         found = texts.mapInArrow(full_sets, "print binary, hashes binary").join(needed, "print")
         return stored(found.dropDuplicates(["node"]).select("node", "hashes"), "near-sets")
