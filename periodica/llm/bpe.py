@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import documents
+from .common import documents, texts_to_python
 
 NONE = np.int64(1) << np.int64(62)
 CACHE = 200_000  # chunks kept by a task
@@ -346,7 +346,7 @@ def tokenize(docs: DataFrame, path: str) -> DataFrame:
                 )
                 at += len(part)
 
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    own = texts_to_python(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return own.mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 BROADCAST_IDS = 1_000_000  # ids (of 8 bytes) that are broadcast at most; more are joined by shuffle
 
+TEXT_ROWS = 500  # rows of a batch of texts
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -40,6 +42,15 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def texts_to_python(docs: DataFrame) -> DataFrame:
+    """`docs`, whose whole texts go to Python workers next: from now on the session sends batches of at most
+    TEXT_ROWS rows, so that a worker holds a few MB of text at once."""
+    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", docs.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= TEXT_ROWS:
+        conf.set(key, str(TEXT_ROWS))
+    return docs
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import documents
+from .common import documents, texts_to_python
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -146,7 +146,7 @@ def prototypes(docs: DataFrame) -> dict[str, np.ndarray]:
         for lang, vector in sums.items():
             yield pd.DataFrame({"lang": lang, "place": np.arange(DIMENSIONS), "value": vector})
 
-    taught = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select("lang", "text")
+    taught = texts_to_python(docs).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select("lang", "text")
     summed = taught.mapInPandas(run, "lang string, place int, value double").groupBy("lang", "place").agg(F.sum("value").alias("value"))
     out: dict[str, np.ndarray] = {}
     for row in summed.collect():  # DIMENSIONS numbers for each language
@@ -201,7 +201,7 @@ def identify(docs: DataFrame, learned: dict[str, np.ndarray] | None = None) -> D
                 ["doc_id", "held_out", "lang_pred", "score"],
             )
 
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
+    own = texts_to_python(docs).select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
     return own.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
@@ -216,7 +216,7 @@ def keep_identified(docs: DataFrame, learned: dict[str, np.ndarray] | None = Non
         for texts in batches:
             yield pd.Series(judge(texts.tolist(), names, vectors, known)[0], dtype=object)
 
-    return docs.where(language(F.col("text").cast("string")) != UNKNOWN)
+    return texts_to_python(docs).where(language(F.col("text").cast("string")) != UNKNOWN)
 
 
 def op9_language_id(spark, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked, documents, keep_columns, stored
+from .common import checked, documents, keep_columns, stored, texts_to_python
 from .components import components
 
 WORDS = 5
@@ -329,7 +329,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     smallest doc_id reached, null ones left aside. Repeated rows carry the same values, an
     empty table gives an empty result, other columns are ignored.
     """
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    own = texts_to_python(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketched = stored(own.mapInArrow(sketch, "doc_id long, n_shingles long, print binary, signature array<long>"), "near-sketches")
     classes = stored(
         sketched.where("print IS NOT NULL")
