@@ -256,6 +256,19 @@ def test_main_text(spark):
     assert html_text.extract(pages).count() == 3
 
 
+PROSE = "It was the first of the days on which they had all that is to be said about it by the end of the year."
+
+
+def test_main_text_is_judged_inside_and_outside_of_regions():
+    links = "".join(f'<li><a href="/{i}">Another story with a long headline, number {i}, from the archive of the year</a></li>' for i in range(3))
+    related = f"<article><h1>Title</h1><p>{PROSE}</p><p>Odd: xyz.</p><p>{PROSE}</p><h3>More</h3><ul>{links}</ul></article>"
+    assert html_text.main_text(related) == f"Title\n{PROSE}\nOdd: xyz.\n{PROSE}"
+    beside = f"<div>Site</div><div>{links}</div><div><p>{PROSE}</p><p>{PROSE}</p></div><article><p>A teaser.</p></article>"
+    assert html_text.main_text(beside) == f"{PROSE}\n{PROSE}\nA teaser."
+    anchors = f'<article><h2><a href="#a">Linked title</a></h2><p><a name="a">{PROSE}</a></p><p><a href="/x">&eacute;&eacute;&eacute;</a> {"ab cd " * 15}</p></article>'
+    assert html_text.main_text(anchors) == f"Linked title\n{PROSE}\nééé {('ab cd ' * 15).strip()}"
+
+
 def call(ident, name, arguments, after=()):
     return {"id": ident, "name": name, "arguments": arguments, "after": list(after)}
 
