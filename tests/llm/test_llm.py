@@ -269,6 +269,22 @@ def test_main_text_is_judged_inside_and_outside_of_regions():
     assert html_text.main_text(anchors) == f"Linked title\n{PROSE}\nééé {('ab cd ' * 15).strip()}"
 
 
+def test_main_text_of_unmarked_noisy_and_other_pages(spark):
+    menu = "".join(f'<li><a href="/{i}">Strona numer {i}</a></li>' for i in range(4))
+    page = lambda *texts: f'<html lang="pl"><body><ul>{menu}</ul><div>{"".join(f"<p>{t}</p>" for t in texts)}</div><ul>{menu}</ul></body></html>'
+    noisy = " ".join(w + ("%%%", "***", "###", "$$$", "&amp;&amp;&amp;")[i % 5] for i, w in enumerate(PROSE.split()))
+    assert html_text.main_text(page(noisy)).count("***") == noisy.count("***")
+    assert html_text.words_of("The%%% *** 12 day,###") == ["the", "", "day"]
+    polish = "Kiedy wrócił do domu, zastał otwarte drzwi i ciemny korytarz, a na stole leżał list, którego nikt jeszcze nie przeczytał."
+    assert html_text.main_text(page(polish, "Nikt.", polish)) == f"{polish}\nNikt.\n{polish}"
+    assert html_text.main_text(page("語" * 90)) == "語" * 90
+    rnd = random.Random(5)
+    made = lambda: " ".join(rnd.choice(("się", "nie", "jest")) if rnd.random() < 0.5 else "".join(rnd.choices("aeioklmnrst", k=9)) for _ in range(60))
+    pages = spark.createDataFrame([(i, "u", page(made())) for i in range(30)], "page_id long, url string, html string")
+    assert html_text.learn(pages) == {"pl": {"się", "nie", "jest"}}
+    assert [r["text"] != "" for r in html_text.extract(pages).collect()] == [True] * 30
+
+
 def call(ident, name, arguments, after=()):
     return {"id": ident, "name": name, "arguments": arguments, "after": list(after)}
 
