@@ -4,7 +4,12 @@ A paragraph is what stands between line feeds and is a leaf; its digest is a has
 text. A section is a run of paragraphs that ends after one whose digest ends in 0 (so an
 insertion moves no other boundary); its digest hashes those of its paragraphs. The root is
 the SHA-256 of the sections' digests: equal roots, equal texts. Beside its digest a leaf
-carries short hashes of its pieces of PIECE_WORDS words, from which likeness is measured.
+carries short hashes of its pieces, from which likeness is measured. Pieces tile the
+paragraph and end where content says so: after a word whose hash is 0 modulo PIECE_WORDS,
+and in words of over LONG_WORD characters after two differing characters whose hash is 0
+modulo PIECE_CHARACTERS; so what is inserted or deleted changes the pieces that it touches.
+Two texts of at most SHORT_TEXT characters have few pieces and are compared by all their
+runs of three characters.
 
     fingerprint = root:section(paragraph=piece.piece,paragraph=piece);section(...)
 """
@@ -16,16 +21,44 @@ from pyspark.sql import functions as F
 
 from .common import documents
 
-PIECE_WORDS = 4
+PIECE_WORDS, PIECE_CHARACTERS = 4, 16  # on average
+LONG_WORD, SHORT_TEXT = 32, 200  # characters
 RANGE_ROWS = 4_000  # rows that a range of ids aims at
 MIN_RANGES, MAX_RANGES = 64, 4096
 LEAST = -(2**63)  # where a null doc_id stands in the order
 
 
+def ended(part: Column, ends: Column) -> Column:
+    """`part`, with a line feed (which no paragraph has) behind it where a piece ends."""
+    return F.concat(part, F.when(ends, F.lit("\n")).otherwise(F.lit("")))
+
+
+def in_characters(word: Column) -> Column:
+    """A long word with the ends of its pieces. A run of one character has none."""
+    characters, edge = F.split(word, "", -1), F.array(F.lit(""))
+    ends = lambda b, c: (b != "") & (b != c) & (F.pmod(F.xxhash64(b, c), F.lit(PIECE_CHARACTERS)) == 0)
+    return F.array_join(F.zip_with(F.concat(edge, characters), F.concat(characters, edge), lambda b, c: ended(c, ends(b, c))), "")
+
+
+def in_pieces(paragraph: Column) -> Column:
+    """The paragraph's pieces, in order; joined they are the paragraph."""
+    words = F.regexp_extract_all(paragraph, F.lit("[^ ]+ *| +"), F.lit(0))
+    cut = lambda w: F.when(F.char_length(w) > LONG_WORD, in_characters(w)).otherwise(ended(w, F.pmod(F.xxhash64(F.rtrim(w)), F.lit(PIECE_WORDS)) == 0))
+    return F.filter(F.split(F.array_join(F.transform(words, cut), ""), "\n", -1), lambda p: p != "")
+
+
 def pieces(paragraph: Column) -> Column:
     """Short hashes of the paragraph's pieces, in order."""
-    found = F.regexp_extract_all(paragraph, F.lit(rf"(?:[^ ]+ *| +){{1,{PIECE_WORDS}}}"), F.lit(0))
-    return F.transform(found, lambda p: F.lower(F.hex(F.shiftrightunsigned(F.xxhash64(p), 32))))
+    return F.transform(in_pieces(paragraph), lambda p: F.lower(F.hex(F.shiftrightunsigned(F.xxhash64(p), 32))))
+
+
+def runs(text: Column) -> Column:
+    """The distinct runs of three characters, and of two and one at the end."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(.{1,3}))"), F.lit(1)))
+
+
+def is_short(text: Column) -> Column:
+    return F.char_length(text) <= SHORT_TEXT
 
 
 def tree(text: Column) -> Column:
@@ -59,6 +92,11 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(both == 0, F.lit(1.0)).otherwise(2.0 * F.size(F.array_intersect(a, b)) / both)
 
 
+def by_runs(a: Column, b: Column) -> Column:
+    """Likeness of two short texts; null if one is longer."""
+    return F.when(is_short(a) & is_short(b), likeness(runs(a), runs(b)))
+
+
 def changed_paragraphs(a: Column, b: Column) -> Column:
     """Places (from 0) in `a` of paragraphs that `b` hasn't, looked for only under sections whose
     digests differ; empty if the roots are equal."""
@@ -115,18 +153,19 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """
     paired, order = with_next(docs)
     marked = paired.select(
-        "doc_id", "place", "text", "guest", "range", F.char_length("text").cast("long").alias("n_chars"),
+        "doc_id", "place", "text", "next_text", "guest", "range", F.char_length("text").cast("long").alias("n_chars"),
         edited(F.col("text"), F.col("next_text")).alias("edited"), tree(F.col("text")).alias("fingerprint"),
     )
     following = marked.withColumn("next_pieces", pieces_of(F.lead("fingerprint").over(order))).where("NOT guest")
     both = following.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
         tree(F.col("edited")).alias("edited_fingerprint"), pieces_of(F.col("fingerprint")).alias("own_pieces"), "next_pieces",
+        by_runs(F.col("text"), F.col("edited")).alias("short_edited"), by_runs(F.col("text"), F.col("next_text")).alias("short_next"),
     )
     return both.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness(F.col("own_pieces"), pieces_of(F.col("edited_fingerprint"))).alias("near_edited"),
-        likeness(F.col("own_pieces"), F.col("next_pieces")).alias("near_next"),
+        F.coalesce("short_edited", likeness(F.col("own_pieces"), pieces_of(F.col("edited_fingerprint")))).alias("near_edited"),
+        F.coalesce("short_next", likeness(F.col("own_pieces"), F.col("next_pieces"))).alias("near_next"),
     )
 
 

@@ -243,6 +243,29 @@ def test_merkle_edits_and_next(spark):
     assert [(r["c"], r["same"]) for r in changed] == [([1], False), ([], True)]
 
 
+def test_likeness_under_insertion_deletion_and_offset(spark):
+    rnd = random.Random(4)
+    words = ["".join(rnd.choices("abcdefghijklmnop", k=rnd.randint(2, 9))) for _ in range(4000)]
+    text = "\n".join(" ".join(words[i : i + 200]) for i in range(0, 4000, 200))
+    solid = "".join(chr(rnd.randint(0x4E00, 0x9000)) for _ in range(6000))
+    pairs = {
+        "insertion": (text, "\n".join("word " + p for p in text.split("\n"))),
+        "deletion": (text, "\n".join(p.split(" ", 1)[1] for p in text.split("\n"))),
+        "offset": (text, "one more " + text),
+        "solid": (solid, solid[:3000] + "語" + solid[3000:]),
+        "leaf": (text.replace("\n", " "), text.replace("\n", " ").replace(words[77] + " ", "", 1)),
+    }
+    frame = spark.createDataFrame([(k, *v) for k, v in pairs.items()], "k string, x string, y string")
+    found = frame.select("k", merkle.likeness(merkle.pieces_of(merkle.tree(F.col("x"))), merkle.pieces_of(merkle.tree(F.col("y")))).alias("near"))
+    near = {r["k"]: r["near"] for r in found.collect()}
+    assert min(near.values()) > 0.9 and max(near.values()) < 1, near
+    odd = ["a  b   c ", " ", "", "x" * 99, solid[:90] + "  " + "ab" * 40]
+    joined = spark.createDataFrame([(t,) for t in odd], "t string").select("t", F.array_join(merkle.in_pieces(F.col("t")), "").alias("j")).collect()
+    assert [r["t"] for r in joined] == [r["j"] for r in joined]
+    rows = {r["doc_id"]: r for r in merkle.fingerprints(docs_of(spark, [(2, "one two three"), (1, "日本語のテキスト"), (0, text)])).collect()}
+    assert 0.2 < rows[2]["near_edited"] < 0.8 and 0.1 < rows[1]["near_edited"] < 0.8 and rows[1]["near_next"] == 0
+
+
 PAGE = """<html><head><title>T</title></head><body><header>Site</header><nav><a href="/">home</a></nav><div id="cookie-notice">We use cookies</div>
 <article><h1>Title &amp; more</h1><p>First <b>bold</b>&nbsp;words<br>here<p>Les.<div class="ad">Buy</div><p>Last</p><script>"<p>no</p>"</script></article>
 <section class="comments"><p>I like it</p></section><aside>side</aside><form>f</form><footer>c</footer></body></html>"""
