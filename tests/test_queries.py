@@ -27,3 +27,12 @@ def test_entry_point(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_every_state_reaches_the_fault_checks(spark, sf_dir, monkeypatch):
+    from periodica.plans import series_queries as plans
+
+    seen, check = [], plans.rolling.value_faults
+    monkeypatch.setattr(plans.rolling, "value_faults", lambda state, plain: seen.append(state) or check(state, plain))
+    catalog.QUERIES["r2_r3_state_faults"](spark, sf_dir)
+    assert seen[0].count() == plans.rolling.as_vectors(plans.rolled(spark, sf_dir)).count()
