@@ -26,11 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import documents, texts_to_python
+from .common import documents, slices
 
 NONE = np.int64(1) << np.int64(62)
-CACHE = 200_000  # chunks kept by a task
-SLICE_CHARS = 2_000_000  # of text that a task works on at once
+CACHE = 100_000  # chunks kept by a task
 LONGEST_ROW = 64  # pairs of a word that is merged as a row
 
 # Fixed values of the published tokenizer: its word pattern and end-of-word mark.
@@ -306,18 +305,6 @@ class Coder:
         return " ".join([self.tokens[i] for i in ids])
 
 
-def slices(texts: list[str | None]) -> Iterator[list[str]]:
-    part, size = [], 0
-    for t in texts:
-        part.append(t or "")
-        size += len(part[-1])
-        if size >= SLICE_CHARS:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
 def tokenize(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids (binary, little-endian unsigned 32-bit integers), decoded.
 
@@ -331,9 +318,8 @@ def tokenize(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, known = cloudpickle.loads(packed.value), Known()
         for batch in batches:
-            at = 0
-            for part in slices(batch.column(1).to_pylist()):
-                done = list(coder.texts(part, known))
+            for at, part in slices(batch.column(1)):
+                done = list(coder.texts([t or "" for t in part], known))
                 ids = pa.array([d[0] for d in done], pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -344,14 +330,14 @@ def tokenize(docs: DataFrame, path: str) -> DataFrame:
                     ],
                     ["doc_id", "n_tokens", "ids", "decoded"],
                 )
-                at += len(part)
 
-    own = texts_to_python(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return own.mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")
 
 
 def detokenize(tokens: DataFrame, path: str) -> DataFrame:
-    """doc_id, decoded, from the binary column `ids`; null ids decode to an empty string."""
+    """doc_id, decoded, from the binary column `ids`; null or empty ids decode to an empty string. Rows are
+    independent, an empty table gives an empty result, other columns are ignored."""
     packed = tokens.sparkSession.sparkContext.broadcast(cloudpickle.dumps(Coder(path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,8 +2,11 @@
 
 Large star: every node hands its larger neighbours to the smallest node it knows; small
 star: its smaller ones. Links only move to smaller ends, and the tables stay as large as
-the links. Minima are aggregated before they are joined back, so a node with very many
-links meets no single task.
+the links. Minima are aggregated before they are joined back. Those of nodes with more than
+HOT links are broadcast (there are at most links / HOT of them, and their number is checked),
+so that the links of such a node stay where they are; only the others are joined by shuffle.
+The links halve their distance to the root in a few rounds, so the rounds grow with the
+logarithm of the largest component and are not bounded otherwise.
 """
 
 from __future__ import annotations
@@ -11,20 +14,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import checked, stored
 
-MOST_ROUNDS = 60
+HOT = 256  # links of a node that are not joined by shuffle
+
+
+def minima(links: DataFrame, name: str) -> DataFrame:
+    """links (u, v) with m, the least v of each u."""
+    least = stored(links.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), name)
+    hot = checked(least.where(f"n > {HOT}").select("u", F.col("m").alias("hot_m")), f"{name}-hot")
+    marked = links.join(hot, "u", "left")
+    rest = marked.where("hot_m IS NULL").select("u", "v").join(least.where(f"n <= {HOT}").select("u", "m"), "u")
+    return marked.where("hot_m IS NOT NULL").select("u", "v", F.col("hot_m").alias("m")).unionAll(rest.select("u", "v", "m"))
 
 
 def star(links: DataFrame, large: bool) -> DataFrame:
     """links: u, v with u > v."""
     if large:
         around = links.select("u", "v").unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        moved = around.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        moved = minima(around, "large-star").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
     else:
-        least = links.groupBy("u").agg(F.min("v").alias("m"))
-        moved = links.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("a")), F.struct(F.col("u").alias("a")))).alias("x"), "m").select(F.col("x.a").alias("u"), F.col("m").alias("v"))
+        moved = minima(links, "small-star").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
     return moved.where("u != v").distinct()
 
 
@@ -38,13 +48,10 @@ def components(links: DataFrame) -> DataFrame:
     if now.isEmpty():
         return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     mark = state(now)
-    for _ in range(MOST_ROUNDS):
-        now = stored(star(star(now, True), False), "links")
+    before = None
+    while mark != before:
+        now = stored(star(stored(star(now, True), "links"), False), "links")
         before, mark = mark, state(now)
-        if mark == before:
-            break
-    else:
-        raise RuntimeError("components did not settle")
     roots = now.select(F.col("v").alias("node")).distinct().withColumn("root", F.col("node"))
     return stored(now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots), "components")
 

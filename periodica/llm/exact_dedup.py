@@ -6,11 +6,14 @@
    owner, with a bitmap of those that the sender itself holds more than once.
 3. Owners decode the messages of their range and answer each with a bitmap: bit i is set
    if fingerprint i of the message also came from elsewhere, or twice from the sender.
-4. Senders turn the bitmaps into suspects. Only documents with a suspect fingerprint are
-   shuffled, grouped by the normalised text itself: equality of bytes decides.
+4. Senders turn the bitmaps into suspects. While there are at most BROADCAST_ROWS distinct
+   ones, they are broadcast, and only documents with a suspect fingerprint are shuffled;
+   beyond that rows and suspects meet by shuffle. Their texts are grouped, first where they
+   are and then after the shuffle, by the normalised text itself: equality of bytes decides.
 
 A sender holds one slice and an owner one range of the hash, each of bounded size; a
-fingerprint that a third of all rows share is sent once by each sender.
+fingerprint that a third of all rows share is sent once by each sender, and a text once by
+each task that has it.
 """
 
 from __future__ import annotations
@@ -19,10 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, documents, keep_columns, partitions, stored, whole
+from .common import ascii_lower, checked, documents, partitions, rows_with, stored, whole
 
 SLICE_ROWS = 1 << 20  # fingerprints a sender sorts at once
 OWNER_ROWS = 2_000_000  # fingerprints an owner's range aims at
@@ -118,6 +121,11 @@ def suspects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame({"fingerprint": decode(m)[marks].view(np.int64)})
 
 
+def body() -> Column:
+    """The normalised text."""
+    return ascii_lower(whole())
+
+
 def exact_groups(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for each row of `docs`.
 
@@ -126,8 +134,13 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     has a null keep_id. Rows repeated with doc_id and text count each in group_size and all
     carry the same kept. An empty table gives an empty result. Other columns are ignored.
     """
+    return decisions(docs).drop("fingerprint")
+
+
+def decisions(docs: DataFrame) -> DataFrame:
+    """`exact_groups` with the fingerprint of each row's text."""
     spark = docs.sparkSession
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), ascii_lower(whole()).alias("body"))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body().alias("body"))
     prints = stored(
         own.select("doc_id", F.xxhash64("body").alias("fingerprint"), F.sha2("body", 256).alias("text_sha256")),
         "exact-fingerprints",
@@ -135,7 +148,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     owners = max(partitions(spark), -(-prints.count() // OWNER_ROWS))
     messages = stored(prints.select("fingerprint").mapInPandas(send(owners), MESSAGE), "exact-messages")
     answers = messages.groupBy("owner").applyInPandas(answer, ANSWER)
-    suspect = messages.join(answers, ["owner", "sender"]).mapInPandas(suspects, "fingerprint long").distinct()
+    suspect = checked(messages.join(answers, ["owner", "sender"]).mapInPandas(suspects, "fingerprint long").distinct(), "exact-suspects")
     groups = stored(
         own.withColumn("fingerprint", F.xxhash64("body"))
         .join(suspect, "fingerprint", "left_semi")
@@ -153,19 +166,22 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         F.col("doc_id").eqNullSafe(keep).alias("kept"),
         "text_sha256",
+        "fingerprint",
     )
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns. Of rows repeated with the same
-    doc_id and text one stays; rows with a null doc_id stay."""
-    groups = stored(exact_groups(docs).select("doc_id", "kept", "text_sha256"), "exact-decisions")
-    left = keep_columns(docs, groups.where("NOT kept AND doc_id IS NOT NULL"), "left_anti")
-    ids = groups.where("kept AND doc_id IS NOT NULL")
-    if ids.groupBy("doc_id", "text_sha256").count().where("count > 1").isEmpty():
+    """The rows of `docs` that stay, with all their columns. Of rows repeated with the same doc_id and equal
+    texts one stays; rows with a null doc_id stay. A row goes for its own text: where a doc_id stands at
+    several texts, those without a copy elsewhere stay. An empty table gives an empty one."""
+    hashed = F.xxhash64(body())
+    groups = stored(decisions(docs).where("doc_id IS NOT NULL").select("doc_id", F.col("fingerprint").alias("hash"), "kept"), "exact-decisions")
+    left = rows_with(docs, hashed, groups.where("NOT kept"), "left_anti")
+    repeated = stored(groups.where("kept").groupBy("doc_id", "hash").count().where("count > 1"), "exact-repeated")
+    if repeated.isEmpty():
         return left
-    whole_rows = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
-    return whole_rows.unionByName(left.where("doc_id IS NULL"))
+    once = rows_with(left, hashed, repeated, "left_semi").select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), hashed.alias("own_hash"))
+    return rows_with(left, hashed, repeated, "left_anti").unionByName(once.dropDuplicates(["own_id", "own_hash"]).select("row.*"))
 
 
 def op6_exact_dedup(spark, sf_dir: str) -> DataFrame:

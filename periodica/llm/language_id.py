@@ -23,13 +23,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import documents, texts_to_python
+from .common import documents, slices
 
 DIMENSIONS = 1024
 GRAM = 3
 SEED = 9
-KNOWN_GRAMS = 60_000  # n-gram vectors a task keeps (of DIMENSIONS bytes each)
-SLICE_CHARS = 1_000_000
+KNOWN_GRAMS = 32_768  # n-gram vectors a task keeps (of DIMENSIONS bytes each)
+KNOWN_LETTERS = 4096  # of GRAM vectors each
+PIECE_CHARS = 1_000_000  # of a text whose n-grams are counted at once
 UNKNOWN = "und"
 GAP = 1  # stands between words
 
@@ -58,15 +59,17 @@ def grams(text: str) -> np.ndarray:
 
 
 class Grams:
-    """Rows of n-gram vectors, made when first met. Emptied when full."""
+    """Rows of n-gram vectors, made when first met (memory is taken when a row is written). Emptied when full."""
 
     def __init__(self):
         self.letters: dict[int, list[np.ndarray]] = {}
-        self.clear()
+        self.matrix = np.zeros((KNOWN_GRAMS, DIMENSIONS), np.int8)
+        self.row_of: dict[int, int] = {}
 
     def clear(self) -> None:
-        self.row_of: dict[int, int] = {}
-        self.matrix = np.zeros((1024, DIMENSIONS), np.int8)
+        self.row_of.clear()
+        if len(self.letters) > KNOWN_LETTERS:
+            self.letters.clear()
 
     def letter(self, code: int, place: int) -> np.ndarray:
         if code not in self.letters:
@@ -83,8 +86,6 @@ class Grams:
             new = keys
         for k in new:
             at = len(self.row_of)
-            if at == len(self.matrix):
-                self.matrix = np.concatenate([self.matrix, np.zeros_like(self.matrix)])
             vector = self.letter(k & 0x1FFFFF, GRAM - 1)
             for i in range(1, GRAM):
                 vector = vector * self.letter(k >> (21 * i) & 0x1FFFFF, GRAM - 1 - i)
@@ -94,16 +95,16 @@ class Grams:
 
     def bundle(self, found: np.ndarray, counts: np.ndarray) -> np.ndarray:
         total = np.zeros(DIMENSIONS, np.float32)
-        for a in range(0, len(found), 4096):
-            rows = self.rows(found[a : a + 4096])
-            total += counts[a : a + 4096].astype(np.float32) @ self.matrix[rows].astype(np.float32)
+        for a in range(0, len(found), 1024):
+            rows = self.rows(found[a : a + 1024])
+            total += counts[a : a + 1024].astype(np.float32) @ self.matrix[rows].astype(np.float32)
         return total
 
 
 def pieces(text: str) -> Iterator[str]:
     """A very long text in pieces that overlap by what an n-gram needs."""
-    for a in range(0, max(1, len(text) - GRAM + 1), SLICE_CHARS):
-        yield text[a : a + SLICE_CHARS + GRAM - 1]
+    for a in range(0, max(1, len(text) - GRAM + 1), PIECE_CHARS):
+        yield text[a : a + PIECE_CHARS + GRAM - 1]
 
 
 def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -146,7 +147,7 @@ def prototypes(docs: DataFrame) -> dict[str, np.ndarray]:
         for lang, vector in sums.items():
             yield pd.DataFrame({"lang": lang, "place": np.arange(DIMENSIONS), "value": vector})
 
-    taught = texts_to_python(docs).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select("lang", "text")
+    taught = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select("lang", "text")
     summed = taught.mapInPandas(run, "lang string, place int, value double").groupBy("lang", "place").agg(F.sum("value").alias("value"))
     out: dict[str, np.ndarray] = {}
     for row in summed.collect():  # DIMENSIONS numbers for each language
@@ -195,13 +196,17 @@ def identify(docs: DataFrame, learned: dict[str, np.ndarray] | None = None) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Grams()
         for batch in batches:
-            langs, scores = judge(batch.column(2).to_pylist(), names, vectors, known)
+            langs, scores = [], []
+            for _, texts in slices(batch.column(2)):
+                more = judge(texts, names, vectors, known)
+                langs += more[0]
+                scores += more[1]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 ["doc_id", "held_out", "lang_pred", "score"],
             )
 
-    own = texts_to_python(docs).select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
     return own.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
@@ -216,7 +221,7 @@ def keep_identified(docs: DataFrame, learned: dict[str, np.ndarray] | None = Non
         for texts in batches:
             yield pd.Series(judge(texts.tolist(), names, vectors, known)[0], dtype=object)
 
-    return texts_to_python(docs).where(language(F.col("text").cast("string")) != UNKNOWN)
+    return docs.where(language(F.col("text").cast("string")) != UNKNOWN)
 
 
 def op9_language_id(spark, sf_dir: str) -> DataFrame:

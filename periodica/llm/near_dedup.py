@@ -10,12 +10,13 @@
    (Beta, from a uniform prior); a pair goes as soon as the posterior probability of the
    threshold or more falls below MISS.
 4. Of the survivors each node's best pair is verified exactly on the full shingle sets.
-5. Buckets that still hold several components are gone through whole, in blocks of BLOCK
-   members against each other: signatures again prune pairs of different components, and
-   the members that have a pair left get their full sets, from which the block's
-   intersections are counted at once. A task hands on members or spanning links, never
-   pairs, so what moves grows with the members, also where thousands of copies lie close
-   to the threshold, and no candidate link between two components is lost.
+5. Buckets that still hold several components are gone through whole, in blocks against each
+   other, each of about BLOCK members or BLOCK_HASHES shingles, whichever are fewer:
+   signatures again prune pairs of different components, and the members that have a pair
+   left get their full sets, from which the intersections of two blocks are counted at once.
+   A task hands on members or spanning links, never pairs, so what moves grows with the
+   members, also where thousands of copies lie close to the threshold, and no candidate link
+   between two components is lost.
 6. Components of the links; one document of each stays.
 """
 
@@ -25,11 +26,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked, documents, keep_columns, stored, texts_to_python
+from .common import checked, documents, rows_with, slices, stored
 from .components import components
 
 WORDS = 5
@@ -37,9 +39,8 @@ BANDS, ROWS = 32, 4
 BATCH = 32  # MinHashes compared at once
 NUMERATOR, DENOMINATOR = 75, 100  # the similarity that links
 MISS = 1e-6
-BLOCK = 1024  # members of a bucket that a task compares at once
-SLICE_CHARS = 400_000
-KNOWN_WORDS = 200_000
+BLOCK, BLOCK_HASHES = 512, 1 << 18  # members of a bucket, and shingles, that a task holds of each of two blocks
+KNOWN_WORDS = 100_000
 
 ODD = np.random.default_rng(4).integers(0, 2**63, WORDS + BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 PLACES, FACTORS = ODD[:WORDS], ODD[WORDS:]
@@ -87,27 +88,21 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = WordHashes()
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (size < SLICE_CHARS or end == at):
-                size += len(texts[end] or "")
-                end += 1
-            sets = [shingles(t, known) for t in texts[at:end]]
+        for at, texts in slices(batch.column(1)):
+            sets = [shingles(t, known) for t in texts]
             full = [s for s in sets if len(s)]
             rows = iter(signatures(full).view(np.int64).tolist() if full else [])
             prints = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).slice(at, end - at),
+                    batch.column(0).slice(at, len(texts)),
+                    batch.column(2).slice(at, len(texts)),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(prints, pa.binary()),
                     pa.array([next(rows) if len(s) else None for s in sets], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "print", "signature"],
+                ["doc_id", "hash", "n_shingles", "print", "signature"],
             )
-            at = end
 
 
 def least_matches(threshold: float, miss: float) -> list[int]:
@@ -149,8 +144,8 @@ def flat(column: pa.ListArray) -> np.ndarray:
 
 def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = WordHashes()
-    for batch in batches:
-        sets = [shingles(t, known) for t in batch.column(0).to_pylist()]
+    for texts in (t for batch in batches for _, t in slices(batch.column(0))):
+        sets = [shingles(t, known) for t in texts]
         prints = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays([pa.array(prints, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["print", "hashes"])
 
@@ -232,10 +227,11 @@ def spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for group in groups(batches):
         block, node, root = (group.column(i).to_numpy() for i in (3, 4, 5))
         wanted = across(block, group.column(1)[0].as_py(), group.column(2)[0].as_py()) & (root[:, None] != root[None, :])
-        sets = [np.frombuffer(x, np.uint64) for x in group.column(6).to_pylist()]
-        sizes = np.array([len(x) for x in sets])
-        common = intersections(sets)
-        linked = wanted & (DENOMINATOR * common >= NUMERATOR * (sizes[:, None] + sizes[None, :] - common))
+        hashes = group.column(6).combine_chunks()
+        sizes = pc.binary_length(hashes).to_numpy() // 8
+        common = intersections(np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in hashes]), sizes)
+        linked = wanted & ((DENOMINATOR + NUMERATOR) * common >= NUMERATOR * (sizes[:, None] + sizes[None, :]))
+        del common
         linked |= linked.T
         best = np.arange(len(node))
         while linked.any():
@@ -247,20 +243,24 @@ def spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(node[found]), pa.array(node[best[found]])], ["a", "b"])
 
 
-def intersections(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
-    """Sizes of all intersections: products of 0/1 matrices, `width` shared hashes at a time."""
-    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+def intersections(hashes: np.ndarray, sizes: np.ndarray, width: int = 1024) -> np.ndarray:
+    """Sizes of all intersections of sets that stand one after another in `hashes`: products of 0/1 matrices,
+    `width` shared hashes at a time."""
+    order = np.argsort(hashes, kind="stable")
+    row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[order]
+    ordered = hashes[order]
+    del order
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    times = np.diff(np.append(starts, len(ordered)))
+    del ordered
     shared = times > 1
-    number = np.cumsum(shared) - 1
-    keep = shared[column]
-    row, column = row[keep], number[column[keep]]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    common = np.zeros((len(sets), len(sets)), np.float32)
+    column = np.repeat(np.cumsum(shared, dtype=np.int32) - 1, times)
+    keep = np.repeat(shared, times)
+    row, column = row[keep], column[keep]
+    common = np.zeros((len(sizes), len(sizes)), np.float32)
     for start in range(0, int(shared.sum()), width):
         a, b = np.searchsorted(column, [start, start + width])
-        part = np.zeros((len(sets), width), np.float32)
+        part = np.zeros((len(sizes), width), np.float32)
         part[row[a:b], column[a:b] - start] = 1
         common += part @ part.T
     return common.astype(np.int64)
@@ -301,10 +301,10 @@ class Verifier:
     def block_links(self, members: DataFrame, found: DataFrame) -> DataFrame:
         """5.: spanning links between components, from all pairs of members of mixed buckets."""
         inside = stored(
-            members.join(found, "node", "left").select("bucket", "band", "size", "node", F.coalesce("root", "node").alias("root")), "near-inside"
+            members.join(found, "node", "left").select("bucket", "band", "size", "hashes", "node", F.coalesce("root", "node").alias("root")), "near-inside"
         )
         mixed = inside.groupBy("bucket").agg((F.min("root") != F.max("root")).alias("mixed")).where("mixed").select("bucket")
-        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+        blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("hashes") / BLOCK_HASHES)).cast("int")
         rows = inside.join(stored(mixed, "near-mixed"), "bucket").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
         other = F.explode(F.sequence(F.lit(0), blocks - 1))
         paired = rows.withColumn("other", other).select(
@@ -329,24 +329,31 @@ def near_groups(docs: DataFrame) -> DataFrame:
     smallest doc_id reached, null ones left aside. Repeated rows carry the same values, an
     empty table gives an empty result, other columns are ignored.
     """
-    own = texts_to_python(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketched = stored(own.mapInArrow(sketch, "doc_id long, n_shingles long, print binary, signature array<long>"), "near-sketches")
+    return decisions(docs).drop("hash")
+
+
+def decisions(docs: DataFrame) -> DataFrame:
+    """`near_groups` with a hash of each row's text."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    hashed = own.withColumn("hash", F.xxhash64("text"))
+    sketched = stored(hashed.mapInArrow(sketch, "doc_id long, hash long, n_shingles long, print binary, signature array<long>"), "near-sketches")
     classes = stored(
         sketched.where("print IS NOT NULL")
         .groupBy("print")
-        .agg(F.min("doc_id").alias("rep"), F.min("signature").alias("signature"), F.count("*").alias("rows"))
+        .agg(F.min("doc_id").alias("rep"), F.min("signature").alias("signature"), F.min("n_shingles").alias("n"), F.count("*").alias("rows"))
         .withColumn("node", F.monotonically_increasing_id()),
         "near-classes",
     )
-    bands = classes.select("node", F.posexplode("signature").alias("band", "value")).select(
-        "node", "band", F.xxhash64("band", "value").alias("bucket")
+    bands = classes.select("node", "n", F.posexplode("signature").alias("band", "value")).select(
+        "node", "n", "band", F.xxhash64("band", "value").alias("bucket")
     )
     order = F.xxhash64("node", "bucket")  # each bucket compares with two members of its own
     shared = bands.groupBy("bucket").agg(
-        F.min(F.struct(order.alias("h"), "node")).alias("low"), F.max(F.struct(order.alias("h"), "node")).alias("high"), F.count("*").alias("size")
-    )
-    buckets = stored(shared.where("size > 1").select("bucket", F.col("low.node").alias("low"), F.col("high.node").alias("high"), "size"), "near-buckets")
-    members = stored(bands.join(buckets, "bucket"), "near-members")
+        F.min(F.struct(order.alias("h"), "node")).alias("low"), F.max(F.struct(order.alias("h"), "node")).alias("high"),
+        F.count("*").alias("size"), F.sum("n").alias("hashes"),
+    )
+    buckets = stored(shared.where("size > 1").select("bucket", F.col("low.node").alias("low"), F.col("high.node").alias("high"), "size", "hashes"), "near-buckets")
+    members = stored(bands.drop("n").join(buckets, "bucket"), "near-members")
     pairs = (
         members.select("node", F.explode(F.array("low", "high")).alias("other"))
         .where("node != other")
@@ -362,16 +369,17 @@ def near_groups(docs: DataFrame) -> DataFrame:
     moved = placed.join(stored(smallest, "near-roots"), "root", "left").where("rows > 1 OR component_id IS NOT NULL")
     table = stored(moved.select("print", F.coalesce("component_id", "rep").alias("component_id"), F.lit(True).alias("grouped")), "near-table")
     component = F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("doc_id"))
-    return sketched.select("doc_id", "n_shingles", "print").join(table, "print", "left").select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+    return sketched.select("doc_id", "hash", "n_shingles", "print").join(table, "print", "left").select(
+        "doc_id", "hash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stay, with all their columns: one document of each component
-    (the smallest doc_id). Rows with a null doc_id stay."""
-    found = stored(near_groups(docs).select("doc_id", "kept"), "near-decisions")
-    return keep_columns(docs, found.where("NOT kept AND doc_id IS NOT NULL"), "left_anti")
+    (the smallest doc_id). Rows with a null doc_id stay. A row goes for its own text: where a doc_id stands
+    at several texts, those that link with nothing stay. An empty table gives an empty one."""
+    found = stored(decisions(docs).select("doc_id", "hash", "kept"), "near-decisions")
+    return rows_with(docs, F.xxhash64(F.col("text").cast("string")), found.where("NOT kept AND doc_id IS NOT NULL"), "left_anti")
 
 
 def op4_near_dedup(spark, sf_dir: str) -> DataFrame:

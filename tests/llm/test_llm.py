@@ -174,6 +174,30 @@ def test_copies_and_near_copies_are_dropped_once(spark):
     assert sorted(r["doc_id"] for r in near) == [1, 3]
 
 
+def test_rows_go_for_their_own_text(spark):
+    """One doc_id at two texts, of which one is a copy of something else."""
+    exact = exact_dedup.drop_copies(docs_of(spark, [(1, "a b c d e f"), (1, "wholly other words"), (2, "A B C D E F"), (5, "a"), (5, "b"), (9, "b")], WIDE))
+    assert sorted((r["doc_id"], r["text"]) for r in exact.collect()) == [(1, "wholly other words"), (2, "A B C D E F"), (5, "a"), (9, "b")]
+    near = near_dedup.drop_near_copies(docs_of(spark, [(2, "a b c d e f"), (2, "wholly other words"), (1, "A B C D E F"), (None, None)], WIDE))
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in near.collect()) == [("1", "A B C D E F"), ("2", "wholly other words"), ("None", "None")]
+    for drop in (exact_dedup.drop_copies, near_dedup.drop_near_copies):
+        empty = drop(docs_of(spark, [], WIDE))
+        assert empty.count() == 0 and empty.columns == docs_of(spark, [], WIDE).columns
+
+
+def test_intersections_of_long_sets():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 5000, n, dtype=np.uint64)) for n in (1, 40, 3000, 3000, 700)]
+    found = near_dedup.intersections(np.concatenate(sets), np.array(list(map(len, sets))), 64)
+    for i, x in enumerate(sets):
+        assert [found[i, j] for j in range(5) if j != i] == [len(np.intersect1d(x, y)) for j, y in enumerate(sets) if j != i]
+
+
+def test_components_of_a_star_with_a_hot_node(spark):
+    links = spark.createDataFrame([(0, i) for i in range(1, 900)] + [(899, i) for i in range(900, 1500)], "a long, b long")
+    assert {(r["node"], r["root"]) for r in components(links).collect()} == {(i, 0) for i in range(1500)}
+
+
 def test_languages_held_out(spark):
     frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = language_id.identify(frame).where("held_out").join(frame.select("doc_id", "lang"), "doc_id").collect()
