@@ -215,11 +215,12 @@ def keep_identified(docs: DataFrame, learned: dict[str, np.ndarray] | None = Non
     nothing is joined and no column name can clash."""
     names, vectors = sharpened(prototypes(docs) if learned is None else learned)
 
-    @F.pandas_udf(StringType())
-    def language(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(StringType())
+    def language(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = Grams()
-        for texts in batches:
-            yield pd.Series(judge(texts.tolist(), names, vectors, known)[0], dtype=object)
+        for batch in batches:
+            langs = [lang for _, texts in slices(batch) for lang in judge(texts, names, vectors, known)[0]]
+            yield pa.array(langs, pa.string())
 
     return docs.where(language(F.col("text").cast("string")) != UNKNOWN)
 

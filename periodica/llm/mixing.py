@@ -2,20 +2,20 @@
 
 A source with n rows and target share w gets the mean repetition rate N * w / n, N being
 the rows wanted in all. Each document draws its number of copies by inverting the Poisson
-distribution of its source's rate at a uniform number hashed from its doc_id, so a second
-run, or a task that is run again, draws the same. The copies are then dealt out by a hash
-of document, copy and seed and sorted by it inside each partition: a uniform shuffle.
+distribution of its source's rate at a uniform number hashed from its doc_id and text, so a
+second run, or a task that is run again, draws the same. The copies are then dealt out by a
+hash of document, copy and seed and sorted by it inside each partition: a uniform shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import documents, stored
 
 TEMPERATURE = 0.5  # a source's share is its row count to this power
-BROADCAST_SOURCES = 10_000  # rates of more sources than this are joined by shuffle
+BROADCAST_NUMBERS = 2_000_000  # distributions of more numbers than this are joined by shuffle
 SALT = 32
 
 
@@ -25,21 +25,28 @@ def uniform(seed: int, *parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") / F.lit(float(2**52))
 
 
-def cumulated(rate: Column) -> Column:
-    """The Poisson distribution function at 0, 1, ... so far that what is left is below 10^-30."""
-    last = F.ceil(rate + 12 * F.sqrt(rate) + 30).cast("int")
-    start = F.struct((-rate).alias("log"), F.exp(-rate).alias("sum"), F.array(F.exp(-rate)).alias("all"))
+def distributions(rates: DataFrame) -> DataFrame:
+    """source_key, low, cdf for each source_key and rate: the Poisson distribution function at low, low + 1, ...
 
-    def step(a: Column, k: Column) -> Column:
-        log = a["log"] + F.ln(rate) - F.ln(k.cast("double"))
-        total = a["sum"] + F.exp(log)
-        return F.struct(log.alias("log"), total.alias("sum"), F.concat(a["all"], F.array(total)).alias("all"))
-
-    return F.aggregate(F.sequence(F.lit(1), last), start, step)["all"]
+    Weights grow and shrink from term to term by rate / k and are scaled to 1. They are taken where the
+    distribution is: 12 standard deviations and 30 more to both sides of the rate, beyond which less than
+    10^-30 is left. So a source needs a number of terms that grows with the root of its rate.
+    """
+    reach = 12 * F.sqrt("rate") + 30
+    low = F.greatest(F.lit(0), F.floor(F.col("rate") - reach)).cast("long")
+    spread = rates.select("source_key", "rate", low.alias("low"), F.ceil(F.col("rate") + reach).cast("long").alias("high"))
+    terms = spread.select("source_key", "rate", "low", F.explode(F.sequence("low", "high")).alias("k"))
+    whole, rising = Window.partitionBy("source_key"), Window.partitionBy("source_key").orderBy("k")
+    step = F.when(F.col("k") == F.col("low"), 0.0).otherwise(F.ln("rate") - F.ln(F.col("k").cast("double")))
+    logs = terms.withColumn("log", F.sum(step).over(rising))
+    weights = logs.withColumn("p", F.exp(F.col("log") - F.max("log").over(whole)))
+    shares = weights.withColumn("f", F.sum("p").over(rising) / F.sum("p").over(whole))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("k", "f"))), lambda x: x["f"])
+    return shares.groupBy("source_key").agg(F.min("k").alias("low"), ordered.alias("cdf"))
 
 
 def rates(docs: DataFrame, weights: dict[str, float] | None = None, total: int | None = None) -> DataFrame:
-    """source_key, cdf: each source's distribution of copies.
+    """source_key, rate: each source's mean repetition rate.
 
     weights: target share by source, scaled to 1; a source that is not named gets none.
     Without weights the share is the row count to the power TEMPERATURE. total: rows
@@ -55,11 +62,7 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, total: int |
     sums = weighed.agg(F.sum("weight").alias("weights"), F.sum("rows").alias("rows")).first()
     wanted = F.lit(float((sums["rows"] or 0) if total is None else total))
     rate = wanted * (F.col("weight") / F.lit(sums["weights"])) / F.col("rows")
-    return (
-        weighed.where("weight > 0")
-        .select("source_key", rate.cast("double").alias("rate"))
-        .select("source_key", cumulated(F.col("rate")).alias("cdf"))
-    )
+    return weighed.where("weight > 0").select("source_key", rate.cast("double").alias("rate"))
 
 
 def source_key(name: str = "source") -> Column:
@@ -70,27 +73,29 @@ def source_key(name: str = "source") -> Column:
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, total: int | None = None, seed: int = 5) -> DataFrame:
     """The columns of `docs`, replicated: struct `row`, int `copies`, int `copy` (from 1), string `shuffle_key`.
 
-    Documents that draw 0 are left out: that is what a rate below 1 means. A null doc_id is
-    hashed as the word null, rows that share a doc_id draw the same number, a null text or
-    source is kept as it is, an empty table gives an empty one. The row travels as one
-    struct, so no column name can clash.
+    Documents that draw 0 are left out: that is what a rate below 1 means. Rows that share a
+    doc_id draw each for itself by their texts, and only rows that share both draw the same
+    number. A null doc_id or text is hashed as the word null, a null text or source is kept
+    as it is, an empty table gives an empty one. The row travels as one struct, so no column
+    name can clash.
     """
-    table = stored(rates(docs, weights, total), "mix-rates")
-    packed = docs.select(F.struct("*").alias("row"), source_key().alias("source_key"))
-    if table.count() <= BROADCAST_SOURCES:
+    table = stored(distributions(rates(docs, weights, total)), "mix-rates")
+    packed = docs.select(F.struct("*").alias("row"), source_key().alias("source_key"), F.md5("text").alias("text_md5"))
+    if (table.agg(F.sum(F.size("cdf") + 4).alias("n")).first()["n"] or 0) <= BROADCAST_NUMBERS:
         joined = packed.join(F.broadcast(table), "source_key")
     else:  # a hot source is spread over SALT partitions
         salted = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-        joined = packed.withColumn("salt", F.pmod(F.xxhash64("row.doc_id"), F.lit(SALT)).cast("int")).join(
+        joined = packed.withColumn("salt", F.pmod(F.xxhash64("row.doc_id", "text_md5"), F.lit(SALT)).cast("int")).join(
             salted.hint("shuffle_merge"), ["source_key", "salt"]
         )
-    drawn = uniform(seed, F.col("row.doc_id"))
-    counted = joined.withColumn("u", drawn).select(
-        "row", F.size(F.filter("cdf", lambda c: c <= F.col("u"))).cast("int").alias("copies")
-    )
+    drawn = uniform(seed, F.col("row.doc_id"), F.col("text_md5"))
+    copies = F.col("low") + F.size(F.filter("cdf", lambda c: c <= F.col("u")))
+    counted = joined.withColumn("u", drawn).select("row", "text_md5", copies.cast("int").alias("copies"))
     exploded = counted.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    key = F.md5(F.concat_ws("|", F.lit(f"{seed}.mix"), F.coalesce(F.col("row.doc_id").cast("string"), F.lit("null")), F.col("copy").cast("string")))
-    return exploded.withColumn("shuffle_key", key).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    own = [F.coalesce(c.cast("string"), F.lit("null")) for c in (F.col("row.doc_id"), F.col("text_md5"))]
+    key = F.md5(F.concat_ws("|", F.lit(f"{seed}.mix"), *own, F.col("copy").cast("string")))
+    shuffled = exploded.select("row", "copies", "copy", key.alias("shuffle_key"))
+    return shuffled.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
@@ -101,16 +106,17 @@ def op5_mixing(spark, sf_dir: str) -> DataFrame:
 OP5_SQL = """
 WITH n AS (SELECT source, count(*) AS c FROM documents GROUP BY source),
 r AS (SELECT source, (sum(c) OVER ()) * (sqrt(c) / (sum(sqrt(c)) OVER ())) / c AS rate FROM n),
-k AS (SELECT source, rate, unnest(range(0, CAST(ceil(rate + 12 * sqrt(rate) + 30) AS BIGINT) + 1)) AS k FROM r),
-p AS (SELECT source, k, exp(-rate + sum(CASE WHEN k = 0 THEN 0 ELSE ln(rate) - ln(k) END)
-        OVER (PARTITION BY source ORDER BY k)) AS p FROM k),
-f AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS f FROM p),
-cdf AS (SELECT source, list(f ORDER BY k) AS cdf FROM f GROUP BY source),
-d AS (SELECT doc_id, text, lang, d.source,
-        len(list_filter(cdf, lambda x: x <= CAST('0x' || substr(md5('5|' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) / 4503599627370496.0)) AS copies
+s AS (SELECT source, rate, greatest(0, CAST(floor(rate - 12 * sqrt(rate) - 30) AS BIGINT)) AS low, CAST(ceil(rate + 12 * sqrt(rate) + 30) AS BIGINT) AS high FROM r),
+k AS (SELECT source, rate, low, unnest(range(low, high + 1)) AS k FROM s),
+l AS (SELECT source, low, k, sum(CASE WHEN k = low THEN 0 ELSE ln(rate) - ln(k) END) OVER (PARTITION BY source ORDER BY k) AS l FROM k),
+p AS (SELECT source, low, k, exp(l - max(l) OVER (PARTITION BY source)) AS p FROM l),
+f AS (SELECT source, low, k, sum(p) OVER (PARTITION BY source ORDER BY k) / sum(p) OVER (PARTITION BY source) AS f FROM p),
+cdf AS (SELECT source, low, list(f ORDER BY k) AS cdf FROM f GROUP BY source, low),
+d AS (SELECT doc_id, text, lang, d.source, coalesce(CAST(doc_id AS VARCHAR), 'null') || '|' || coalesce(md5(text), 'null') AS own,
+        low + len(list_filter(cdf, lambda x: x <= CAST('0x' || substr(md5('5|' || own), 1, 13) AS BIGINT) / 4503599627370496.0)) AS copies
       FROM documents d JOIN cdf ON d.source IS NOT DISTINCT FROM cdf.source),
 e AS (SELECT *, unnest(range(1, copies + 1)) AS copy FROM d)
 SELECT doc_id, text, lang, source, CAST(copies AS INTEGER) AS copies, CAST(copy AS INTEGER) AS copy,
-  md5('5.mix|' || coalesce(CAST(doc_id AS VARCHAR), 'null') || '|' || copy) AS shuffle_key
+  md5('5.mix|' || own || '|' || copy) AS shuffle_key
 FROM e
 """

@@ -109,6 +109,24 @@ def test_mixing_meets_target_weights(spark):
     assert mixing.mix(frame, {}).count() == 0
 
 
+def test_poisson_of_small_and_large_rates(spark):
+    table = spark.createDataFrame([("a", 0.3), ("b", 4.0), ("c", 10_000_000.0)], "source_key string, rate double")
+    for r in mixing.distributions(table).collect():
+        rate, p = {"a": 0.3, "b": 4.0, "c": 1e7}[r["source_key"]], np.diff(r["cdf"], prepend=0.0)
+        k = r["low"] + np.arange(len(p))
+        assert r["cdf"][-1] == pytest.approx(1.0) and (p * k).sum() == pytest.approx(rate) and (p * (k - rate) ** 2).sum() == pytest.approx(rate, rel=1e-6)
+        if rate < 5:
+            assert p[:3].tolist() == pytest.approx([np.exp(-rate) * rate**i / [1, 1, 2][i] for i in range(3)])
+
+
+def test_rows_that_share_an_id_draw_each_for_itself(spark):
+    frame = spark.createDataFrame([(None, f"t{i}", None, "a", None) for i in range(300)] + [(7, f"u{i}", None, "a", None) for i in range(300)] + [(i, "t", None, "b", None) for i in range(600)], DOCS)
+    drawn = [r["copies"] for r in mixing.mix(frame, {"a": 1.0, "b": 1.0}).where("row.doc_id IS NULL AND copy = 1").collect()]
+    assert 150 < len(drawn) < 230 and len(set(drawn)) > 2
+    counted = mixing.mix(frame, {"a": 1.0, "b": 1.0}, total=12_000).groupBy("row.source").count().collect()
+    assert {r["source"]: r["count"] for r in counted} == {"a": pytest.approx(6000, rel=0.06), "b": pytest.approx(6000, rel=0.06)}
+
+
 def brute_groups(texts):
     sets = {}
     for i, t in texts:
