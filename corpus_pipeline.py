@@ -1,7 +1,8 @@
 """A corpus pipeline of five of the training-data operators.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet
-and read again as the next one's docs. All but the last return the columns of `documents`.
+and read again as the next one's docs. All but the last return the columns of `documents`,
+further ones too, whatever their names; an empty table gives an empty one in every stage.
 """
 
 from __future__ import annotations
@@ -17,27 +18,32 @@ from periodica.llm.near_dedup import drop_near_copies
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language is found (no letters) go."""
+    """Documents in which no language is found go: those that are null, empty or have no letter. Other
+    documents stay, repeated rows and rows without an id too."""
     return keep_identified(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are equal after lower-casing A-Z the one with the largest doc_id stays."""
+    """Of documents that are equal after lower-casing A-Z the one with the largest doc_id stays,
+    once if its row is repeated. A null text counts as empty. Rows with a null doc_id stay."""
     return drop_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies the document with the smallest doc_id stays."""
+    """Of each component of near copies the document with the smallest doc_id stays
+    (rows that repeat its doc_id with it). Texts without words link with nothing. Rows with a null doc_id stay."""
     return drop_near_copies(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are replicated (or left out) so that sources meet their target shares, and shuffled."""
+    """Documents are replicated (or left out) so that sources meet their target shares, and shuffled.
+    A null source is a source; rows that share a doc_id draw by their texts, equal rows draw the same."""
     return mix(docs).select("row.*")
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every text is encoded and decoded: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    """Every text is encoded and decoded: doc_id, n_tokens, ids_sha256, decoded_sha256. A null
+    or empty text has no tokens; each row has its result."""
     return digests(tokenize(docs, vocabulary()))
 
 
