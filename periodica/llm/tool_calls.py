@@ -16,7 +16,7 @@ from .common import stored
 
 CALLS = "struct<content:string,tool_calls:array<struct<id:string,name:string,arguments:string,after:array<string>>>>"
 RESULT = "struct<tool_call_id:string,content:string>"
-TYPES = {"integer": "BIGINT", "number": "BIGINT|DECIMAL.*|DOUBLE|FLOAT", "string": "STRING", "boolean": "BOOLEAN", "array": "ARRAY.*", "object": "OBJECT.*"}
+TYPES = {"number": "BIGINT|DECIMAL.*|DOUBLE|FLOAT", "string": "STRING", "boolean": "BOOLEAN", "array": "ARRAY.*", "object": "OBJECT.*"}
 
 # Tools of the query below: field -> (type, required).
 TURN_TOOLS = {
@@ -30,6 +30,13 @@ def canonical(json: Column) -> Column:
     return F.to_json(F.try_parse_json(json))
 
 
+def whole_number(value: Column, field: str, kind: Column) -> Column:
+    """Whether a field is an integer, however long and however written (1e2, 1.0)."""
+    number = F.try_variant_get(value, f"$.{field}", "double")
+    written = kind.rlike(r"^(DECIMAL.*|DOUBLE|FLOAT)$") & F.coalesce(number == F.floor(number), F.lit(False))
+    return kind.rlike(r"^(BIGINT|DECIMAL\(\d+,0\))$") | written
+
+
 def argument_errors(name: Column, arguments: Column, tools: dict[str, dict[str, tuple[str, bool]]]) -> Column:
     """What is wrong with a call's arguments, as a comma-separated text; empty if nothing."""
     value = F.try_parse_json(arguments)
@@ -47,7 +54,8 @@ def argument_errors(name: Column, arguments: Column, tools: dict[str, dict[str,
             absent = actual.isNull() | (actual == "VOID")
             if required:
                 found.append(F.when(mine & absent, F.lit(f"no {field}")))
-            found.append(F.when(mine & ~absent & ~actual.rlike(f"^({TYPES[wanted]})$"), F.lit(f"{field} is no {wanted}")))
+            fits = whole_number(value, field, actual) if wanted == "integer" else actual.rlike(f"^({TYPES[wanted]})$")
+            found.append(F.when(mine & ~absent & ~fits, F.lit(f"{field} is no {wanted}")))
         extra = F.array_sort(F.array_except(keys, F.array(*[F.lit(f) for f in fields])))
         found.append(F.when(mine & (F.size(extra) > 0), F.concat(F.lit("unknown "), F.array_join(extra, " "))))
     return F.array_join(F.array_compact(F.array(*found)), ",")
@@ -58,64 +66,35 @@ def levels(calls: DataFrame) -> DataFrame:
     level it comes after; -1 for calls on or behind a cycle. Names of calls that the
     conversation hasn't got are passed over.
 
-    Where no call of a conversation names two others, levels are distances to a root, found
-    by pointer jumping: as many rounds as the logarithm of the longest chain. Other
-    conversations are levelled by Kahn's rounds, as many as they have levels.
+    A level is the length of the longest walk back. Walks of exactly 1, 2, 4, ... steps are kept
+    by their two ends, each table the last one joined with itself, so there are as many rounds as
+    the logarithm of the longest walk, whatever the graph; a table has at most a row for each call
+    and each that stands before it. A call's longest walk of less than 2n steps takes n steps, if
+    a walk of n starts there, and goes on with the longest of less than n. A walk of as many steps
+    as there are calls goes round a cycle.
     """
     key = ["conv_id", "id"]
     named = calls.select(*key, F.explode("after").alias("parent")).distinct()
-    known = calls.select(F.col("conv_id").alias("c"), F.col("id").alias("p"))
-    edges = stored(named.join(known, same("conv_id", "c") & (F.col("parent") == F.col("p"))).select(*key, "parent"), "call-edges")
-    several = edges.groupBy(*key).count().where("count > 1").select(F.col("conv_id").alias("c")).distinct()
-    several = stored(several, "call-conversations")
-    own = calls.select(*key)
-    simple = jumped(own.join(several, same("conv_id", "c"), "left_anti"), edges.join(several, same("conv_id", "c"), "left_anti"))
-    if several.isEmpty():
-        return simple
-    rest = kahn(own.join(several, same("conv_id", "c"), "left_semi"), edges.join(several, same("conv_id", "c"), "left_semi"))
-    return simple.unionByName(rest)
-
-
-def same(a: str, b: str) -> Column:
-    return F.col(a).eqNullSafe(F.col(b))
-
-
-def jumped(calls: DataFrame, edges: DataFrame) -> DataFrame:
-    """Levels where each call has one parent at most: each round doubles the distance looked back."""
-    at = edges.select("conv_id", "id", F.col("parent").alias("jump"), F.lit(1).alias("level"))
-    now = stored(anti(calls, edges).select("conv_id", "id", F.lit(None).cast("string").alias("jump"), F.lit(0).alias("level")).unionByName(at), "call-jumps")
-    left = now.where("jump IS NOT NULL").count()
-    while left:
-        target = now.select(F.col("conv_id").alias("c"), F.col("id").alias("p"), F.col("jump").alias("next"), F.col("level").alias("further"))
-        moved = now.join(target, same("conv_id", "c") & (F.col("jump") == F.col("p")), "left")
-        now = stored(moved.select("conv_id", "id", F.col("next").alias("jump"), (F.col("level") + F.coalesce("further", F.lit(0))).alias("level")), "call-jumps")
-        before, left = left, now.where("jump IS NOT NULL").count()
-        if left == before:  # what is left never gets to a root
-            break
-    return now.select("conv_id", "id", F.when(F.col("jump").isNull(), F.col("level")).otherwise(-1).alias("level"))
-
-
-def kahn(calls: DataFrame, edges: DataFrame) -> DataFrame:
-    """Levels by removing, round by round, the calls whose parents have all got theirs."""
-    key = ["conv_id", "id"]
-    pending, level = stored(edges, "call-edges"), 0
-    done = stored(anti(calls, pending).withColumn("level", F.lit(0)), "call-levels")
-    while not pending.isEmpty():
-        level += 1
-        ready = done.select(F.col("conv_id").alias("c"), F.col("id").alias("p"), F.lit(True).alias("ready"))
-        checked = pending.join(ready, same("conv_id", "c") & (F.col("parent") == F.col("p")), "left")
-        new = stored(checked.groupBy(*key).agg(F.every(F.coalesce("ready", F.lit(False))).alias("all")).where("all").select(*key), "call-ready")
-        if new.isEmpty():
-            return done.unionByName(pending.select(*key).distinct().withColumn("level", F.lit(-1)))
-        done = stored(done.unionByName(new.withColumn("level", F.lit(level))), "call-levels")
-        pending = stored(anti(pending, new), "call-edges")
-    return done
-
-
-def anti(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows of `left` whose conv_id (null too) and id `right` hasn't."""
-    other = right.select(F.col("conv_id").alias("c"), F.col("id").alias("i")).distinct()
-    return left.join(other, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("id") == F.col("i")), "left_anti")
+    walks = stored(named.join(end_of(calls), at_end("parent")).select(*key, "parent"), "call-walks")
+    most = calls.groupBy("conv_id").count().agg(F.max("count").alias("n")).first()["n"] or 0
+    placed, steps = stored(calls.select(*key, F.lit(0).alias("level")), "call-levels"), 1
+    while steps < most and not walks.isEmpty():
+        further = walks.join(end_of(placed, "level"), at_end("parent")).groupBy(*key).agg((F.max("end_level") + steps).alias("end_level"))
+        longer = placed.join(further.withColumnsRenamed({"conv_id": "c", "id": "p"}), at_end("id"), "left")
+        placed = stored(longer.select(*key, F.coalesce("end_level", "level").alias("level")), "call-levels")
+        joined = walks.join(end_of(walks, "parent"), at_end("parent"))
+        walks, steps = stored(joined.select(*key, F.col("end_parent").alias("parent")).distinct(), "call-walks"), 2 * steps
+    cyclic = walks.select(F.col("conv_id").alias("c"), F.col("id").alias("p"), F.lit(-1).alias("cycle")).distinct()
+    return placed.join(cyclic, at_end("id"), "left").select(*key, F.coalesce("cycle", "level").alias("level"))
+
+
+def end_of(frame: DataFrame, *columns: str) -> DataFrame:
+    return frame.select(F.col("conv_id").alias("c"), F.col("id").alias("p"), *[F.col(x).alias(f"end_{x}") for x in columns])
+
+
+def at_end(name: str) -> Column:
+    """A null conv_id is a conversation of its own."""
+    return F.col("conv_id").eqNullSafe(F.col("c")) & (F.col(name) == F.col("p"))
 
 
 def link_tool_calls(messages: DataFrame, tools: dict[str, dict[str, tuple[str, bool]]]) -> DataFrame:
@@ -126,19 +105,20 @@ def link_tool_calls(messages: DataFrame, tools: dict[str, dict[str, tuple[str, b
     first by turn and place, n_calls tells how many there were; likewise results. status:
     `linked`, `no call` (a result alone), `no result`, `early` (the result's turn isn't
     after the call's) or `cycle`. A message that is null, empty or no JSON of the above
-    shape has no calls; a null conv_id is a conversation of its own, calls without id are
+    shape has no calls, and so has one with a null role; JSON may stand in white space; a null conv_id is a conversation of its own, calls without id are
     left out. Groups are aggregated before they are shuffled. Other columns are ignored,
     an empty table gives an empty result.
     """
     own = messages.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.col("text").cast("string").alias("text"))
-    said = own.where("role = 'assistant' AND text LIKE '{%'").select("conv_id", "turn", F.from_json("text", CALLS)["tool_calls"].alias("calls"))
+    json_object = F.col("text").rlike(r"^[ \t\r\n]*\{")
+    said = own.where((F.col("role") == "assistant") & json_object).select("conv_id", "turn", F.from_json("text", CALLS)["tool_calls"].alias("calls"))
     listed = said.select("conv_id", "turn", F.posexplode("calls").alias("place", "call")).where("call.id IS NOT NULL")
     first = F.min(F.struct("turn", "place", "call.name", "call.arguments", "call.after")).alias("first")
     calls = stored(
         listed.groupBy("conv_id", F.col("call.id").alias("id")).agg(first, F.count("*").alias("n_calls")).select("conv_id", "id", "first.*", "n_calls"),
         "calls",
     )
-    told = own.where("role = 'tool' AND text LIKE '{%'").select("conv_id", "turn", F.from_json("text", RESULT).alias("r")).where("r.tool_call_id IS NOT NULL")
+    told = own.where((F.col("role") == "tool") & json_object).select("conv_id", "turn", F.from_json("text", RESULT).alias("r")).where("r.tool_call_id IS NOT NULL")
     results = told.groupBy(F.col("conv_id").alias("c"), F.col("r.tool_call_id").alias("i")).agg(
         F.min(F.struct("turn", "r.content")).alias("result"), F.count("*").alias("n_results")
     )
@@ -170,7 +150,8 @@ def link_tool_calls(messages: DataFrame, tools: dict[str, dict[str, tuple[str, b
 def turns_as_calls(conversations: DataFrame) -> DataFrame:
     """The same conversations as tool use: each turn of a user or the system becomes an
     assistant's call (with the turn two before it, if any, in `after`), each turn of an
-    assistant the result for the turn before it."""
+    assistant the result for the turn before it. A turn with a null role counts as a user's."""
+    answers = F.col("role").eqNullSafe(F.lit("assistant"))
     ident = lambda turn: F.concat(F.lit("t"), turn.cast("string"))
     is_system = F.col("role") == "system"
     arguments = F.when(is_system, F.to_json(F.struct(F.col("turn"), F.col("text").alias("prompt")))).otherwise(
@@ -179,10 +160,10 @@ def turns_as_calls(conversations: DataFrame) -> DataFrame:
     name = F.when(is_system, "set_system").otherwise("answer")
     head = F.to_json(F.struct(ident(F.col("turn")).alias("id"), name.alias("name"), F.array(ident(F.col("turn") - 2)).alias("after")))
     call = F.concat(F.lit('{"tool_calls":['), F.expr("substring(head, 1, length(head) - 1)"), F.lit(',"arguments":'), F.col("arguments"), F.lit("}]}"))
-    asked = conversations.where("role != 'assistant'").withColumn("head", head).withColumn("arguments", arguments)
+    asked = conversations.where(~answers).withColumn("head", head).withColumn("arguments", arguments)
     told = F.to_json(F.struct(ident(F.col("turn") - 1).alias("tool_call_id"), F.col("text").alias("content")))
     return asked.select("conv_id", "turn", F.lit("assistant").alias("role"), call.alias("text")).unionByName(
-        conversations.where("role = 'assistant'").select("conv_id", "turn", F.lit("tool").alias("role"), told.alias("text"))
+        conversations.where(answers).select("conv_id", "turn", F.lit("tool").alias("role"), told.alias("text"))
     )
 
 
@@ -192,7 +173,7 @@ def op7_tool_calls(spark, sf_dir: str) -> DataFrame:
 
 OP7_SQL = """
 WITH c AS (SELECT conv_id, turn, min(CASE WHEN role = 'system' THEN 'set_system' ELSE 'answer' END) AS name, min(text) AS text, count(*) AS n
-  FROM conversations WHERE role <> 'assistant' GROUP BY conv_id, turn),
+  FROM conversations WHERE role IS DISTINCT FROM 'assistant' GROUP BY conv_id, turn),
 r AS (SELECT conv_id, turn - 1 AS call_turn, min(turn) AS turn, min(text) AS text, count(*) AS n
   FROM conversations WHERE role = 'assistant' GROUP BY conv_id, turn),
 l AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, grp ORDER BY turn) - 1 AS level FROM (

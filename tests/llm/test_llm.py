@@ -421,9 +421,9 @@ def test_pipeline_equals_brute_force(spark, sf_dir):
         counts[s] = counts.get(s, 0) + 1
     roots = sum(n**0.5 for n in counts.values())
     expected = {}
-    for i, _, s in near:
+    for i, t, s in near:
         rate = len(near) * (counts[s] ** 0.5 / roots) / counts[s]
-        u = int(hashlib.md5(f"5|{i}".encode()).hexdigest()[:13], 16) / 2**52
+        u = int(hashlib.md5(f"5|{i}|{hashlib.md5(t.encode()).hexdigest()}".encode()).hexdigest()[:13], 16) / 2**52
         total, p, k = 0.0, np.exp(-rate), 0
         while (total := total + p) <= u:
             k += 1
@@ -434,3 +434,103 @@ def test_pipeline_equals_brute_force(spark, sf_dir):
     for r in corpus_pipeline.run(spark, sf_dir).collect():
         found[r["doc_id"]] = found.get(r["doc_id"], 0) + 1
     assert found == expected
+
+
+def test_stages_on_odd_rows_and_empty_tables(spark):
+    import corpus_pipeline
+
+    odd, empty = docs_of(spark, odd_texts(), WIDE), docs_of(spark, [], WIDE)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, "").count() == 0
+        if name != "bpe":
+            assert stage(spark, odd, "").columns == odd.columns and stage(spark, empty, "").columns == odd.columns
+    kept = lambda name: sorted((str(r["doc_id"]), (r["text"] or "")[:9]) for r in dict(corpus_pipeline.STAGES)[name](spark, odd, "").collect())
+    assert kept("language_id") == sorted((str(i), t[:9]) for i, t in odd_texts() if re.search(r"[^\W\d_]", t or ""))
+    assert [x for x in kept("exact_dedup") if x[0] in "1245None"] == [("2", ""), ("5", "same TEXT"), ("None", ""), ("None", "no id at ")]
+    assert [x for x in kept("near_dedup") if x[0] in "45"] == [("4", "Same text"), ("4", "Same text")]
+    assert dict(corpus_pipeline.STAGES)["bpe"](spark, odd, "").count() == len(odd_texts())
+
+
+def test_levels_of_a_long_chain_with_a_double_parent_and_of_layers(spark):
+    chain = [("c", str(i), [str(i - 1)] if i else []) for i in range(150)] + [("c", "x", ["149", "3"])]
+    layers = [(None, f"{k}.{i}", [f"{k - 1}.{j}" for j in range(4)] if k else []) for k in range(9) for i in range(4)]
+    ring = [("r", "a", ["c"]), ("r", "b", ["a"]), ("r", "c", ["b"]), ("r", "d", ["c", "e"]), ("r", "e", []), ("s", "a", ["a"])]
+    calls = spark.createDataFrame(chain + layers + ring, "conv_id string, id string, after array<string>")
+    found = {(r["conv_id"], r["id"]): r["level"] for r in tool_calls.levels(calls).collect()}
+    assert all(found["c", str(i)] == i for i in range(150)) and found["c", "x"] == 150
+    assert all(found[None, f"{k}.{i}"] == k for k in range(9) for i in range(4))
+    assert [found["r", x] for x in "abcde"] == [-1, -1, -1, -1, 0] and found["s", "a"] == -1
+
+
+def test_messages_in_white_space_null_roles_and_wide_integers(spark):
+    schema = "conv_id string, turn int, role string, text string, id string, level int, name string"
+    call = lambda n: '{"tool_calls":[{"id":"a","name":"answer","arguments":{"question":"q","turn":' + n + "}}]}"
+    rows = [("w", 1, "assistant", "\n  " + call("1")), ("w", 2, "tool", '\t{"tool_call_id":"a","content":"ok"}'), ("n", 1, None, call("1"))]
+    rows += [(f"i{k}", 1, "assistant", call(n)) for k, n in enumerate(["123456789012345678901234567890", "1e2", "1.0", "1.5", '"1"'])]
+    frame = spark.createDataFrame([(*r, "x", 1, "y") for r in rows], schema)
+    found = {r["conv_id"]: r for r in tool_calls.link_tool_calls(frame, tool_calls.TURN_TOOLS).collect()}
+    assert found["w"]["status"] == "linked" and "n" not in found
+    assert [found[f"i{k}"]["errors"] for k in range(5)] == ["", "", "", "turn is no integer", "turn is no integer"]
+    assert tool_calls.link_tool_calls(frame.limit(0), tool_calls.TURN_TOOLS).count() == 0
+    turns = spark.createDataFrame([("z", 1, None, "hello"), ("z", 2, "assistant", "hi")], "conv_id string, turn int, role string, text string")
+    linked = tool_calls.link_tool_calls(tool_calls.turns_as_calls(turns), tool_calls.TURN_TOOLS).collect()
+    assert [(r["status"], r["name"]) for r in linked] == [("linked", "answer")]
+
+
+def test_names_of_comments_and_notices_are_out_and_layout_names_are_not():
+    page = lambda name, text: f"<body class='page has-sidebar'><article><p>{PROSE}</p><div class='{name}'><p>{text}</p></div><p>{PROSE}</p></article></body>"
+    for name in ("comment-body", "cookie-text", "ad-content", "footer-text", "comment-list-body", "notice-text", "main-nav", "newsletter"):
+        assert html_text.main_text(page(name, "Nice post!")) == f"{PROSE}\n{PROSE}", name
+    for name in ("entry-content", "body-text", "content-with-sidebar", "no-comments", "caption"):
+        assert html_text.main_text(page(name, "Nice post!")) == f"{PROSE}\nNice post!\n{PROSE}", name
+    assert html_text.main_text(page("post-notice", PROSE + " " + PROSE)) == f"{PROSE}\n{PROSE} {PROSE}\n{PROSE}"
+
+
+def brute_label(block, stops):
+    """Both passes as the module's head tells them, for blocks (text, linked characters, heading) outside of regions."""
+    words = [re.sub(r"^[\W\d_]+|[\W\d_]+$", "", w) for w in block[0].lower().split() if re.search(r"\w", w)]
+    share, size, link = sum(w in stops for w in words) / max(1, len(words)), len(block[0]), block[1]
+    if link > size / 2:
+        return "unsure" if block[2] else "bad"
+    if size < 70:
+        return "bad" if link and not block[2] else "unsure"
+    if share >= 0.3 or share >= 0.2 and size > 200:
+        return "good"
+    return "unsure" if share >= 0.2 else "open" if link <= 0.2 * size else "bad"
+
+
+def test_both_passes_equal_brute_force():
+    rnd = random.Random(12)
+    content, function = "harbour signal mountain copper river garden window yellow".split(), "the of and to in is that it".split()
+    decided = 0
+    for _ in range(200):
+        made, html = [], []
+        for _ in range(rnd.randrange(1, 12)):
+            share, n, tag = rnd.choice([0.0, 0.22, 0.6]), rnd.choice([3, 8, 20, 60]), rnd.choice(["p", "p", "p", "h2"])
+            words = [rnd.choice(function if rnd.random() < share else content) for _ in range(n)]
+            cut = rnd.choice([0, 0, 0, n // 4, n])
+            linked = " ".join(words[:cut])
+            made.append([" ".join(words), len(linked), tag == "h2"])
+            html.append(f"<{tag}>" + (f"<a href='/x'>{linked}</a> " if cut else "") + " ".join(words[cut:]) + f"</{tag}>")
+        labels = [brute_label(b, html_text.STOPS) for b in made]
+        size = {k: sum(len(b[0]) for b, x in zip(made, labels) if x == k) for k in ("good", "open")}
+        labels = [("good" if size["open"] > size["good"] else "unsure") if x == "open" else x for x in labels]
+        sure = [i for i, x in enumerate(labels) if x != "unsure"]
+        kept = []
+        for i, (b, x) in enumerate(zip(made, labels)):
+            later = [j for j in sure if j > i]
+            nearest = [j for j in sure if abs(j - i) == min(abs(k - i) for k in sure)]
+            if x == "unsure" and b[2] and later:
+                nearest = later[:1]
+            good = x == "good" if x != "unsure" else any(labels[j] == "good" for j in nearest) if sure else len(b[0]) >= 70
+            decided += x == "unsure" and bool(sure)
+            kept += [b[0]] if good else []
+        assert html_text.main_text("<body>" + "".join(html) + "</body>") == "\n".join(kept)
+    assert decided > 200
+
+
+def test_pages_empty_clashing_and_null(spark):
+    schema = "page_id long, url string, html string, text string, n_chars string, language string"
+    pages = spark.createDataFrame([(1, "u", PAGE, "x", "y", "z"), (None, None, None, None, None, None)], schema)
+    assert sorted(r["text"] for r in html_text.extract(pages).collect()) == ["", "Title & more\nFirst bold words here\nLes.\nLast"]
+    assert html_text.extract(pages.limit(0)).count() == 0
