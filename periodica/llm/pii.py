@@ -2,15 +2,23 @@
 
 The patterns give the base spans. The field labels the other tokens that have a digit or an
 at sign (any other token is certainly no personal data, so the chain falls apart at it):
-- a token's potential sums what its features tell for each label, learnt from how often they
-  go with the labels of the base spans, over all documents;
-- tokens that stand side by side share a potential learnt from label successions;
+- a token's potential is the sum of the weights of its features for each label;
+- tokens that stand side by side share a potential of their two labels;
 - skip edges tie a token to the previous one and to the first one of the same or a similar
-  form in the document (equal letters and digits; the same last seven digits), however far
-  off, with a potential for equal labels.
+  form in the document, however far off, with weights for equal labels, one of all edges and
+  one of the kind of edge: equal letters and digits, the same last seven digits, the same name
+  before an at sign, the same first three numbers of four.
 Base tokens are fixed to their labels. Loopy message passing then gives each other token its
 posterior; those over SURE become further spans. Edges grow with the tokens, not with the
 size of a group of alike ones.
+
+All weights are fitted together by pseudo-likelihood: each token's label given its features
+and its neighbours' labels, over all documents, with the base spans' labels. A token without
+a label that has a skip neighbour with one is left out, and so are its edges, because whether it
+is personal data is what the field has to tell. Tokens with skip neighbours count a second time with their own
+features hidden, so that the edges learn to speak for forms that no pattern knows. Documents
+are read once into a table of counted examples, over which the rounds of the fit run; what
+comes to the driver in a round is as large as the weights.
 """
 
 from __future__ import annotations
@@ -26,16 +34,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, slices, stored
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("", *KINDS)
 BUCKETS = 4096  # of hashed features
-SURE = 0.9
-SKIP = 3.0  # log-potential of equal labels over a skip edge
-ROUNDS = 12
-SMOOTH = 0.5
+SURE = 0.6
+ROUNDS = 12  # of message passing
+FIT_ROUNDS = 40
+PRIOR = 0.1  # precision of the weights' normal prior
+ACTIVE = 8  # weights that a token's score adds up, about: bounds the curvature in a step of the fit
+HELD = 50_000  # distinct examples a task counts before it hands them on
 FIXED = 30.0
+EDGE_KINDS = ("form", "digits", "local", "network", "any")  # the last stands for all edges
+ANY = len(EDGE_KINDS) - 1
 
 # The base patterns, given with the task; forms that can't backtrack over long runs.
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -45,7 +57,7 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TOKEN = re.compile(r"\S+")
 MARK = re.compile("[0-9@]")
-EDGES = "\"'()[]{}<>.,;:!?*#$%&|=`~"
+BEFORE, AFTER = "\"')[]{}<>.,;:!?*#$%&|=`~", "\"'([]{}<>.,;:!?*#$%&|=`~"
 
 
 def luhn(digits: str) -> bool:
@@ -91,8 +103,8 @@ def marked_tokens(text: str) -> list[tuple[int, int, int]]:
     for i, m in enumerate(TOKEN.finditer(text)):
         if MARK.search(m[0]):
             word = m[0]
-            start = m.start() + len(word) - len(word.lstrip(EDGES.replace("(", "")))
-            end = m.end() - (len(word) - len(word.rstrip(EDGES.replace(")", ""))))
+            start = m.start() + len(word) - len(word.lstrip(BEFORE))
+            end = m.end() - (len(word) - len(word.rstrip(AFTER)))
             if start < end:
                 out.append((i, start, end))
     return out
@@ -101,16 +113,15 @@ def marked_tokens(text: str) -> list[tuple[int, int, int]]:
 def features(text: str, tokens: list[tuple[int, int, int]]) -> list[list[int]]:
     shapes = []
     for _, a, b in tokens:
-        word = text[a:b][:64]
+        word = text[a:b]
         exact = re.sub("[A-Za-z]+", "a", re.sub("[0-9]", "9", word))
         rough = re.sub("9+", "9", exact)
-        digits = sum(c.isdigit() for c in word)
-        shapes.append((exact[:24], rough[:24], digits, sum_of(word)))
+        shapes.append((exact, rough, min(24, sum(c.isdigit() for c in word)), sum_of(word)))
     out = []
     for i, (exact, rough, digits, check) in enumerate(shapes):
         beside = i and tokens[i - 1][0] == tokens[i][0] - 1
         after = i + 1 < len(tokens) and tokens[i + 1][0] == tokens[i][0] + 1
-        names = [f"c{check}", f"e{exact}", f"r{rough}", f"d{min(digits, 24)}", f"p{shapes[i - 1][1] if beside else ''}", f"n{shapes[i + 1][1] if after else ''}"]
+        names = [f"c{check}", f"e{exact}", f"r{rough}", f"d{digits}", f"p{shapes[i - 1][1] if beside else ''}", f"n{shapes[i + 1][1] if after else ''}"]
         out.append([hash_name(n) for n in names])
     return out
 
@@ -139,49 +150,102 @@ def base_labels(tokens: list[tuple[int, int, int]], spans: list[tuple[int, int,
     return labels
 
 
-def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(table, i, j, n): feature i with label j, or label i before label j."""
-    sums: Counter[tuple[int, int, int]] = Counter()
+EXAMPLE = "own array<int>, prior int, next int, skips array<int>, label int, n long"
+
+
+def examples(text: str) -> Iterator[tuple]:
+    """For each token of which the label is known: its features, the labels before and after it (-1 if none
+    is known), how often each label stands at the other ends of each kind of skip edge, and its label."""
+    tokens = marked_tokens(text)
+    labels = base_labels(tokens, base_spans(text)).tolist()
+    ends: dict[int, Counter[tuple[int, int]]] = {}
+    edges = skip_edges(text, tokens)
+    for i in {k for i, j, _ in edges if bool(labels[i]) != bool(labels[j]) for k in (i, j) if not labels[k]}:
+        labels[i] = -1
+    for i, j, kind in edges:
+        if labels[i] >= 0 and labels[j] >= 0:
+            ends.setdefault(i, Counter())[kind, labels[j]] += 1
+            ends.setdefault(j, Counter())[kind, labels[i]] += 1
+    for i, (own, y) in enumerate(zip(features(text, tokens), labels)):
+        if y < 0:
+            continue
+        found = ends.get(i, {})
+        prior = labels[i - 1] if i and tokens[i - 1][0] == tokens[i][0] - 1 else -1
+        after = labels[i + 1] if i + 1 < len(tokens) and tokens[i + 1][0] == tokens[i][0] + 1 else -1
+        skips = tuple(x for (kind, label), n in sorted(found.items()) for x in (kind, label, n))
+        yield tuple(own), prior, after, skips, y
+        if skips:
+            yield (), prior, after, skips, y
+
+
+def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows() -> pd.DataFrame:
+        return pd.DataFrame([(list(k[0]), k[1], k[2], list(k[3]), k[4], n) for k, n in sums.items()], columns=["own", "prior", "next", "skips", "label", "n"])
+
+    sums: Counter[tuple] = Counter()
     for batch in batches:
         for text in batch["text"]:
-            tokens = marked_tokens(text)
-            labels = base_labels(tokens, base_spans(text)).tolist()
-            for i, (own, y) in enumerate(zip(features(text, tokens), labels)):
-                sums[(0, -1, y)] += 1
-                for f in own:
-                    sums[(0, f, y)] += 1
-                if i and tokens[i - 1][0] == tokens[i][0] - 1:
-                    sums[(1, labels[i - 1], y)] += 1
-    yield pd.DataFrame([(*k, n) for k, n in sums.items()], columns=["which", "i", "j", "n"])
+            sums.update(examples(text))
+            if len(sums) > HELD:
+                yield rows()
+                sums.clear()
+    if sums:
+        yield rows()
 
 
 class Field:
-    """Potentials learnt from counts: `unary` (feature, label), `prior`, `pair` (label, label)."""
+    """Weights: `unary` (feature and, last, a constant; label), `pair` (label, label), `skip` (kind of edge, label)."""
 
-    def __init__(self, counts: list[tuple[int, int, int, int]]):
+    def __init__(self):
         size = len(LABELS)
-        seen, prior, pair = np.zeros((BUCKETS, size)), np.zeros(size), np.zeros((size, size))
-        for which, i, j, n in counts:
-            if which:
-                pair[i, j] += n
-            elif i < 0:
-                prior[j] += n
-            else:
-                seen[i, j] += n
-        rate = (seen + SMOOTH) / (prior + SMOOTH * 20)
-        self.unary = np.log(rate / rate[:, :1])
-        self.unary[seen.sum(axis=1) == 0] = -1.0
-        self.unary[:, 0] = 0.0
-        self.prior = np.log((prior + SMOOTH) / (prior.sum() + SMOOTH * size))
-        share = (prior + SMOOTH) / (prior.sum() + SMOOTH * size)
-        self.pair = np.clip(np.log((pair + SMOOTH) / (pair.sum() + SMOOTH * size * size) / (share[:, None] * share[None, :])), -4.0, 4.0)
-        self.skip = SKIP * np.eye(size)
+        self.unary, self.pair, self.skip = np.zeros((BUCKETS + 1, size)), np.zeros((size, size)), np.zeros((len(EDGE_KINDS), size))
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([self.unary.ravel(), self.pair.ravel(), self.skip.ravel()])
+
+    def set(self, flat: np.ndarray) -> None:
+        a, b = self.unary.size, self.unary.size + self.pair.size
+        self.unary, self.pair, self.skip = flat[:a].reshape(self.unary.shape), flat[a:b].reshape(self.pair.shape), flat[b:].reshape(self.skip.shape)
+
+    def gradient(self, batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """Of the log pseudo-likelihood of counted examples, and how much each weight takes part in it (squared)."""
+        size, rows = len(LABELS), len(batch)
+        n, y = batch["n"].to_numpy(np.float64), batch["label"].to_numpy()
+        lengths = batch["own"].map(len).to_numpy()
+        row = np.concatenate([np.repeat(np.arange(rows), lengths), np.arange(rows)])
+        column = np.concatenate([*batch["own"], np.full(rows, BUCKETS)]).astype(np.int64)
+        prior, after = batch["prior"].to_numpy(), batch["next"].to_numpy()
+        skips = np.zeros((rows, *self.skip.shape))
+        for i, found in enumerate(batch["skips"]):
+            for kind, label, times in np.asarray(found).reshape(-1, 3):
+                skips[i, kind, label] += times
+                skips[i, ANY, label] += times
+        score = np.einsum("rkl,kl->rl", skips, self.skip)
+        np.add.at(score, row, self.unary[column])
+        has, follows = prior >= 0, after >= 0
+        score[has] += self.pair[prior[has]]
+        score[follows] += self.pair[:, after[follows]].T
+        score = np.exp(score - score.max(axis=1, keepdims=True))
+        rest = -score / score.sum(axis=1, keepdims=True)
+        rest[np.arange(rows), y] += 1
+        rest *= n[:, None]
+        slope, share = Field(), Field()
+        np.add.at(slope.unary, column, rest[row])
+        np.add.at(share.unary, column, np.repeat(n[row][:, None], size, 1))
+        np.add.at(slope.pair, prior[has], rest[has])
+        np.add.at(slope.pair.T, after[follows], rest[follows])
+        np.add.at(share.pair, prior[has], np.repeat(n[has][:, None], size, 1))
+        np.add.at(share.pair.T, after[follows], np.repeat(n[follows][:, None], size, 1))
+        slope.skip = np.einsum("rkl,rl->kl", skips, rest)
+        share.skip = np.einsum("rkl,r->kl", skips**2, n)
+        return slope.flat(), share.flat()
 
     def posteriors(self, unary: np.ndarray, edges: np.ndarray, skips: np.ndarray) -> np.ndarray:
-        """Beliefs after loopy sum-product; edges: (n, 2) of neighbours in order, skips likewise."""
-        pairs = np.concatenate([edges, skips])
+        """Beliefs after loopy sum-product; edges: (n, 2) of neighbours in order; skips: (n, 3), the last the kind."""
+        pairs = np.concatenate([edges, skips[:, :2]])
         if len(pairs):
-            tables = np.concatenate([np.repeat(self.pair[None], len(edges), 0), np.repeat(self.skip[None], len(skips), 0)])
+            equal = np.eye(unary.shape[1])[None] * (self.skip[skips[:, 2]] + self.skip[ANY])[:, :, None]
+            tables = np.concatenate([np.repeat(self.pair[None], len(edges), 0), equal])
             source = np.concatenate([pairs[:, 0], pairs[:, 1]])
             target = np.concatenate([pairs[:, 1], pairs[:, 0]])
             tables = np.exp(np.concatenate([tables, tables.transpose(0, 2, 1)]))
@@ -210,14 +274,14 @@ class Field:
         if not tokens:
             return []
         fixed = base_labels(tokens, base)
-        unary = np.array([self.unary[f].sum(axis=0) for f in features(text, tokens)]) + self.prior
+        unary = np.array([self.unary[f].sum(axis=0) for f in features(text, tokens)]) + self.unary[BUCKETS]
         taken = np.flatnonzero(fixed)
         unary[taken] = -FIXED
         unary[taken, fixed[taken]] = 0.0
         number = np.array([t[0] for t in tokens])
         left = np.flatnonzero(np.diff(number) == 1)
         edges = np.stack([left, left + 1], axis=1) if len(left) else np.zeros((0, 2), np.int64)
-        skips = np.array(skip_edges(text, tokens), dtype=np.int64).reshape(-1, 2)
+        skips = np.array(skip_edges(text, tokens), dtype=np.int64).reshape(-1, 3)
         belief = self.posteriors(unary, edges, skips)
         best = belief.argmax(axis=1)
         chosen = np.flatnonzero((best > 0) & (fixed == 0) & (belief.max(axis=1) >= SURE))
@@ -233,29 +297,64 @@ class Field:
         return out
 
 
-def skip_edges(text: str, tokens: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Each token with the previous and with the first of the same key."""
-    edges: set[tuple[int, int]] = set()
-    first: dict[str, int] = {}
-    previous: dict[str, int] = {}
+def skip_edges(text: str, tokens: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(earlier, later, kind): each token with the previous and with the first of the same key. Two tokens that
+    agree in several ways are tied once, by the first kind."""
+    edges: dict[tuple[int, int], int] = {}
+    first: dict[tuple[int, str], int] = {}
+    previous: dict[tuple[int, str], int] = {}
     for i, (_, a, b) in enumerate(tokens):
-        plain = re.sub("[^0-9a-z@]", "", text[a:b].lower())
-        digits = re.sub("[^0-9]", "", plain)
-        keys = ["w" + plain] + (["d" + digits[-7:]] if len(digits) >= 7 else [])
-        for key in keys:
+        for key in similar(text[a:b].lower()):
             if key in previous:
-                edges.add((previous[key], i))
-                edges.add((first[key], i))
+                for j in (previous[key], first[key]):
+                    edges[j, i] = min(key[0], edges.get((j, i), key[0]))
             first.setdefault(key, i)
             previous[key] = i
-    return sorted(edges)
+    return sorted((i, j, kind) for (i, j), kind in edges.items())
+
+
+def similar(word: str) -> list[tuple[int, str]]:
+    """The keys, by kind of edge, that a token shares with similar ones."""
+    plain = re.sub("[^0-9a-z@]", "", word)
+    digits = re.sub("[^0-9]", "", plain)
+    keys = [(0, plain)]
+    if len(digits) >= 7 and "@" not in word:
+        keys.append((1, digits[-7:]))
+    local, at, _ = word.partition("@")
+    if at and re.search("[a-z]", local):
+        keys.append((2, local))
+    numbers = word.split(".")
+    if len(numbers) in (3, 4) and all(x.isascii() and x.isdigit() for x in numbers):
+        keys.append((3, ".".join(numbers[:3])))
+    return keys
 
 
 def learn(docs: DataFrame) -> Field:
-    """Potentials from all documents; what comes to the driver is at most 5 * (BUCKETS + 6) numbers."""
+    """Weights from all documents."""
     texts = docs.select(F.col("text").cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
-    summed = texts.mapInPandas(count, "which int, i int, j int, n long").groupBy("which", "i", "j").agg(F.sum("n").alias("n"))
-    return Field([tuple(r) for r in summed.collect()])
+    key = ["own", "prior", "next", "skips", "label"]
+    table = stored(texts.mapInPandas(counted, EXAMPLE).groupBy(*key).agg(F.sum("n").alias("n")), "pii-examples")
+    field, before = Field(), 0.0
+    for k in range(FIT_ROUNDS):  # each from a point ahead in the last round's direction
+        now = field.flat() + k / (k + 3) * (field.flat() - before)
+        before = field.flat()
+
+        def run(batches: Iterator[pd.DataFrame], now: np.ndarray = now) -> Iterator[pd.DataFrame]:
+            own = Field()
+            own.set(now)
+            total = np.zeros((2, len(now)))
+            for batch in batches:
+                if len(batch):
+                    total += own.gradient(batch)
+            place = np.flatnonzero(total[1])
+            yield pd.DataFrame({"place": place, "slope": total[0, place], "share": total[1, place]})
+
+        summed = table.mapInPandas(run, "place int, slope double, share double").groupBy("place").agg(F.sum("slope"), F.sum("share"))
+        found = np.array([tuple(r) for r in summed.collect()], np.float64).reshape(-1, 3)  # at most as many rows as weights
+        place = found[:, 0].astype(np.int64)
+        now[place] += (found[:, 1] - PRIOR * now[place]) / (ACTIVE / 4 * found[:, 2] + PRIOR)
+        field.set(now)
+    return field
 
 
 def find_personal_data(docs: DataFrame, field: Field | None = None) -> DataFrame:
@@ -272,7 +371,7 @@ def find_personal_data(docs: DataFrame, field: Field | None = None) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for text in batch.column(1).to_pylist():
+            for text in (t for _, part in slices(batch.column(1)) for t in part):
                 base = base_spans(text) if text else []
                 more = model.more_spans(text, base) if text else []
                 spans = sorted([(*s, True) for s in base] + [(*s, False) for s in more])

@@ -264,6 +264,59 @@ def test_field_adds_what_patterns_miss_and_leaves_clean_text_alone(spark):
         assert [(pii.KINDS.index(s["kind"]), s["start"], s["end"]) for s in found[i] if s["base"]] == brute_spans(t)
 
 
+def test_skip_edges_decide_what_a_distant_repeat_is(spark):
+    rnd = random.Random(3)
+    digits = lambda n: "".join(rnd.choice("123456789") for _ in range(n))
+    texts = []
+    for i in range(120):
+        phone, mail = f"+1{digits(10)}", f"u{digits(3)}.n@mail{i}.example.org"
+        texts.append((i, f"{phone} then {'word ' * 30} {phone} and {mail} {'word ' * 30} {mail} in 20{digits(2)} or 20{digits(2)} x{digits(2)}"))
+    field = pii.learn(docs_of(spark, texts))
+    assert (field.skip[pii.ANY, [1, 4]] > 0.5).all()
+    far = " word" * 500
+    new = {900: f"call +12345678912 {far} or (234)5678912 late", 901: f"call +19876543219 {far} or (234)5678912 late", 902: f"see ann.b7@mail1.example.org {far} ann.b7@intranet said"}
+    frame = docs_of(spark, texts + list(new.items()))
+    added = lambda: {r["doc_id"]: [(s["kind"], (r["doc_id"] in new) and new[r["doc_id"]][s["start"] : s["end"]]) for s in r["spans"] if not s["base"]] for r in pii.find_personal_data(frame, field).collect()}
+    found = added()
+    assert found[900] == [("phone", "(234)5678912")] and found[902] == [("email", "ann.b7@intranet")] and found[901] == []
+    assert not any(found[i] for i in range(120))
+    field.skip[:] = 0
+    assert added()[900] == [] and added()[902] == []
+
+
+def test_gradient_is_that_of_the_pseudo_likelihood():
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    rows = [([1, 2], -1, 1, [0, 1, 2], 1, 3), ([2, 3], 0, -1, [], 0, 5), ([], 1, 2, [0, 2, 1, 1, 0, 1], 2, 1), ([7], 4, 0, [3, 4, 1], 4, 2)]
+    batch = pd.DataFrame(rows, columns=["own", "prior", "next", "skips", "label", "n"])
+    field = pii.Field()
+    start = rng.normal(size=field.flat().shape)
+
+    def value(flat):
+        field.set(flat)
+        total = 0.0
+        for own, prior, after, skips, y, n in rows:
+            score = field.unary[pii.BUCKETS] + sum(field.unary[f] for f in own) + (field.pair[prior] if prior >= 0 else 0) + (field.pair[:, after] if after >= 0 else 0)
+            for kind, label, times in np.array(skips, int).reshape(-1, 3):
+                score = score + np.eye(5)[label] * (field.skip[kind, label] + field.skip[pii.ANY, label]) * times
+            total += n * (score[y] - np.log(np.exp(score).sum()))
+        return total
+
+    field.set(start.copy())
+    slope, share = field.gradient(batch)
+    for place in rng.choice(np.flatnonzero(share), 40, replace=False).tolist():
+        step = np.zeros_like(start)
+        step[place] = 1e-5
+        assert (value(start + step) - value(start - step)) / 2e-5 == pytest.approx(slope[place], abs=1e-6)
+
+
+def test_long_tokens_are_read_whole(spark):
+    long = "a" * 100 + "4003036626649762"
+    tokens = pii.marked_tokens(long + " " + long[:-1])
+    assert pii.features(long + " " + long[:-1], tokens)[0] != pii.features(long + " " + long[:-1], tokens)[1]
+
+
 def test_skip_edges_grow_with_the_tokens():
     text = " ".join(["4003036626649762"] * 500)
     tokens = pii.marked_tokens(text)
