@@ -56,9 +56,27 @@ FEED_ROW = (
 STRDECODE = r"""(?is)strdecode\s*\(\s*(["'])(.*?)\1\s*\)"""
 DECODE_B64 = r"""(?is)decodeB64\s*\(\s*(["'])(.*?)\1\s*\)"""
 PAGE_DATA = r"""(?is)__PAGE_DATA__\s*=\s*(["'])(.*?)\1"""
+# Forms by which a value next to its label is proven.
+STRICT = (
+    ACTION + r"\s*(?:一个|一|①|1)?\s*尾\s*(?:[:：=＝◆◇〓\-—_~*#、，,.．。+＋!?！？]\s*)*[【\[(（〖《]?\s*(\d)(?!\d)(?!\s*(?:尾\s*)?(?:[、,，.．+＋/]\s*|\s+)\d)",
+    ACTION + r"\s*(?:一个|一|①|1)?\s*(?:[:：=＝◆◇〓\-—_~*#、，,.．。+＋!?！？]\s*)*[【\[(（〖《]?\s*(\d)(?!\d)\s*[】\])）〗》]?\s*尾",
+    r"杀\s*[【\[(（〖《]\s*(\d)(?!\d)\s*[】\])）〗》]\s*尾",
+)
+BRACKETED = (r"杀\s*[【\[(（〖《]\s*(\d{1,3})\s*[】\])）〗》]\s*尾", r"[【\[(（〖《]\s*杀\s*(\d{1,3})\s*尾\s*[】\])）〗》]")
+LABEL = ACTION + r"\s*(?:一个|一|①|1)?\s*尾(?:\s*数)?|杀\s*尾\s*数"
+LABEL_REACH = 120
+FURTHER_VALUE = r"\s*(?:尾\s*)?(?:[、,，.．+＋/]\s*|\s+)\d(?:\s*尾)?"
+FOREIGN = r"[㐀-鿿豈-﫿A-Za-z]"
+ALLOWED_INFIX = r"杀|专区|本帖隐藏的内容"
 WRITELN = r"""(?is)document\.writeln\s*\(\s*(["'])(.*?)\1\s*\)\s*;"""
 PLACEHOLDER_BODIES = ("", "abcabc", "ok", "success")
 
+FAILURE_WORDS = {  # in this order of precedence
+    "missing": r"没有找到|缺少|不是指定|missing", "not a digit": r"非0-9尾", "tls": r"unexpected_eof|ssl|tls|handshake",
+    "reset": r"winerror 10054|connection reset|remote host", "timeout": r"timed out|timeout", "http": r"http error|httperror",
+}
+TRANSPORT_WORDS = r"timeout|timed out|unexpected_eof|eof occurred|err_connection_closed|connection closed|connection reset|remote end closed|temporarily unavailable"
+FINAL_WORDS = r"cert_authority_invalid|certificate verify failed|too_many_redirects"
 FAILURE_CLASSES = {
     "missing": "没有数据", "not a digit": "非0-9尾", "tls": "TLS失败", "reset": "连接断开", "timeout": "超时", "http": "HTTP失败", "other": "抓取/解析失败",
 }

@@ -156,25 +156,15 @@ def result_line(value: Column, name: Column) -> Column:
 
 def failure_class(text: Column) -> Column:
     """T25, in this order of precedence."""
-    low, names = F.lower(text), fixed.FAILURE_CLASSES
-    has = lambda c, *marks: c.rlike("|".join(marks))
-    return (
-        F.when(has(text, "没有找到", "缺少", "不是指定") | has(low, "missing"), names["missing"])
-        .when(has(text, "非0-9尾"), names["not a digit"])
-        .when(has(low, "unexpected_eof", "ssl", "tls", "handshake"), names["tls"])
-        .when(has(low, "winerror 10054", "connection reset", "remote host"), names["reset"])
-        .when(has(low, "timed out", "timeout"), names["timeout"])
-        .when(has(low, "http error", "httperror"), names["http"])
-        .otherwise(names["other"])
-    )
+    low = F.lower(text)
+    named = [F.when(low.rlike(words), fixed.FAILURE_CLASSES[kind]) for kind, words in fixed.FAILURE_WORDS.items()]
+    return F.coalesce(*named, F.lit(fixed.FAILURE_CLASSES["other"]))
 
 
 def retryable(message: Column) -> Column:
     """A transport failure that isn't about certificates or redirects."""
     low = F.lower(F.coalesce(message, F.lit("")))
-    veto = low.rlike("cert_authority_invalid|certificate verify failed|too_many_redirects")
-    marks = "timeout|timed out|unexpected_eof|eof occurred|err_connection_closed|connection closed|connection reset|remote end closed|temporarily unavailable"
-    return ~veto & low.rlike(marks)
+    return ~low.rlike(fixed.FINAL_WORDS) & low.rlike(fixed.TRANSPORT_WORDS)
 
 
 def parse_issues(text: Column) -> Column:
@@ -203,9 +193,17 @@ def sub_documents(blocks: Column) -> Column:
 
 
 def written_html(text: Column) -> Column:
-    """The string literals of document.writeln, joined, their escapes undone."""
-    parts = F.regexp_extract_all(text, F.lit(fixed.WRITELN), F.lit(2))
-    return F.array_join(F.transform(parts, lambda p: F.regexp_replace(p, r"\\(.)", "$1")), "\n")
+    """The string literals of document.writeln, joined, their escapes undone: quotes and backslashes
+    first, then carriage returns, line feeds and tabs."""
+    literals = F.regexp_extract_all(text, F.lit(fixed.WRITELN), F.lit(2))
+
+    def undone(literal: Column) -> Column:
+        plain = F.regexp_replace(literal, r"""\\(['"\\])""", "$1")
+        for mark, character in (("\\r", "\r"), ("\\n", "\n"), ("\\t", "\t")):
+            plain = F.replace(plain, F.lit(mark), F.lit(character))
+        return plain
+
+    return F.array_join(F.transform(literals, undone), "\n")
 
 
 def names_site(text: Column, name: Column) -> Column:

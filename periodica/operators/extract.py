@@ -121,11 +121,11 @@ def user_feed(documents: DataFrame) -> DataFrame:
     """Every match of the feed row's form: issue and one digit. The context of a match is looked at
     from its start."""
     text = with_rule(documents).withColumn("text", page_text(F.col("content")))
-    form = F.lit("(?s)" + fixed.FEED_ROW)
-    groups = [F.regexp_extract_all("text", form, F.lit(i)) for i in (0, 1, 2)]
-    found = text.select("*", F.posexplode(F.arrays_zip(*[g.alias(n) for g, n in zip(groups, ("whole", "no", "digit"))])).alias("place", "hit"))
-    at = F.expr("locate(hit.whole, text)")
-    context = F.substring(F.col("text"), at, F.greatest(F.lit(80), F.col("span")))
+    form, reach = "(?s)" + fixed.FEED_ROW, F.greatest(F.lit(80), F.col("span"))
+    cut = text.withColumn("pieces", F.split(F.regexp_replace("text", form, "\u0001$0"), "\u0001", -1))  # each but the first begins with a match
+    found = cut.select("*", F.posexplode("pieces").alias("place", "piece")).where("place > 0")
+    context = F.substring(F.array_join(F.slice("pieces", F.col("place") + 1, reach), ""), F.lit(1), reach)  # a piece has a character at least
+    found = found.withColumn("hit", F.struct(F.regexp_extract("piece", form, 1).alias("no"), F.regexp_extract("piece", form, 2).alias("digit")))
     signals = T.signal_words(F.col("signals"), F.col("name"))
     rows = found.withColumn("window", context).where(
         (~F.col("need_site") | T.names_site(F.col("window"), F.col("name")))

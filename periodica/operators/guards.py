@@ -7,16 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions import text as T
-from ..helpers.values import adjacent
 from .extract import page_text
 
-STRICT = (
-    fixed.ACTION + r"\s*(?:一个|一|①|1)?\s*尾\s*(?:[:：=＝◆◇〓\-—_~*#、，,.．。+＋!?！？]\s*)*[【\[(（〖《]?\s*(\d)(?!\d)(?!\s*(?:尾\s*)?(?:[、,，.．+＋/]\s*|\s+)\d)",
-    fixed.ACTION + r"\s*(?:一个|一|①|1)?\s*(?:[:：=＝◆◇〓\-—_~*#、，,.．。+＋!?！？]\s*)*[【\[(（〖《]?\s*(\d)(?!\d)\s*[】\])）〗》]?\s*尾",
-    r"杀\s*[【\[(（〖《]\s*(\d)(?!\d)\s*[】\])）〗》]\s*尾",
-)
-BRACKETED = (r"杀\s*[【\[(（〖《]\s*(\d{1,3})\s*[】\])）〗》]\s*尾", r"[【\[(（〖《]\s*杀\s*(\d{1,3})\s*尾\s*[】\])）〗》]")
-LABEL = fixed.ACTION + r"\s*(?:一个|一|①|1)?\s*尾(?:\s*数)?|杀\s*尾\s*数|" + BRACKETED[0]
+LABELLED = f"(?:{fixed.LABEL})((?:(?!{fixed.LABEL}).){{0,{fixed.LABEL_REACH}}})"
+NUMBER = r"(?s)^(.*?)(?<!\d)(\d{1,4})(?!\d)(.*)$"  # what stands before the first number, it, and what stands behind
 
 
 def evidence(records: DataFrame, documents: DataFrame) -> DataFrame:
@@ -44,12 +38,39 @@ def captured(text: Column, patterns) -> Column:
 
 def ambiguous(text: Column) -> Column:
     """A pattern captures a number of different digits."""
-    return F.exists(captured(bare(text), (*fixed.VALUE_PATTERNS, *BRACKETED)), lambda v: T.exact_digit(v).isNull())
+    return F.exists(captured(bare(text), (*fixed.VALUE_PATTERNS, *fixed.BRACKETED)), lambda v: T.exact_digit(v).isNull())
+
+
+def verdicts(text: Column) -> Column:
+    """Of each bracketed value, and of the stretch behind each label as far as the next one: the digit that
+    it proves, or what speaks against it. A stretch without a number says nothing. Between a label and its
+    number only decoration may stand; the number has to be one digit (or one repeated) and the only one."""
+    plain = bare(text)
+    digit = lambda raw: F.coalesce(T.exact_digit(raw).cast("string"), F.lit("several digits"))
+
+    def behind(stretch: Column) -> Column:
+        before, raw, after = (F.regexp_extract(stretch, NUMBER, i) for i in (1, 2, 3))
+        return (
+            F.when(raw == "", F.lit(None).cast("string"))
+            .when(F.regexp_replace(before, fixed.ALLOWED_INFIX, "").rlike(fixed.FOREIGN), "other words between")
+            .when(T.exact_digit(raw).isNotNull() & after.rlike("^" + fixed.FURTHER_VALUE), "several values")
+            .otherwise(digit(raw))
+        )
+
+    stretches = F.regexp_extract_all(plain, F.lit("(?s)" + LABELLED), F.lit(1))
+    return F.array_compact(F.concat(F.transform(captured(plain, fixed.BRACKETED), digit), F.transform(stretches, behind)))
+
+
+def adjacent(text: Column, value: Column) -> Column:
+    """Struct of proven (the value stands next to a label) and fault (the first thing against one)."""
+    found = verdicts(text)
+    fault = F.try_element_at(F.filter(found, lambda v: F.length(v) > 1), F.lit(1))
+    return F.struct(F.coalesce(F.array_contains(found, value), F.lit(False)).alias("proven"), fault.alias("fault"))
 
 
 def strict(text: Column, value: Column) -> Column:
     """A strict pattern captures exactly the value."""
-    return F.array_contains(captured(bare(text), STRICT), value)
+    return F.array_contains(captured(bare(text), fixed.STRICT), value)
 
 
 def enforce(records: DataFrame, documents: DataFrame, exact: Column | None = None) -> DataFrame:
@@ -57,7 +78,7 @@ def enforce(records: DataFrame, documents: DataFrame, exact: Column | None = Non
     document. Pairs, categories and table records pass; a user feed only needs P2; section, compact
     and lead_compact need P3 or P4; dedicated ones fail by any fault of P3, or unproven beside a
     label, unless `exact` says that their own form is proof."""
-    proven = evidence(records, documents).withColumn("near", adjacent("evidence", F.col("value").try_cast("int")))
+    proven = evidence(records, documents).withColumn("near", adjacent(F.col("evidence"), F.col("value")))
     single = F.col("value").rlike(r"^\d$") & (F.col("kind") != "table")
     strict_kind = F.col("kind").isin("section", "compact", "lead_compact")
     dedicated = (F.col("kind") == "dedicated") & ~(F.lit(False) if exact is None else exact)
@@ -66,7 +87,7 @@ def enforce(records: DataFrame, documents: DataFrame, exact: Column | None = Non
         F.when(ambiguous(F.col("evidence")), "several digits")
         .when(strict_kind & ~F.col("near.proven") & ~strict(F.col("evidence"), F.col("value")), "not adjacent")
         .when(dedicated & F.col("near.fault").isNotNull(), F.col("near.fault"))
-        .when(dedicated & ~F.col("near.proven") & bare(F.col("evidence")).rlike(LABEL), "not proven"),
+        .when(dedicated & ~F.col("near.proven") & bare(F.col("evidence")).rlike(f"{fixed.LABEL}|{fixed.BRACKETED[0]}"), "not proven"),
     )
     judged = proven.withColumn("error", error).drop("near")
     worst = judged.groupBy("document").agg(F.min_by("error", F.when(F.col("error").isNotNull(), F.col("position"))).alias("document_error"))

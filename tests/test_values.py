@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from periodica.functions import text as T
 from periodica.helpers.markup import blocks_of, tables_of
-from periodica.helpers.values import adjacency, decode_body, find_value
+from periodica.helpers.values import decode_body, find_value
+from periodica.operators import guards
 
 
 @pytest.mark.parametrize(
@@ -43,8 +44,9 @@ def test_find_value(text, value, refused):
         ("nothing", 4, False, None),
     ],
 )
-def test_adjacency(text, value, proven, fault):
-    assert adjacency(text, value) == (proven, fault)
+def test_adjacency(spark, text, value, proven, fault):
+    frame = spark.createDataFrame([(text, str(value))], "text string, value string")
+    assert tuple(frame.select(guards.adjacent(F.col("text"), F.col("value")).alias("x")).first()["x"]) == (proven, fault)
 
 
 def one(spark, column, *values):
