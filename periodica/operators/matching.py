@@ -84,13 +84,13 @@ def still_open(blocks: DataFrame, passed: DataFrame) -> DataFrame:
 def all_failed(publishers: DataFrame, issues: DataFrame, successes: DataFrame, failures: DataFrame, runs: DataFrame) -> DataFrame:
     """Name, issue, reason for publishers without a success in any of the issues: the run's failure,
     the recorded reason, or a default. runs: issue, code. The issues asked for are few."""
-    broken = runs.where("code != 0").select("issue", "code")
+    broken = runs.where("code != 0").groupBy("issue").agg(F.max("code").alias("code"))
     valid = successes.join(broken, "issue", "left_anti").join(issues, "issue", "left_semi")
     failed = publishers.join(valid.select("name").distinct(), "name", "left_anti")
     asked = F.array_sort(F.collect_set("issue"))
     grid = failed.select("name").withColumn("issue", F.explode(F.lit(issues.agg(asked).first()[0] or [])))
     recorded = failures.groupBy("name", "issue").agg(F.max_by("reason", "place").alias("recorded"))
-    joined = grid.join(recorded, ["name", "issue"], "left").join(F.broadcast(broken), "issue", "left")  # a row an issue at most
+    joined = grid.join(recorded, ["name", "issue"], "left").join(broken, "issue", "left")
     run = F.when(F.col("code").isNotNull(), F.format_string("单期子进程退出码%d，本轮输出无效", F.col("code")))
     return joined.select("name", "issue", F.coalesce(run, F.nullif("recorded", F.lit("")), F.lit("未生成失败记录，且成功文件中也未找到该目录")).alias("reason"))
 

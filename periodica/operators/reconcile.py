@@ -40,6 +40,17 @@ def numbered(records: DataFrame) -> DataFrame:
     return records.withColumn("position", F.row_number().over(Window.partitionBy("publisher", "document", "parser").orderBy("seq")) - 1)
 
 
+def built(records: DataFrame, rules: DataFrame) -> DataFrame:
+    """V1: candidates from the records of all parsers. rules: publisher, sources (allowed URLs), dedicated,
+    words. Where a publisher has a dedicated parser only its records count; a record's URL must be one
+    of the rule's; its keyword is the first configured word that its snippet has (null without one)."""
+    ruled = records.join(rules, "publisher").where(
+        (F.col("dedicated") == (F.col("parser") == "dedicated")) & F.array_contains("sources", F.col("source_url"))
+    )
+    keyword = F.try_element_at(F.filter("words", lambda w: F.contains(F.col("snippet"), w)), F.lit(1))
+    return document_order(numbered(ruled.withColumn("keyword", keyword).drop("sources", "dedicated", "words")))
+
+
 def scoped(candidates: DataFrame, publishers: DataFrame) -> DataFrame:
     """V2: where the publisher has a document scope (top, bottom), only its first or last document's."""
     asked = candidates.join(publishers.select("publisher", "scope"), "publisher", "left")

@@ -13,25 +13,34 @@ from ..functions import fixed, issues
 from ..functions import text as T
 
 
+FINGERPRINT_BLOCK = 1000
+
+
 def missing_reason(issue: Column) -> Column:
     return F.concat(F.lit("缓存缺少"), issue.cast("string"), F.lit("期有效数据"))
 
 
 def roll(state: DataFrame, publishers: DataFrame, results: DataFrame, issue: int, window: int = fixed.WINDOW) -> DataFrame:
-    """The state after the run of `issue`.
+    """The state after the run of `issue`; results: publisher, value, reason."""
+    fresh = results.select("publisher", F.lit(issue).alias("issue"), "value", "reason")
+    return roll_runs(state, publishers, fresh, [issue], window)
+
+
+def roll_runs(state: DataFrame, publishers: DataFrame, results: DataFrame, runs: list[int], window: int = fixed.WINDOW) -> DataFrame:
+    """R1 for one or more runs at once: the state after those of the issues in `runs`, whose results
+    (publisher, issue, value, reason) are joined in together.
 
     The grid is publishers x the last issues (linear in the publishers). Old values stay
-    inside the window, but for the current issue; a success sets the value and clears the
+    inside the window, but for the issues run; a success sets the value and clears the
     reason, a failure or a missing result sets a reason; any other hole keeps its reason or
     gets a default one. Archived publishers aren't rolled (see archived_part).
     """
-    old = state.where((F.col("issue") <= issue) & (F.col("issue") > issue - window)).select(
-        "publisher", "issue", F.when(F.col("issue") != issue, F.col("value")).alias("old_value"), F.col("reason").alias("old_reason")
-    )
+    issue = max(runs)
+    current = F.col("issue").isin(*[i for i in runs if i > issue - window])
+    old = state.where(F.col("issue").between(issue - window + 1, issue)).select("publisher", "issue", F.col("value").alias("old_value"), F.col("reason").alias("old_reason"))
     grid = publishers.where("NOT archived").select("publisher", F.explode(issues.window(F.lit(issue), window)).alias("issue"))
-    fresh = results.select("publisher", F.lit(issue).alias("issue"), F.col("value").alias("new_value"), F.col("reason").alias("new_reason"))
+    fresh = results.select("publisher", "issue", F.col("value").alias("new_value"), F.col("reason").alias("new_reason"))
     joined = grid.join(old, ["publisher", "issue"], "left").join(fresh, ["publisher", "issue"], "left")
-    current = F.col("issue") == issue
     value = F.when(current, F.col("new_value")).otherwise(F.col("old_value"))
     now = F.when(current, F.coalesce("new_reason", F.lit(fixed.DEFAULT_REASON)))
     reason = F.when(value.isNull(), F.coalesce(now, F.col("old_reason"), missing_reason(F.col("issue"))))
@@ -98,6 +107,33 @@ def result_faults(results: DataFrame, publishers: DataFrame) -> DataFrame:
     return joined.select("idx", fault.alias("fault")).where("fault IS NOT NULL").unionByName(repeated)
 
 
+def batch_faults(batch: DataFrame, publishers: DataFrame, newest: int | None) -> DataFrame:
+    """R4, A5 for results (publisher, issue, value, reason) as they arrive: publisher, issue, fault for results
+    that occur twice, of publishers that aren't configured, with a value of the wrong form or with both a
+    value and a reason; a row without publisher for each issue newer than `newest` in which nothing succeeded."""
+    paired = publishers.select("publisher", F.coalesce("paired", F.lit(False)).alias("paired")) if "paired" in publishers.columns else publishers.select("publisher", F.lit(False).alias("paired"))
+    judged = batch.join(paired, "publisher", "left").withColumn(
+        "fault",
+        F.when(F.col("paired").isNull(), "unknown")
+        .when(F.col("value").isNotNull() & F.col("reason").isNotNull(), "value and reason")
+        .when(F.col("value").isNotNull() & ~T.valid_value(F.col("value"), F.col("paired")), "value"),
+    )
+    repeated = batch.groupBy("publisher", "issue").count().where("count > 1").select("publisher", "issue", F.lit("repeated").alias("fault"))
+    totals = batch.groupBy("issue").agg(F.count("value").alias("successes"))
+    new = totals if newest is None else totals.where(F.col("issue") > newest)
+    failed = new.where("successes = 0").select(F.lit(None).cast(batch.schema["publisher"].dataType).alias("publisher"), "issue", F.lit("nothing succeeded").alias("fault"))
+    return judged.where("fault IS NOT NULL").select("publisher", "issue", "fault").unionByName(repeated).unionByName(failed)
+
+
+def state_faults(state: DataFrame, publishers: DataFrame, issue: int, window: int = fixed.WINDOW) -> DataFrame:
+    """R2, R3, R5 for a state that is about to be written: publisher, issue (null), fault."""
+    vectors = as_vectors(state)
+    plain = publishers if "paired" in publishers.columns else publishers.withColumn("paired", F.lit(False))
+    found = value_faults(vectors, plain).unionByName(failure_faults(vectors, issue, window))
+    twice = publishers.where("NOT archived").groupBy("publisher").count().where("count > 1").select("publisher", F.lit("identity twice").alias("fault"))
+    return found.unionByName(twice).select("publisher", F.lit(None).cast("int").alias("issue"), "fault")
+
+
 def identity_faults(items: DataFrame) -> DataFrame:
     """Identities (name, url, pick) that occur more than once."""
     ident = [F.trim("name").alias("name"), F.trim("url").alias("url"), T.canonical_pick("pick").alias("pick")]
@@ -126,11 +162,13 @@ def header(state: DataFrame) -> DataFrame:
 
 def fingerprint(publishers: DataFrame) -> DataFrame:
     """One row, a SHA-256 that depends on order, identity and rule of all active publishers. Each
-    publisher is digested first, so what is gathered is a digest for each, in order."""
+    publisher is digested first, then each block of FINGERPRINT_BLOCK places, then the blocks in order."""
+    order = lambda place: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(place, "print"))), lambda x: x["print"]), ",")
     own = publishers.where("NOT archived").select(
-        "idx", F.sha2(F.to_json(F.struct("name", "url", T.canonical_pick("pick").alias("pick"), "rule")), 256).alias("print")
+        "idx", F.floor(F.col("idx") / FINGERPRINT_BLOCK).alias("block"), F.sha2(F.to_json(F.struct("name", "url", T.canonical_pick("pick").alias("pick"), "rule")), 256).alias("print")
     )
-    return own.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "print"))), lambda x: x["print"]), ","), 256).alias("fingerprint"))
+    blocks = own.groupBy("block").agg(F.sha2(order("idx"), 256).alias("print"))
+    return blocks.agg(F.sha2(order("block"), 256).alias("fingerprint"))
 
 
 def merge_successes(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -72,15 +72,22 @@ def candidate_runs(candidates: DataFrame, existing: DataFrame) -> DataFrame:
     Equal in all of ten issues: one `identical` row. Else every run of 6 and more is
     `duplicate`; only where there is none every run of 3 to 5 is `suspicion`. Publishers are
     compared within their class (single or pair values, J9); a gap in the candidate breaks a run.
+    Cells lie in a window of ten issues, so each kind takes a run of 3 or more: pairs come from
+    an equi-join on issue, class and the values of three consecutive issues.
     """
-    left = candidates.select(F.col("publisher").alias("candidate"), "issue", "value", "paired")
-    wanted = left.groupBy("candidate").agg(F.count("*").alias("cells"))
-    cells = left.join(existing.select("publisher", "issue", "value", "paired"), ["issue", "value", "paired"]).where("candidate != publisher")
+    n = fixed.SUSPECT_RUN
+
+    def cells(side: DataFrame, name: str) -> DataFrame:
+        tagged = F.concat_ws(":", F.col("paired").cast("string"), "value").alias("value")
+        return grams(side.select("publisher", "issue", tagged), n).withColumnRenamed("publisher", name)
+
+    wanted = candidates.groupBy(F.col("publisher").alias("candidate")).agg(F.count("*").alias("cells"))
+    hits = cells(candidates, "candidate").join(cells(existing, "publisher"), ["issue", "gram"]).where("candidate != publisher")
     down = Window.partitionBy("candidate", "publisher").orderBy(F.desc("issue"))
     runs = (
-        cells.withColumn("island", F.col("issue") + F.row_number().over(down))
+        hits.withColumn("island", F.col("issue") + F.row_number().over(down))
         .groupBy("candidate", "publisher", "island")
-        .agg(F.max("issue").alias("start"), F.min("issue").alias("end"), F.count("*").alias("length"))
+        .agg(F.max("issue").alias("start"), (F.min("issue") - (n - 1)).alias("end"), (F.count("*") + (n - 1)).alias("length"))
     )
     pair = Window.partitionBy("candidate", "publisher")
     judged = (

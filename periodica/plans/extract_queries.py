@@ -102,6 +102,30 @@ def x4(spark, sf_dir):
     return shown(extract.extract(rendered(spark, sf_dir, row), "user_feed"))
 
 
+@query("x4_repeated_rows", f"WITH {SERIES} SELECT {SHOWN}, CASE WHEN issue % 2 = 0 THEN 0 ELSE 1 END AS far FROM series WHERE issue % 3 <> 0")
+def x4_repeated(spark, sf_dir):
+    """Each row stands twice, once with the publisher's name behind it and once, before (odd issues) or after that, far from it."""
+    odd = F.col("issue") % 2 == 1
+    row = F.concat(I(), F.lit("期:杀一尾【"), V(), F.lit("】开鼠"), F.lpad(I(), 2, "0"), F.lit("准 "))
+    alone, near = F.concat(row, F.repeat(F.lit("别"), 300)), F.concat(row, F.when(F.col("issue") % 3 != 0, name()).otherwise("某处"), F.lit(" "), F.repeat(F.lit("远"), 300))
+    found = extract.extract(rendered(spark, sf_dir, F.when(odd, F.concat(alone, near)).otherwise(F.concat(near, alone))), "user_feed")
+    return found.select("publisher", "issue", "value", F.when(F.col("issue") % 2 == 0, 0).otherwise(1).alias("far"))
+
+
+@query("x1_half_waves", f"""WITH {SERIES}, w AS (SELECT *, issue || '期:P' || publisher || CASE WHEN publisher % 3 = 0 THEN ' 绝杀半波 ' || CASE WHEN issue % 2 = 0 THEN '蓝波双' ELSE '红单' END ELSE ' 杀一尾[' || value || ']' END
+  || ' 开:鼠05准 ' || repeat('码', CASE WHEN issue % 4 = 0 THEN 200 ELSE 20 END) AS row FROM series WHERE issue % 5 <> 0)
+SELECT publisher, issue, CASE WHEN publisher % 3 <> 0 THEN value WHEN issue % 2 = 0 THEN '蓝波双' ELSE '红单' END AS value, CASE WHEN length(row) <= 160 THEN row ELSE rtrim(left(row, 160)) || '...' END AS snippet FROM w""")
+def x1_waves(spark, sf_dir):
+    """Rows with an excluded word are left out (T4), half-waves are values (T20), snippets are cut."""
+    wave = F.concat(F.lit(" 绝杀半波 "), F.when(F.col("issue") % 2 == 0, "蓝波双").otherwise("红单"))
+    row = F.concat(
+        I(), F.lit("期："), name(), F.when(F.col("publisher") % 3 == 0, wave).otherwise(F.concat(F.lit(" 杀一尾["), V(), F.lit("]"))), F.lit(" 开:鼠05准 "),
+        F.when(F.col("issue") % 5 == 0, "平特一尾").otherwise(""), F.when(F.col("issue") % 4 == 0, F.repeat(F.lit("码"), 200)).otherwise(F.repeat(F.lit("码"), 20)),
+    )
+    return extract.extract(rendered(spark, sf_dir, row), "compact").select("publisher", "issue", "value", "snippet")
+
+
+
 def table_row():
     return F.concat(F.lit("<tr><td>"), I(), F.lit("期</td><td>"), name(), F.lit("</td><td>"), F.when(F.col("issue") % 6 == 0, F.concat(V(), F.lit("、3尾"))).otherwise(F.concat(V(), F.lit("尾"))), F.lit("</td><td>开:鼠"), F.lpad(I(), 2, "0"), F.lit("</td></tr>"))
 
@@ -237,13 +261,13 @@ def feed_json(spark, sf_dir) -> DataFrame:
         F.when(F.col("seq") % 8 == 0, "其他").otherwise("绝杀一尾").alias("topic"), F.when(F.col("seq") % 2 == 0, F.col("issue").cast("string")).alias("draw"), F.concat(I(), F.lit("期")).alias("title"),
         F.concat(F.lit("body "), F.col("seq").cast("string")).alias("content"),
     )
-    own = O.observations(spark, sf_dir).where("kind != 'view'")
+    own = O.observations(spark, sf_dir)
     items = F.transform(F.array_sort(F.collect_list(F.struct("seq", item.alias("item")))), lambda x: x["item"])
     texts = own.groupBy("publisher").agg(F.to_json(items).alias("text"))
     return texts.select("publisher", P().alias("feed"), P().alias("owner"), F.concat(F.lit("P"), P()).alias("name"), F.lit("绝杀一尾").alias("keyword"), "text")
 
 
-FEED = f"""WITH {O.OBS}, items AS (SELECT * FROM obs WHERE kind <> 'view' AND seq % 9 <> 0 AND seq % 8 <> 0)"""
+FEED = f"""WITH {O.OBS}, items AS (SELECT * FROM obs WHERE seq % 9 <> 0 AND seq % 8 <> 0)"""
 
 
 @query("x18_feed_items", FEED + " SELECT CAST(publisher AS VARCHAR) AS feed, CAST(seq AS VARCHAR) AS item_id, issue FROM items")
@@ -264,9 +288,9 @@ def x18_edge(spark, sf_dir):
 
 
 @query("x19_reference_details", f"""WITH {O.OBS} SELECT CAST(publisher AS VARCHAR) AS feed, CAST(seq AS VARCHAR) AS item_id, CASE WHEN seq % 9 = 0 THEN 'other author' WHEN seq % 7 = 0 THEN 'no body' ELSE 'ok' END AS status,
-CASE WHEN seq % 9 <> 0 AND seq % 7 <> 0 THEN 'P' || publisher || chr(10) || 'T' || chr(10) || '绝杀一尾' || chr(10) || 'body ' || seq END AS document FROM obs WHERE kind = 'click' AND seq % 5 <> 0""")
+CASE WHEN seq % 9 <> 0 AND seq % 7 <> 0 THEN 'P' || publisher || chr(10) || 'T' || chr(10) || '绝杀一尾' || chr(10) || 'body ' || seq END AS document FROM obs WHERE seq % 5 <> 0""")
 def x19(spark, sf_dir):
-    own = O.observations(spark, sf_dir).where("kind = 'click'")
+    own = O.observations(spark, sf_dir)
     item = F.struct(F.col("seq").cast("string").alias("id"), P().alias("user_id"), F.when(F.col("seq") % 5 == 0, "其他").otherwise(" 绝杀一尾").alias("sub_topic"), I().alias("draw"))
     histories = own.groupBy("publisher").agg(F.to_json(F.collect_list(item)).alias("text")).select(P().alias("feed"), P().alias("owner"), F.lit("绝杀一尾").alias("sub_topic"), "text")
     wanted = feeds.history_items(histories).select("feed", "item_id").join(histories.select("feed", "owner", "sub_topic", F.concat(F.lit("P"), F.col("feed")).alias("name")), "feed")
@@ -277,10 +301,11 @@ def x19(spark, sf_dir):
     return feeds.details(wanted, own.select(F.col("seq").cast("string").alias("item_id"), F.to_json(detail).alias("text")))
 
 
-@query("x20_mirrors", f"""WITH {O.OBS}, m AS (SELECT publisher, seq, 'b' || seq AS body FROM obs WHERE issue = 9 UNION ALL SELECT publisher, seq, 'b' || seq || CASE WHEN seq % 10 = 0 THEN '!' ELSE '' END FROM obs WHERE issue = 9)
-SELECT publisher, count(DISTINCT seq) AS ids, CASE WHEN bool_or(seq % 10 = 0) THEN 'bodies differ' WHEN count(DISTINCT seq) > 1 AND publisher % 4 <> 0 THEN 'several ids' ELSE 'ok' END AS status FROM m GROUP BY publisher""")
+@query("x20_mirrors", f"""WITH {O.OBS}, m AS (SELECT publisher || '/' || issue AS feed, publisher, seq, 'b' || seq AS body FROM obs UNION ALL SELECT publisher || '/' || issue, publisher, seq, 'b' || seq || CASE WHEN seq % 10 = 0 THEN '!' ELSE '' END FROM obs)
+SELECT feed AS publisher, count(DISTINCT seq) AS ids, CASE WHEN bool_or(seq % 10 = 0) THEN 'bodies differ' WHEN count(DISTINCT seq) > 1 AND NOT bool_or(publisher % 4 = 0) THEN 'several ids' ELSE 'ok' END AS status FROM m GROUP BY feed""")
 def x20(spark, sf_dir):
-    own = O.observations(spark, sf_dir).where("issue = 9").select("publisher", F.col("seq").alias("item_id"), F.concat(F.lit("b"), F.col("seq").cast("string")).alias("document"), (F.col("publisher") % 4 == 0).alias("several"))
+    feed = F.concat_ws("/", P(), I()).alias("publisher")
+    own = O.observations(spark, sf_dir).select(feed, F.col("seq").alias("item_id"), F.concat(F.lit("b"), F.col("seq").cast("string")).alias("document"), (F.col("publisher") % 4 == 0).alias("several"))
     other = own.withColumn("document", F.when(F.col("item_id") % 10 == 0, F.concat("document", F.lit("!"))).otherwise(F.col("document")))
     return feeds.mirrors(own.unionByName(other))
 
@@ -325,11 +350,11 @@ def x23(spark, sf_dir):
 # text functions
 
 
-@query("t30_t31_base64", """SELECT doc_id, text || '|' || upper(lang) || '|' || text || chr(10) || upper(lang) AS documents FROM documents WHERE text <> ''""")
+@query("t30_t31_base64", """SELECT doc_id, CASE WHEN trim(text) = '' THEN upper(lang) || '|' || upper(lang) ELSE text || '|' || upper(lang) || '|' || text || chr(10) || upper(lang) END AS documents FROM documents""")
 def t30(spark, sf_dir):
     wrap = lambda f, c: F.concat(F.lit(f + "('"), F.base64(c.cast("binary")), F.lit("')"))
     page = F.concat(F.lit("<script>x="), wrap("strdecode", F.col("text")), F.lit(";"), wrap("decodeB64", F.upper("lang")), F.lit(";decodeB64('###')</script>"))
-    docs = O.table(spark, sf_dir, "documents").where("text != ''").select("doc_id", page.alias("page"))
+    docs = O.table(spark, sf_dir, "documents").select("doc_id", page.alias("page"))
     return docs.select("doc_id", F.array_join(T.sub_documents(T.base64_blocks(F.col("page"))), "|").alias("documents"))
 
 
@@ -447,3 +472,14 @@ def x16(spark, sf_dir):
     docs = rendered(spark, sf_dir, row, F.concat(F.lit('<div class="topic"><h2 class="by">'), author, F.lit('</h2><div class="body">')), F.lit("</div></div>"), "")
     mine = extract.authored(extract.body_rows(docs, r"div\.topic"), r"h2\.by")
     return shown(extract.shaped_rows(mine, r"^(\d+)期 \[(\d)\.(\d)\]$"))
+
+
+@query("t32_written_html", r"""SELECT doc_id, 'it''s "' || replace(replace(replace(translate(coalesce(text, ''), '''"', ''), '\r', chr(13)), '\n', chr(10)), '\t', chr(9))
+  || chr(10) || chr(9) || '\' || chr(10) || upper(lang) AS html FROM documents""")
+def t32(spark, sf_dir):
+    """Scripts write each text (without its quotes) with its backslashes, line feeds and tabs escaped."""
+    plain = F.translate(F.coalesce("text", F.lit("")), "'\"", "")
+    for character, mark in (("\\", r"\\"), ("\n", r"\n"), ("\t", r"\t"), ("\r", r"\r")):
+        plain = F.replace(plain, F.lit(character), F.lit(mark))
+    page = F.concat(F.lit(r"""<script>document.writeln( 'it\'s \""""), plain, F.lit(r"""\n\t\\' ) ;x=1;document.writeln(" """.rstrip()), F.upper("lang"), F.lit('");</script>'))
+    return O.table(spark, sf_dir, "documents").select("doc_id", T.written_html(page).alias("html"))

@@ -24,6 +24,23 @@ def v2(spark, sf_dir):
     return reconcile.scoped(O.candidates(spark, sf_dir), O.publishers(spark, sf_dir)).select("seq", "document_order")
 
 
+@query("v1_candidates", f"""WITH {O.OBS}, r AS (SELECT publisher, seq, publisher || '/' || kind AS document, CASE WHEN seq % 4 = 0 THEN 'dedicated' ELSE 'compact' END AS parser, seq % 11 <> 0 AS allowed FROM obs),
+k AS (SELECT * FROM r WHERE allowed AND (publisher % 3 = 0) = (parser = 'dedicated'))
+SELECT seq, row_number() OVER (PARTITION BY publisher, document, parser ORDER BY seq) - 1 AS position, CASE WHEN seq % 5 <> 0 THEN seq % 5 ELSE seq END AS document_order,
+CASE WHEN seq % 6 = 0 THEN '杀尾' WHEN seq % 2 = 0 THEN '绝杀' END AS keyword FROM k""")
+def v1(spark, sf_dir):
+    s, p = F.col("seq"), F.col("publisher")
+    url = lambda tail: F.concat(F.lit("https://p"), p.cast("string"), F.lit(tail))
+    records = O.observations(spark, sf_dir).select(
+        "publisher", "seq", F.concat_ws("/", p.cast("string"), "kind").alias("document"), F.when(s % 4 == 0, "dedicated").otherwise("compact").alias("parser"),
+        F.when(s % 11 == 0, url(".example/other")).otherwise(url(".example/list")).alias("source_url"), (s % 5).alias("document_order"), s.alias("input_order"),
+        F.when(s % 6 == 0, "绝杀 and 杀尾").when(s % 2 == 0, "only 绝杀").otherwise("none").alias("snippet"),
+    )
+    rules = O.publishers(spark, sf_dir).select("publisher", F.array("url").alias("sources"), (p % 3 == 0).alias("dedicated"), F.array(F.lit("杀尾"), F.lit("绝杀")).alias("words"))
+    found = reconcile.built(records, rules)
+    return found.select("seq", F.col("position").cast("long").alias("position"), "document_order", "keyword")
+
+
 @query("v3_presentations", f"""{BASE}, k AS (SELECT *, (seq // 2) % 3 AS grp FROM candidates), d AS (SELECT publisher, issue, value, grp, seq, position, row_number() OVER (PARTITION BY publisher, issue, value, grp, document ORDER BY document_order, seq) AS n FROM k)
 SELECT seq FROM d WHERE n = 1""")
 def v3(spark, sf_dir):

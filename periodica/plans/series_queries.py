@@ -36,7 +36,7 @@ def a2(spark, sf_dir):
 
 
 @query("a3_failure_summary", """WITH f AS (SELECT user_id % 5 AS site, CASE event_id % 7 WHEN 0 THEN 'HTTP Error 404' WHEN 1 THEN 'read timed out' WHEN 2 THEN 'SSL: UNEXPECTED_EOF' WHEN 3 THEN 'connection reset by peer'
-  WHEN 4 THEN '没有找到期' WHEN 5 THEN '值非0-9尾' ELSE 'odd ' || event_type END AS reason FROM events WHERE event_type IN ('error', 'view'))
+  WHEN 4 THEN '没有找到期' WHEN 5 THEN '值非0-9尾' ELSE 'odd ' || event_type END AS reason FROM events)
 SELECT site, CASE WHEN contains(reason, '没有找到') THEN '没有数据' WHEN contains(reason, '非0-9尾') THEN '非0-9尾' WHEN contains(lower(reason), 'ssl') THEN 'TLS失败' WHEN contains(reason, 'connection reset') THEN '连接断开'
   WHEN contains(reason, 'timed out') THEN '超时' WHEN contains(lower(reason), 'http error') THEN 'HTTP失败' ELSE '抓取/解析失败' END AS class, count(*) AS times FROM f GROUP BY ALL""")
 def a3(spark, sf_dir):
@@ -45,7 +45,7 @@ def a3(spark, sf_dir):
     reason = F.concat(F.lit("odd "), F.col("event_type"))
     for i, t in enumerate(texts):
         reason = F.when(k == i, t).otherwise(reason)
-    rows = O.table(spark, sf_dir, "events").where("event_type IN ('error', 'view')").select((F.col("user_id") % 5).alias("site"), reason.alias("reason"))
+    rows = O.table(spark, sf_dir, "events").select((F.col("user_id") % 5).alias("site"), reason.alias("reason"))
     return ranking.failure_summary(rows, ["site"])
 
 
@@ -84,7 +84,8 @@ def a8(spark, sf_dir):
     return ranking.health_keys(own, own.where(F.lit(False)).select(F.col("url").alias("key"), "name"))
 
 
-RUNS = f"""WITH {BINARY}, eq AS (SELECT a.publisher AS a, b.publisher AS b, a.issue FROM series a JOIN series b ON a.issue = b.issue AND a.value = b.value AND a.publisher < b.publisher),
+RUNS = f"""WITH {BINARY}, p AS (SELECT publisher, string_agg(issue || ':' || value, ',' ORDER BY issue) AS cells FROM series GROUP BY publisher), rep AS (SELECT * FROM series WHERE publisher IN (SELECT min(publisher) FROM p GROUP BY cells)),
+eq AS (SELECT a.publisher AS a, b.publisher AS b, a.issue FROM rep a JOIN rep b ON a.issue = b.issue AND a.value = b.value AND a.publisher < b.publisher),
 g AS (SELECT *, issue + row_number() OVER (PARTITION BY a, b ORDER BY issue DESC) AS island FROM eq),
 r AS (SELECT a, b, max(issue) AS start, min(issue) AS "end", count(*) AS length FROM g GROUP BY a, b, island HAVING count(*) >= 3),
 best AS (SELECT a, b, length, start, "end", CASE WHEN length >= 6 THEN 'duplicate' ELSE 'suspect' END AS level FROM r QUALIFY row_number() OVER (PARTITION BY a, b ORDER BY length DESC, start DESC) = 1)"""
@@ -92,7 +93,8 @@ best AS (SELECT a, b, length, start, "end", CASE WHEN length >= 6 THEN 'duplicat
 
 @query("d1_equal_runs", RUNS + " SELECT * FROM best")
 def d1(spark, sf_dir):
-    return S.equal_runs(O.series(spark, sf_dir, 2))
+    """Pairs of class representatives; d1_equal_series_classes has the members."""
+    return S.equal_runs(O.series(spark, sf_dir, 2), expand=False)
 
 
 @query("a9_match_report", RUNS + " SELECT level, count(*) AS pairs, max(length) AS longest FROM best GROUP BY level")
@@ -100,10 +102,10 @@ def a9(spark, sf_dir):
     return ranking.match_report(d1(spark, sf_dir))
 
 
-@query("d1_equal_series_classes", f"""WITH {SERIES}, w AS (SELECT publisher, issue, CAST(CAST(value AS INTEGER) % 2 AS VARCHAR) AS value FROM series WHERE issue <= 3),
+@query("d1_equal_series_classes", f"""WITH {SERIES}, w AS (SELECT publisher, issue, CAST(CAST(value AS INTEGER) % 2 AS VARCHAR) AS value FROM series),
 p AS (SELECT publisher, string_agg(issue || ':' || value, ',' ORDER BY issue) AS cells FROM w GROUP BY publisher) SELECT publisher, min(publisher) OVER (PARTITION BY cells) AS rep FROM p""")
 def d1_classes(spark, sf_dir):
-    return S.classes_of_equal_series(O.series(spark, sf_dir, 2).where("issue <= 3"))
+    return S.classes_of_equal_series(O.series(spark, sf_dir, 2))
 
 
 D2 = f"""WITH {BINARY}, w AS (SELECT *, publisher % 7 = 0 AS paired FROM series WHERE issue BETWEEN 16 AND 25),
@@ -299,8 +301,8 @@ def r7(spark, sf_dir):
     return rolling.header(rolled(spark, sf_dir))
 
 
-@query("r8_fingerprint", f"""WITH {O.PUBLISHERS}, p AS (SELECT idx, sha256('{{"name":"' || name || '","url":"' || url || '","pick":"' || pick || '","rule":"r' || idx % 3 || '"}}') AS print FROM publishers WHERE NOT archived)
-SELECT sha256(string_agg(print, ',' ORDER BY idx)) AS fingerprint FROM p""")
+@query("r8_fingerprint", f"""WITH {O.PUBLISHERS}, p AS (SELECT idx, sha256('{{"name":"' || name || '","url":"' || url || '","pick":"' || pick || '","rule":"r' || idx % 3 || '"}}') AS print FROM publishers WHERE NOT archived),
+b AS (SELECT idx // 1000 AS block, sha256(string_agg(print, ',' ORDER BY idx)) AS print FROM p GROUP BY block) SELECT sha256(string_agg(print, ',' ORDER BY block)) AS fingerprint FROM b""")
 def r8(spark, sf_dir):
     return rolling.fingerprint(O.publishers(spark, sf_dir).withColumn("rule", F.concat(F.lit("r"), (F.col("idx") % 3).cast("string"))))
 

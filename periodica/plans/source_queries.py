@@ -15,8 +15,12 @@ from .registry import query
 
 
 def scratch(spark) -> str:
-    """A folder that executors share: below spark.checkpoint.dir, or a temporary one where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="periodica-")
+    """A folder that executors share: below spark.checkpoint.dir, or a temporary one where that is unset on one machine."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="periodica-")
     return f"{folder.rstrip('/')}/periodica/query-{uuid.uuid4().hex}"
 
 
@@ -42,13 +46,13 @@ def s5(spark, sf_dir):
     return reports.failure_blocks(texts).drop("place")
 
 
-@query("s6_failure_lines", f"WITH {O.series_sql()} SELECT 'P ' || publisher AS name, CASE WHEN max(issue) % 4 = 0 THEN '失败原因为空' ELSE 'r' || max(issue) END AS reason FROM series WHERE publisher % 3 = 0 GROUP BY publisher")
+@query("s6_failure_lines", f"WITH {O.series_sql()} SELECT 'P ' || publisher AS name, CASE WHEN max(issue) % 4 = 0 THEN '失败原因为空' ELSE 'r' || max(issue) END AS reason FROM series GROUP BY publisher")
 def s6(spark, sf_dir):
     p, i = F.col("publisher").cast("string"), F.col("issue").cast("string")
     old = F.concat(F.lit("失败 P "), p, F.lit(" https://p.example/ 原因: "), F.when(F.col("issue") % 4 == 0, "").otherwise(F.concat(F.lit("r"), i)))
     new = F.concat(F.lit("失败 P "), p, F.lit(" https://p.example/ 方向: top 期数: "), i, F.lit(" 阶段: x 原因: "), F.when(F.col("issue") % 4 == 0, "").otherwise(F.concat(F.lit("r"), i)))
     broken = F.concat(F.lit("失败 P "), p, F.lit(" https://p.example/ 方向: top 原因: late"))
-    own = O.series(spark, sf_dir).where("publisher % 3 = 0")
+    own = O.series(spark, sf_dir)
     lines = own.select(F.col("issue").alias("place"), F.when(F.col("issue") % 2 == 0, old).otherwise(new).alias("line")).unionByName(own.select((F.col("issue") + 100).alias("place"), broken.alias("line")))
     return reports.failure_reasons(lines)
 
@@ -90,27 +94,56 @@ def t1(spark, sf_dir):
     return O.table(spark, sf_dir, "events").select("event_id", T.normalize(text).alias("text"), T.canonical_pick(pick).alias("pick"))
 
 
-ROLL = f"""WITH {O.series_sql()}, {O.PUBLISHERS}, grid AS (SELECT publisher, CAST(unnest(range(19, 29)) AS INTEGER) AS issue FROM publishers WHERE NOT archived),
-late AS (SELECT publisher, issue, CAST((CAST(value AS INTEGER) + 1) % 10 AS VARCHAR) AS value FROM series WHERE issue = 24 AND publisher % 4 = 1)
-SELECT g.publisher, g.issue, coalesce(l.value, s.value) AS value FROM grid g LEFT JOIN series s USING (publisher, issue) LEFT JOIN late l ON l.publisher = g.publisher AND l.issue = g.issue"""
+ROLL = f"""WITH {O.series_sql()}, {O.PUBLISHERS}, top AS (SELECT max(issue) AS top FROM series), grid AS (SELECT publisher, CAST(unnest(range(top - 9, top + 1)) AS INTEGER) AS issue FROM publishers, top WHERE NOT archived),
+late AS (SELECT publisher, issue, CAST((CAST(value AS INTEGER) + 1) % 10 AS VARCHAR) AS value FROM series, top WHERE issue = top - 4 AND publisher % 4 = 1)"""
 
 
-@query("w1_continuous_roll", ROLL)
-def w1(spark, sf_dir):
-    """The series arrive as a stream of files (up to issue 26, then later ones with corrections of 24 and of 3, which is refused)."""
+def streamed(spark, sf_dir, batches):
+    """The store after a stream in which each of `batches` (functions of the series and its last issue) arrived as files."""
     root = scratch(spark)
-    own = O.series(spark, sf_dir).withColumn("reason", F.lit(None).cast("string")).where("issue <= 28")
-    late = own.where("issue IN (24, 3) AND publisher % 4 = 1").withColumn("value", ((F.col("value").cast("int") + 1) % 10).cast("string"))
-    held = O.publishers(spark, sf_dir)
+    own = O.series(spark, sf_dir).withColumn("reason", F.lit(None).cast("string"))
+    top = own.agg(F.max("issue")).first()[0] or 0
     store = roll.StateStore(spark, f"{root}/state")
-    own.where("issue BETWEEN 17 AND 26").write.mode("append").parquet(f"{root}/in")
-    source = lambda: spark.readStream.schema(own.schema).option("maxFilesPerTrigger", 1000).parquet(f"{root}/in")
-    roll.roll_stream(source(), held, store, f"{root}/checkpoint").awaitTermination()
-    own.where("issue > 26").unionByName(late).write.mode("append").parquet(f"{root}/in")
-    roll.roll_stream(source(), held, store, f"{root}/checkpoint").awaitTermination()
+    held = O.publishers(spark, sf_dir).withColumn("paired", F.lit(False))
+    for batch in batches:
+        batch(own, top).coalesce(8).write.mode("append").parquet(f"{root}/in")
+        source = spark.readStream.schema(own.schema).option("maxFilesPerTrigger", 1000).parquet(f"{root}/in")
+        roll.roll_stream(source, held, store, f"{root}/checkpoint").awaitTermination()
+    return store
+
+
+def corrections(own, top):
+    late = own.where(F.col("issue").isin(top - 4, 3) & (F.col("publisher") % 4 == 1))
+    return late.withColumn("value", ((F.col("value").cast("int") + 1) % 10).cast("string"))
+
+
+@query("w1_continuous_roll", ROLL + """ SELECT g.publisher, g.issue, coalesce(l.value, s.value) AS value FROM grid g LEFT JOIN series s USING (publisher, issue) LEFT JOIN late l ON l.publisher = g.publisher AND l.issue = g.issue""")
+def w1(spark, sf_dir):
+    """All but the last two issues arrive, then those with corrections of an issue of the window and of an older one, which is refused."""
+    first = lambda own, top: own.where(F.col("issue") <= top - 2)
+    store = streamed(spark, sf_dir, [first, lambda own, top: own.where(F.col("issue") > top - 2).unionByName(corrections(own, top))])
     return store.read(1).select("publisher", "issue", "value")
 
 
+@query("w1_gated_roll", ROLL + """, old AS (SELECT publisher, CAST(unnest(range(top - 11, top - 1)) AS INTEGER) AS issue FROM publishers, top WHERE NOT archived)
+SELECT 'state' AS what, o.publisher, o.issue, s.value AS said FROM old o LEFT JOIN series s USING (publisher, issue)
+UNION ALL SELECT 'faults 1', publisher, issue, 'value' FROM series, top WHERE issue = top - 1 AND publisher % 10 = 1
+UNION ALL SELECT 'faults 1', publisher, NULL, 'values' FROM series, top WHERE issue = top - 1 AND publisher % 10 = 1 AND publisher % 23 <> 0
+UNION ALL SELECT 'faults 2', NULL, top - 1, 'nothing succeeded' FROM top""")
+def w1_gated(spark, sf_dir):
+    """A good batch, one with values of the wrong form and one in which all failed: the state stays that of the first."""
+    bad = F.when(F.col("publisher") % 10 == 1, "77x").otherwise(F.col("value"))
+    store = streamed(spark, sf_dir, [
+        lambda own, top: own.where(F.col("issue") <= top - 2),
+        lambda own, top: own.where(F.col("issue") == top - 1).withColumn("value", bad),
+        lambda own, top: own.where(F.col("issue") == top - 1).select("publisher", "issue", F.lit(None).cast("string").alias("value"), F.lit("HTTP Error 500").alias("reason")),
+    ])
+    rows = store.read(2).select(F.lit("state").alias("what"), "publisher", "issue", F.col("value").alias("said"))
+    for version in (1, 2):
+        rows = rows.unionByName(store.faults(version).select(F.lit(f"faults {version}").alias("what"), "publisher", "issue", F.col("fault").alias("said")))
+    return rows
+
+
 @query("w2_late_results", """WITH o AS (SELECT event_id, user_id AS publisher, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) + 1 AS INTEGER) AS arrived, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) + 1 - event_id % 15 AS INTEGER) AS issue FROM events),
 d AS (SELECT arrived, max(max(issue)) OVER (ORDER BY arrived ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM o GROUP BY arrived)
 SELECT event_id, CASE WHEN issue <= before - 10 THEN 'refused' ELSE 'accepted' END AS status FROM o JOIN d USING (arrived)""")
@@ -119,31 +152,40 @@ def w2(spark, sf_dir):
     return roll.horizon(own).select("event_id", "status")
 
 
-def written(spark, text):
-    """A one-row frame of `value` written as a text file; its path."""
+def written(spark, lines):
+    """The column `value` written as lines of text; the path."""
     path = scratch(spark)
-    text.select("value").coalesce(1).write.text(path)
+    lines.select("value").write.text(path)
     return path
 
 
-@query("s1_publishers", f"""WITH {O.PUBLISHERS}, p AS (SELECT *, publisher % 10 = 3 AS bad_pick, publisher % 10 = 4 AS bad_url, publisher % 10 = 5 AS twice FROM publishers)
-SELECT publisher AS place, CASE WHEN bad_pick THEN 'unknown pick' WHEN bad_url THEN 'no http URL with a host' WHEN twice AND NOT archived AND (SELECT count(*) FROM p WHERE twice AND NOT archived) > 1 THEN 'name twice' ELSE pick END AS said FROM p WHERE NOT archived OR bad_pick OR bad_url""")
+@query("s1_publishers", f"""WITH {O.PUBLISHERS}, p AS (SELECT *, publisher % 10 = 3 AS bad_pick, publisher % 10 = 4 AS bad_url, publisher % 10 = 5 AS twice FROM publishers),
+n AS (SELECT publisher, row_number() OVER (ORDER BY publisher) AS idx FROM p WHERE NOT archived AND NOT bad_pick AND NOT bad_url AND NOT (twice AND (SELECT count(*) FROM p WHERE twice AND NOT archived) > 1))
+SELECT publisher AS place, CASE WHEN bad_pick THEN 'unknown pick' WHEN bad_url THEN 'no http URL with a host' WHEN twice AND NOT archived AND (SELECT count(*) FROM p WHERE twice AND NOT archived) > 1 THEN 'name twice' ELSE pick || ' ' || n.idx END AS said
+FROM p LEFT JOIN n USING (publisher) WHERE NOT archived OR bad_pick OR bad_url""")
 def s1(spark, sf_dir):
-    from ..sources.publishers import load_publishers
+    from ..sources.publishers import load_publisher_lines
 
     p = F.col("publisher")
     item = F.struct(
-        F.when(p % 10 == 5, " same").otherwise(F.col("name")).alias("name"), F.when(p % 10 == 4, "ftp://x").otherwise(F.col("url")).alias("url"),
+        p.alias("place"), F.when(p % 10 == 5, " same").otherwise(F.col("name")).alias("name"), F.when(p % 10 == 4, "ftp://x").otherwise(F.col("url")).alias("url"),
         F.when(p % 10 == 3, "side").when(p % 2 == 0, "尾部").otherwise(" Top").alias("pick"), F.col("archived").alias("archived"),
     )
-    items = F.transform(F.array_sort(F.collect_list(F.struct("publisher", item.alias("i")))), lambda x: x["i"])
-    path = written(spark, O.publishers(spark, sf_dir).agg(F.to_json(items).alias("value")))
-    valid, bad = load_publishers(spark, path)
     ids = O.publishers(spark, sf_dir)
-    good = valid.join(ids.select("publisher", "url"), "url").select(F.col("publisher").alias("place"), F.col("pick").alias("said"))
+    valid, bad = load_publisher_lines(spark, written(spark, ids.select(F.to_json(item).alias("value"))))
+    good = valid.join(ids.select("publisher", "url"), "url").select(F.col("publisher").alias("place"), F.concat_ws(" ", "pick", "idx").alias("said"))
     return good.unionByName(bad.select(F.col("place").cast("long").alias("place"), F.col("violation").alias("said")))
 
 
+def state_lines(spark, v, header):
+    """A state of vectors `v` (with idx, name, url, pick, archived), written as lines."""
+    item = F.struct(
+        F.col("idx").alias("place"), "name", "url", "pick", "archived", F.col("issues").alias("periods"), "values", "extended",
+        F.col("failed").alias("failed_periods"), F.col("reasons").alias("failure_reasons"),
+    )
+    return written(spark, header.select(F.to_json(F.struct("*")).alias("value")).unionByName(v.select(F.to_json(item).alias("value"))))
+
+
 @query("s2_s3_state_file", f"""WITH {O.series_sql()}, {O.STATE}, {O.RESULTS}, {O.PUBLISHERS}, grid AS (SELECT publisher, CAST(unnest(range({O.LAST_ISSUE - 9}, {O.LAST_ISSUE + 1})) AS INTEGER) AS issue FROM publishers WHERE NOT archived),
 v AS (SELECT publisher, issue, CASE WHEN issue = {O.LAST_ISSUE} THEN r.value ELSE s.value END AS value FROM grid LEFT JOIN state s USING (publisher, issue) LEFT JOIN results r USING (publisher))
 SELECT 'P' || publisher || '|https://p' || publisher || '.example/list|' || CASE WHEN publisher % 2 = 0 THEN 'bottom' ELSE 'top' END AS publisher, issue, value, '' AS faults FROM v""")
@@ -153,13 +195,37 @@ def s2(spark, sf_dir):
 
     pubs = O.publishers(spark, sf_dir)
     rolled = rolling.roll(O.state(spark, sf_dir), pubs, O.results(spark, sf_dir), O.LAST_ISSUE)
-    v = rolling.as_vectors(rolled).join(pubs.select("publisher", "idx", "name", "url", "pick"), "publisher")
-    item = F.struct("name", "url", "pick", F.col("issues").alias("periods"), "values", "extended", F.col("failed").alias("failed_periods"), F.col("reasons").alias("failure_reasons"))
+    v = rolling.as_vectors(rolled).join(pubs.select("publisher", "idx", "name", "url", "pick", "archived"), "publisher")
     holed = F.size("failed") > 0
-    sites = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", F.to_json(item).alias("i")))), lambda x: x["i"]), ",")
-    head = F.format_string('{"schema":2,"period":%d,"window":10,"site_count":%d,"vector_count":%d,"fail_count":%d,"sites":[', F.lit(O.LAST_ISSUE), F.count("*"), F.count_if(~holed), F.count_if(holed))
-    state = v.agg(F.concat(head, sites, F.lit("]}")).alias("value"))
-    header, items = S.state_items(spark, written(spark, state))
+    head = v.agg(
+        F.lit(2).alias("schema"), F.lit(O.LAST_ISSUE).alias("period"), F.lit(10).alias("window"), F.count("*").alias("site_count"), F.count_if(~holed).alias("vector_count"), F.count_if(holed).alias("fail_count")
+    )
+    header, items = S.state_lines(spark, state_lines(spark, v, head))
     plain = pubs.select("url", F.lit(False).alias("paired"))
     faults = S.state_faults(header, items, O.LAST_ISSUE, plain, complete=False).agg(F.array_join(F.array_sort(F.collect_set("fault")), ",").alias("faults"))
-    return S.long_state(items).select("publisher", "issue", "value").join(F.broadcast(faults))  # one row
+    return S.long_state(items).select("publisher", "issue", "value", F.lit(faults.first()["faults"]).alias("faults"))
+
+
+@query("s2_strict_faults", f"""WITH {O.series_sql()}, {O.PUBLISHERS}, w AS (SELECT publisher, count(*) AS n FROM series WHERE issue BETWEEN {O.LAST_ISSUE - 9} AND {O.LAST_ISSUE} GROUP BY publisher),
+v AS (SELECT publisher, idx, n FROM publishers JOIN w USING (publisher) WHERE NOT archived)
+SELECT 'item ' || idx AS fault FROM v WHERE n < 10 OR publisher % 10 IN (1, 2) UNION ALL SELECT 'fingerprint' UNION ALL SELECT 'fail count' FROM (SELECT count(*) FILTER (n < 10) AS f FROM v) WHERE f > 0""")
+def s2_strict(spark, sf_dir):
+    """The strict reading of a state in which some values have the wrong form, some issues the wrong order, and whose fingerprint is an old one."""
+    from ..operators import rolling
+    from ..sources import state as S
+
+    pubs, p = O.publishers(spark, sf_dir), F.col("publisher")
+    none = O.series(spark, sf_dir).where(F.lit(False)).select("publisher", "issue", "value", F.lit("").alias("reason"))
+    runs = list(range(O.LAST_ISSUE - 9, O.LAST_ISSUE + 1))
+    own = O.series(spark, sf_dir).where(F.col("issue").isin(*runs)).withColumn("reason", F.lit(None).cast("string"))
+    kept = pubs.join(own.select("publisher").distinct(), "publisher", "left_semi")
+    v = rolling.as_vectors(rolling.roll_runs(none, kept, own, runs)).join(pubs.select("publisher", "idx", "name", "url", "pick", "archived"), "publisher")
+    v = v.withColumn("values", F.when(p % 10 == 1, F.transform("values", lambda x: F.concat(x, F.lit("尾")))).otherwise(F.col("values")))
+    v = v.withColumn("issues", F.when(p % 10 == 2, F.reverse("issues")).otherwise(F.col("issues")))
+    holed = F.size("failed") > 0
+    head = v.agg(
+        F.lit(2).alias("schema"), F.lit(O.LAST_ISSUE).alias("period"), F.lit(10).alias("window"), F.lit("old").alias("config_fingerprint"),
+        F.count("*").alias("site_count"), F.count_if(~holed).alias("vector_count"), F.count_if(holed).alias("fail_count"),
+    )
+    header, items = S.state_lines(spark, state_lines(spark, v, head))
+    return S.state_faults(header, items, O.LAST_ISSUE, pubs.select("url", F.lit(False).alias("paired")), fingerprint="new", complete=True)

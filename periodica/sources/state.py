@@ -23,6 +23,19 @@ def state_items(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return raw.drop("sites"), items
 
 
+def state_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The same of a state that is written as lines of JSON: one with the header's fields and one for each item,
+    with its place. So no row holds the whole state."""
+    fields = SCHEMA.split(", sites array<struct<")
+    item = f"place int, {fields[1].removesuffix('>>')}".replace("place int, ", "place int,")
+    both = f"{fields[0]}, item struct<{item.replace('place int,', 'place:int,')}>"
+    texts = spark.read.text(path).where("trim(value) != ''")
+    is_header = F.get_json_object("value", "$.schema").isNotNull() | F.get_json_object("value", "$.window").isNotNull()
+    header = texts.where(is_header).select(F.from_json("value", both).alias("s")).select("s.*").drop("item")
+    items = texts.where(~is_header).select(F.from_json(F.concat(F.lit('{"item":'), "value", F.lit("}")), both).alias("s")).select("s.item.*")
+    return header, items.withColumn("archived", F.coalesce("archived", F.lit(False)))
+
+
 def state_faults(header: DataFrame, items: DataFrame, issue: int, paired: DataFrame, fingerprint: str | None = None, complete: bool = True, window: int = fixed.WINDOW) -> DataFrame:
     """fault: what is wrong with a state; empty for a good one. complete=True is the strict reading (every
     active item has the whole window), False allows holes that their reasons explain. paired: url, paired."""
@@ -41,8 +54,8 @@ def state_faults(header: DataFrame, items: DataFrame, issue: int, paired: DataFr
     good = F.coalesce(values_good & (whole if complete else explained), F.lit(False))
     bad_items = active.where(~good).select(F.format_string("item %d", "place").alias("fault"))
     repeated = items.groupBy(F.trim("name"), F.trim("url"), T.canonical_pick("pick")).count().where("count > 1").select(F.lit("identity twice").alias("fault"))
-    counts = active.agg(F.count("*").alias("sites"), F.count_if(F.size(failed) == 0).alias("full"), F.count_if(F.size(failed) > 0).alias("holed"))
-    head = header.join(F.broadcast(counts)).select(  # one row each
+    counts = active.agg(F.count("*").alias("sites"), F.count_if(F.size(failed) == 0).alias("full"), F.count_if(F.size(failed) > 0).alias("holed")).first()
+    head = header.withColumns({k: F.lit(counts[k]) for k in ("sites", "full", "holed")}).select(
         F.explode(
             F.array_compact(
                 F.array(

@@ -11,42 +11,60 @@ from ..operators import rolling
 
 
 class StateStore:
-    """Versions of the state below a folder all executors see; a pointer row names the current one."""
+    """Versions of the state below a folder all executors see. A version holds the state, or, where there are
+    faults, these, and points to the version that goes on being the state."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def read(self, version: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/state-{version}")
+    def holder(self, version: int) -> int | None:
+        """The version whose state is that of `version`; None before the first good one."""
+        return self.spark.read.parquet(f"{self.root}/pointer-{version}").first()["version"] if version >= 0 else None
 
-    def write(self, state: DataFrame, version: int) -> None:
-        state.write.mode("overwrite").parquet(f"{self.root}/state-{version}")
+    def read(self, version: int) -> DataFrame | None:
+        held = self.holder(version)
+        return None if held is None else self.spark.read.parquet(f"{self.root}/state-{held}")
 
+    def faults(self, version: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/faults-{version}")
 
-def merge_batch(state: DataFrame | None, publishers: DataFrame, batch: DataFrame, window: int = fixed.WINDOW) -> tuple[DataFrame, DataFrame]:
-    """(state, refused) after a batch of results (publisher, issue, value, reason). Issues newer than
-    the state's are rolled in order of their number (there are few in a batch); those inside the window
-    are corrections (R6), older ones are refused."""
+    def write(self, state: DataFrame | None, version: int, faults: DataFrame) -> None:
+        """`state` becomes the state, if there are no faults. The pointer comes last, so that a version is there
+        as a whole or not at all."""
+        faults.write.mode("overwrite").parquet(f"{self.root}/faults-{version}")
+        good = state is not None and self.faults(version).isEmpty()
+        if good:
+            state.write.mode("overwrite").parquet(f"{self.root}/state-{version}")
+        pointer = version if good else self.holder(version - 1)
+        self.spark.createDataFrame([(pointer,)], "version int").write.mode("overwrite").parquet(f"{self.root}/pointer-{version}")
+
+
+def merge_batch(state: DataFrame | None, publishers: DataFrame, batch: DataFrame, window: int = fixed.WINDOW) -> tuple[DataFrame | None, DataFrame, DataFrame]:
+    """(state, refused, faults) after a batch of results (publisher, issue, value, reason). Issues newer
+    than the state's are rolled, those inside the window are corrections (R6), older ones are refused. Gates
+    (R2 to R5, A5) are rows of faults: with any, the state must not be taken. A batch without rows changes nothing."""
     now = None if state is None else state.agg(F.max("issue")).first()[0]
     asked = sorted(r["issue"] for r in batch.select("issue").distinct().collect())  # issues of one batch
     refused = batch.where(F.lit(False)).select("publisher", "issue", F.lit("").alias("why"))
+    faults = rolling.batch_faults(batch, publishers, now)
     if now is not None and any(i <= now for i in asked):
         state, refused = rolling.correct(state, batch.where(F.col("issue") <= now), now, window)
-    for issue in (i for i in asked if now is None or i > now):
-        own = batch.where(F.col("issue") == issue)
+    new = [i for i in asked if now is None or i > now]
+    if new:
         old = state if state is not None else batch.where(F.lit(False)).select("publisher", "issue", "value", "reason")
-        state = rolling.roll(old, publishers, own, issue, window)
-    return state, refused
+        state = rolling.roll_runs(old, publishers, batch.where(F.col("issue").isin(*new)), new, window)
+    if asked:
+        faults = faults.unionByName(rolling.state_faults(state, publishers, max(asked[-1], now or asked[-1]), window))
+    return state, refused, faults
 
 
 def roll_stream(results: DataFrame, publishers: DataFrame, store: StateStore, checkpoint: str) -> StreamingQuery:
-    """A streaming query that rolls `results` as they arrive. Version n + 1 is written from version n, so a
-    batch that is run again after a failure writes the same version."""
+    """A streaming query that rolls `results` as they arrive. Version n + 1 is written from the state of version n,
+    so a batch that is run again after a failure writes the same version; one with faults leaves the state as it is."""
 
     def each(batch: DataFrame, number: int) -> None:
-        state = store.read(number - 1) if number else None
-        merged, refused = merge_batch(state, publishers, batch.persist())
-        store.write(merged, number)
+        merged, refused, faults = merge_batch(store.read(number - 1), publishers, batch.persist())
+        store.write(merged, number, faults)
         refused.write.mode("overwrite").parquet(f"{store.root}/refused-{number}")
         batch.unpersist()
 
@@ -59,6 +77,6 @@ def horizon(results: DataFrame, window: int = fixed.WINDOW) -> DataFrame:
     window runs over all rows."""
     days = results.groupBy("arrived").agg(F.max("issue").alias("top"))
     so_far = days.withColumn("before", F.expr("max(top) over (order by arrived rows between unbounded preceding and 1 preceding)"))  # a row a day
-    joined = results.join(F.broadcast(so_far.select("arrived", "before")), "arrived")
+    joined = results.join(so_far.select("arrived", "before"), "arrived")
     late = F.coalesce(F.col("issue") <= F.col("before") - window, F.lit(False))
     return joined.withColumn("status", F.when(late, "refused").otherwise("accepted"))
