@@ -19,7 +19,8 @@ def load_publishers(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
     a single row of place -1 if the file is no array or has no active item.
     """
     texts = spark.read.text(path, wholetext=True)
-    shaped = texts.select(F.from_json(F.regexp_replace("value", "^\ufeff", ""), ITEM).alias("items"))
+    plain = F.regexp_replace("value", "^\ufeff", "")
+    shaped = texts.where(plain.rlike(r"^\s*\[")).select(F.from_json(plain, ITEM).alias("items"))
     return judged(shaped.select(F.posexplode("items").alias("place", "item")).select("place", "item.*"))
 
 
