@@ -333,9 +333,49 @@ def test_merkle_edits_and_next(spark):
         text = t[: len(t) - half] + following[:half]
         assert rows[i]["edited_sha256"] == hashlib.sha256(text.encode()).hexdigest()
         assert rows[i]["n_chars"] == len(t)
-    same = spark.createDataFrame([("a b\nc d e f g\nh", "a b\nc d X f g\nh"), ("a\nb", "a\nb")], "x string, y string")
-    changed = same.select(merkle.tree(F.col("x")).alias("x"), merkle.tree(F.col("y")).alias("y")).select(merkle.changed_paragraphs(F.col("x"), F.col("y")).alias("c"), (merkle.root(F.col("x")) == merkle.root(F.col("y"))).alias("same")).collect()
-    assert [(r["c"], r["same"]) for r in changed] == [([1], False), ([], True)]
+    same = spark.createDataFrame([("a b\nc d e f g\nh", "a b\nc d X f g\nh"), ("a\nb", "a\nb"), ("", "x")], "x string, y string")
+    found = same.select(merkle.tree(F.col("x")).alias("x"), merkle.tree(F.col("y")).alias("y")).select(merkle.compared(F.col("x"), F.col("y")).alias("c")).collect()
+    assert [r["c"]["changed_paragraphs"] for r in found] == [1, 0, 1] and found[1]["c"]["likeness"] == 1.0 and found[2]["c"]["likeness"] == 0.0
+    assert 0.5 < found[0]["c"]["likeness"] < 1
+
+
+def brute_likeness(one, two):
+    """From the fingerprints' texts, by sets."""
+    if one.split(":")[0] == two.split(":")[0]:
+        return 1.0
+    size = lambda branches: sum(x.count("=") + x.count(".") for x in branches)
+    a, b = (set(f.split(":")[1].split(";")) for f in (one, two))
+    same = size(a & b)
+    a, b = ({p for x in s for p in x.split("(")[1].rstrip(")").split(",")} for s in (a - b, b - a))
+    same += size(a & b)
+    a, b = ({x for p in s for x in p.split("=")[1].split(".") if x} for s in (a - b, b - a))
+    whole = 2 * same + len(a) + len(b)
+    return 2 * (same + len(a & b)) / whole if whole else 0.0
+
+
+@pytest.mark.parametrize("bytes_", [300, 16 << 20])
+def test_merkle_equals_brute_force_in_ranges_of_any_size(spark, monkeypatch, bytes_):
+    """All columns; null and repeated ids, equal and short texts, many ranges or few."""
+    monkeypatch.setattr(merkle, "RANGE_BYTES", bytes_)
+    rnd = random.Random(21)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 9)))
+    base = ["\n".join(" ".join(word() for _ in range(rnd.randrange(0, 30))) for _ in range(rnd.randrange(1, 12))) for _ in range(40)]
+    ids = [None] * 60 + [7] * 60 + [rnd.randrange(-(10**6), 10**6) for _ in range(150)] + list(range(100, 130))
+    texts = [(i, rnd.choice([rnd.choice(base), rnd.choice(base) + " " + word(), rnd.choice(base)[:150], None])) for i in ids]
+    frame = docs_of(spark, texts, WIDE)
+    rows = merkle.fingerprints(frame).collect()
+    hashes = {r["text"] or "": r["h"] for r in frame.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()}
+    order = sorted(((-(2**63) if i is None else i), -hashes[t or ""], t or "") for i, t in texts)[::-1]
+    prints = {r["t"]: r["f"] for r in frame.select(F.coalesce("text", F.lit("")).alias("t"), merkle.tree(F.col("text")).alias("f")).distinct().collect()}
+    expected = []
+    for n, (i, _, t) in enumerate(order):
+        following = order[(n + 1) % len(order)][2]
+        half = len(t) // 2
+        expected.append((i, len(t), hashlib.sha256((t[: len(t) - half] + following[:half]).encode()).hexdigest(), prints[t], brute_likeness(prints[t], prints[following])))
+    found = [(-(2**63) if r["doc_id"] is None else r["doc_id"], r["n_chars"], r["edited_sha256"], r["fingerprint"], r["near_next"]) for r in rows]
+    assert sorted(found) == sorted(expected)
+    for r in rows:
+        assert r["near_edited"] == brute_likeness(r["fingerprint"], r["edited_fingerprint"]) and 0 <= r["near_edited"] <= 1
 
 
 def test_likeness_under_insertion_deletion_and_offset(spark):
@@ -351,7 +391,7 @@ def test_likeness_under_insertion_deletion_and_offset(spark):
         "leaf": (text.replace("\n", " "), text.replace("\n", " ").replace(words[77] + " ", "", 1)),
     }
     frame = spark.createDataFrame([(k, *v) for k, v in pairs.items()], "k string, x string, y string")
-    found = frame.select("k", merkle.likeness(merkle.pieces_of(merkle.tree(F.col("x"))), merkle.pieces_of(merkle.tree(F.col("y")))).alias("near"))
+    found = frame.select("k", merkle.tree(F.col("x")).alias("x"), merkle.tree(F.col("y")).alias("y")).select("k", merkle.compared(F.col("x"), F.col("y"))["likeness"].alias("near"))
     near = {r["k"]: r["near"] for r in found.collect()}
     assert min(near.values()) > 0.9 and max(near.values()) < 1, near
     odd = ["a  b   c ", " ", "", "x" * 99, solid[:90] + "  " + "ab" * 40]
