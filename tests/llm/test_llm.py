@@ -99,6 +99,26 @@ def test_shards_are_exact_gapless_and_mixed(spark):
     assert {r["doc_id"] for r in rows} == set(range(1003))
 
 
+def test_shards_of_repeated_rows_and_of_parts(spark, monkeypatch):
+    """Sizes and checksums too; a third of all rows are one row; blocks and shards have several parts."""
+    import zlib
+
+    monkeypatch.setattr(sharding, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(sharding, "MAX_BLOCKS", 5)
+    monkeypatch.setattr(sharding, "MIN_BLOCKS", 5)
+    texts = [(1, "same é")] * 400 + [(None, None)] * 100 + [(i, f"text {i}") for i in range(2, 900)]
+    rows = sharding.shard(docs_of(spark, texts, WIDE), 7).collect()
+    expected = sorted((str(i), len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in texts)
+    assert sorted((str(r["doc_id"]), r["size"], r["text_crc32"]) for r in rows) == expected
+    by = {}
+    for r in rows:
+        by.setdefault(r["shard"], []).append(r)
+    assert sorted(by) == list(range(7)) and max(map(len, by.values())) - min(map(len, by.values())) <= 1
+    for own in by.values():
+        assert sorted(r["slot"] for r in own) == list(range(len(own)))
+        assert 30 < sum(r["doc_id"] == 1 for r in own) < 90
+
+
 def test_mixing_meets_target_weights(spark):
     rows = [(i, f"t{i}", None, "a" if i % 10 else "b", None) for i in range(8000)] + [(9000, "t", None, None, None)]
     frame = spark.createDataFrame(rows, DOCS)
