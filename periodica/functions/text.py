@@ -1,4 +1,8 @@
-"""Text functions as Column expressions. Digits are ASCII; white space is Unicode's."""
+"""Text functions as Column expressions. Digits are ASCII; white space is Unicode's.
+
+T8 to T11, T20, T21 and the text of T33 take what `normalize` gives, or a part of it: a page
+is normalised once, not by each of them.
+"""
 
 from __future__ import annotations
 
@@ -77,35 +81,31 @@ def issue_chunks(text: Column) -> Column:
 
 def bounded_window(chunk: Column, span: Column | int) -> Column:
     """At most max(80, span) characters, never cut inside a number or an open bracket."""
-    full = normalize(chunk)
     limit = F.greatest(F.lit(80), F.lit(span) if isinstance(span, int) else span)
-    text = F.substring(full, F.lit(1), limit)
+    text = F.substring(chunk, F.lit(1), limit)
     count = lambda c: F.length(text) - F.length(F.replace(text, F.lit(c), F.lit("")))
     open_bracket = (count("[") > count("]")) | (count("(") > count(")"))
     back = F.regexp_replace(text, r" [^ ]*$", "")
     cut = F.when(F.length(back) < F.length(text), F.when(F.length(back) > 0, back)).otherwise(F.lit(None))
     dropped = F.regexp_replace(text, r"[\d\[\]()]+\s*$", "")
-    return F.when(F.length(full) <= limit, full).when(text.rlike(r"\d$") | open_bracket, F.coalesce(cut, dropped)).otherwise(text)
+    return F.when(F.length(chunk) <= limit, chunk).when(text.rlike(r"\d$") | open_bracket, F.coalesce(cut, dropped)).otherwise(text)
 
 
 def has_draw(text: Column) -> Column:
     """A real draw field, once addresses and noise words are taken out."""
-    plain = F.regexp_replace(normalize(text), fixed.DRAW_URL, "　")
-    for word in fixed.DRAW_NOISE_WORDS:
-        plain = F.replace(plain, F.lit(word), F.lit("　"))
-    return plain.rlike(fixed.DRAW_FIELD)
+    plain = F.regexp_replace(text, fixed.DRAW_URL, "　")
+    return F.regexp_replace(plain, "|".join(fixed.DRAW_NOISE_WORDS), "　").rlike(fixed.DRAW_FIELD)
 
 
 def prediction_part(text: Column) -> Column:
     """What stands before the first true draw marker."""
-    plain = normalize(text)
-    at = F.regexp_instr(plain, F.lit(fixed.DRAW_BOUNDARY))
-    return F.trim(F.when(at > 0, F.substring(plain, F.lit(1), at - 1)).otherwise(plain))
+    at = F.regexp_instr(text, F.lit(fixed.DRAW_BOUNDARY))
+    return F.trim(F.when(at > 0, F.substring(text, F.lit(1), at - 1)).otherwise(text))
 
 
 def draw_text(text: Column) -> Column:
     """The first draw token with its mark; empty without one."""
-    token = F.regexp_extract(normalize(text), fixed.DRAW_TEXT, 1)
+    token = F.regexp_extract(text, fixed.DRAW_TEXT, 1)
     return F.when(token == "", F.lit("")).otherwise(F.concat(F.lit("开"), F.regexp_replace(token, "^[:?]+|[:?]+$", "")))
 
 
@@ -131,7 +131,7 @@ def wave_value(text: Column) -> Column:
 
 def snippet(text: Column, limit: int = 160) -> Column:
     """T21."""
-    plain = normalize(text)
+    plain = F.trim(text)
     return F.when(F.length(plain) <= limit, plain).otherwise(F.concat(F.rtrim(F.substring(plain, 1, limit)), F.lit("...")))
 
 
@@ -209,7 +209,7 @@ def written_html(text: Column) -> Column:
 def names_site(text: Column, name: Column) -> Column:
     """The publisher's name occurs; a blank one always does."""
     plain = normalize(name)
-    return (plain == "") | F.contains(normalize(text), plain)
+    return (plain == "") | F.contains(text, plain)
 
 
 def signal_words(keywords: Column, name: Column) -> Column:

@@ -96,7 +96,7 @@ def section(documents: DataFrame) -> DataFrame:
     begin = F.position(F.col("mark"), F.col("text"))
     full = marked.withColumn("whole", F.substring(F.col("text"), begin + F.length("mark"), F.greatest(F.lit(200), F.col("section_span"))))
     signals = T.signal_words(F.col("signals"), F.col("name"))
-    named = ~F.col("need_site") | T.names_site(F.col("whole"), F.col("name")) | T.names_site(F.col("mark"), F.col("name"))
+    named = ~F.col("need_site") | T.names_site(F.col("whole"), F.col("name")) | T.names_site(T.normalize("mark"), F.col("name"))
     passed = full.where(named & ((F.size(signals) == 0) | T.contains_any(F.col("whole"), signals)))
     stops = F.filter(F.transform("stops", lambda s: F.position(s, F.col("whole"))), lambda p: p > 0)
     cut = F.when(F.size(stops) > 0, F.substring(F.col("whole"), F.lit(1), F.array_min(stops) - 1)).otherwise(F.col("whole"))
@@ -137,7 +137,7 @@ def user_feed(documents: DataFrame) -> DataFrame:
     return positioned(
         rows.withColumns({
             "issue": F.col("hit.no").cast("int"), "value": F.col("hit.digit"), "draw": T.draw_text(F.col("window")),
-            "snippet": T.snippet(F.concat_ws(" ", "name", "window")),
+            "snippet": T.snippet(F.concat_ws(" ", T.normalize("name"), "window")),
         })
     )
 
@@ -146,7 +146,7 @@ def table(documents: DataFrame) -> DataFrame:
     """Tables between anchor and stop words. A header row sets the value and draw columns for the rows
     below it in its table (one that lacks a required header, or has no value column, clears them)."""
     content = F.coalesce("content", F.lit(""))
-    ruled = with_rule(documents).where(~F.col("need_site") | T.names_site(content, F.col("name")))
+    ruled = with_rule(documents).where(~F.col("need_site") | T.names_site(T.normalize(content), F.col("name")))
     starts = F.filter(F.transform("anchors", lambda a: F.position(a, content)), lambda p: p > 0)
     ruled = ruled.where((F.size("anchors") == 0) | (F.size(starts) > 0)).withColumn(
         "content", F.when(F.size(starts) > 0, F.substring(content, F.array_min(starts), F.length(content))).otherwise(content)
@@ -166,8 +166,8 @@ def table(documents: DataFrame) -> DataFrame:
     rows = marked.withColumn("at", F.last(set_at, ignorenulls=True).over(above)).where("NOT heading AND at.v <= size(cells)")
     rows = rows.withColumn("issue", issue).withColumn("value", T.cell_digit(F.col("cells")[F.col("at.v") - 1]).cast("string"))
     rows = rows.where(F.col("issue").isNotNull() & F.col("value").isNotNull() & T.contains_none(F.col("row_text"), F.col("excluded")))
-    source = F.coalesce(F.try_element_at("cells", F.col("at.d")), F.col("row_text"))
-    return positioned(rows.withColumns({"draw": T.draw_text(source), "snippet": T.snippet(F.col("row_text")), "place": F.struct("table_no", "row_no")}))
+    source = T.normalize(F.coalesce(F.try_element_at("cells", F.col("at.d")), F.col("row_text")))
+    return positioned(rows.withColumns({"draw": T.draw_text(source), "snippet": T.snippet(T.normalize("row_text")), "place": F.struct("table_no", "row_no")}))
 
 
 def row_regex(documents: DataFrame) -> DataFrame:
@@ -266,7 +266,7 @@ def target_blocks(documents: DataFrame) -> DataFrame:
     named = rows.groupBy("publisher", "document", "container").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block_no", "text"))), lambda x: x["text"]), " ").alias("text"), F.max("name").alias("name")
     )
-    return named.where(T.names_site(F.col("text"), F.col("name"))).select("publisher", "document", "text").distinct()
+    return named.where(T.names_site(T.normalize("text"), F.col("name"))).select("publisher", "document", "text").distinct()
 
 
 def links(pages: DataFrame) -> DataFrame:

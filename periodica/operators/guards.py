@@ -29,7 +29,7 @@ def evidence(records: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def bare(text: Column) -> Column:
-    return T.prediction_part(F.regexp_replace(text, r"(?<!\d)\d{1,4}\s*期", " "))
+    return T.prediction_part(T.normalize(F.regexp_replace(text, r"(?<!\d)\d{1,4}\s*期", " ")))
 
 
 def captured(text: Column, patterns) -> Column:
