@@ -29,6 +29,7 @@ def evidence(records: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def bare(text: Column) -> Column:
+    """What P2 to P4 look at: the text without issue numbers and before the first draw marker."""
     return T.prediction_part(T.normalize(F.regexp_replace(text, r"(?<!\d)\d{1,4}\s*期", " ")))
 
 
@@ -36,16 +37,15 @@ def captured(text: Column, patterns) -> Column:
     return F.concat(*[F.regexp_extract_all(text, F.lit("(?s)" + p), F.lit(1)) for p in patterns])
 
 
-def ambiguous(text: Column) -> Column:
-    """A pattern captures a number of different digits."""
-    return F.exists(captured(bare(text), (*fixed.VALUE_PATTERNS, *fixed.BRACKETED)), lambda v: T.exact_digit(v).isNull())
+def ambiguous(plain: Column) -> Column:
+    """P2, of `bare` text: a pattern captures a number of different digits."""
+    return F.exists(captured(plain, (*fixed.VALUE_PATTERNS, *fixed.BRACKETED)), lambda v: T.exact_digit(v).isNull())
 
 
-def verdicts(text: Column) -> Column:
-    """Of each bracketed value, and of the stretch behind each label as far as the next one: the digit that
+def verdicts(plain: Column) -> Column:
+    """P3, of `bare` text: of each bracketed value, and of the stretch behind each label as far as the next one: the digit that
     it proves, or what speaks against it. A stretch without a number says nothing. Between a label and its
     number only decoration may stand; the number has to be one digit (or one repeated) and the only one."""
-    plain = bare(text)
     digit = lambda raw: F.coalesce(T.exact_digit(raw).cast("string"), F.lit("several digits"))
 
     def behind(stretch: Column) -> Column:
@@ -63,14 +63,17 @@ def verdicts(text: Column) -> Column:
 
 def adjacent(text: Column, value: Column) -> Column:
     """Struct of proven (the value stands next to a label) and fault (the first thing against one)."""
-    found = verdicts(text)
+    return near(verdicts(bare(text)), value)
+
+
+def near(found: Column, value: Column) -> Column:
     fault = F.try_element_at(F.filter(found, lambda v: F.length(v) > 1), F.lit(1))
     return F.struct(F.coalesce(F.array_contains(found, value), F.lit(False)).alias("proven"), fault.alias("fault"))
 
 
-def strict(text: Column, value: Column) -> Column:
-    """A strict pattern captures exactly the value."""
-    return F.array_contains(captured(bare(text), fixed.STRICT), value)
+def strict(plain: Column, value: Column) -> Column:
+    """P4, of `bare` text: a strict pattern captures exactly the value."""
+    return F.array_contains(captured(plain, fixed.STRICT), value)
 
 
 def enforce(records: DataFrame, documents: DataFrame, exact: Column | None = None) -> DataFrame:
@@ -78,17 +81,18 @@ def enforce(records: DataFrame, documents: DataFrame, exact: Column | None = Non
     document. Pairs, categories and table records pass; a user feed only needs P2; section, compact
     and lead_compact need P3 or P4; dedicated ones fail by any fault of P3, or unproven beside a
     label, unless `exact` says that their own form is proof."""
-    proven = evidence(records, documents).withColumn("near", adjacent(F.col("evidence"), F.col("value")))
+    plain = evidence(records, documents).withColumn("plain", bare(F.col("evidence")))  # once for all guards
+    proven = plain.withColumn("found", verdicts(F.col("plain"))).withColumn("near", near(F.col("found"), F.col("value")))
     single = F.col("value").rlike(r"^\d$") & (F.col("kind") != "table")
     strict_kind = F.col("kind").isin("section", "compact", "lead_compact")
     dedicated = (F.col("kind") == "dedicated") & ~(F.lit(False) if exact is None else exact)
     error = F.when(
         single,
-        F.when(ambiguous(F.col("evidence")), "several digits")
-        .when(strict_kind & ~F.col("near.proven") & ~strict(F.col("evidence"), F.col("value")), "not adjacent")
+        F.when(ambiguous(F.col("plain")), "several digits")
+        .when(strict_kind & ~F.col("near.proven") & ~strict(F.col("plain"), F.col("value")), "not adjacent")
         .when(dedicated & F.col("near.fault").isNotNull(), F.col("near.fault"))
-        .when(dedicated & ~F.col("near.proven") & bare(F.col("evidence")).rlike(f"{fixed.LABEL}|{fixed.BRACKETED[0]}"), "not proven"),
+        .when(dedicated & ~F.col("near.proven") & F.col("plain").rlike(f"{fixed.LABEL}|{fixed.BRACKETED[0]}"), "not proven"),
     )
-    judged = proven.withColumn("error", error).drop("near")
+    judged = proven.withColumn("error", error).drop("plain", "found", "near")
     worst = judged.groupBy("document").agg(F.min_by("error", F.when(F.col("error").isNotNull(), F.col("position"))).alias("document_error"))
     return judged.join(worst, "document")
