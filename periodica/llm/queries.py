@@ -12,6 +12,7 @@ from .pii import op2_pii
 from .ranked import OP11_SQL, op11_search
 from .sharding import op3_sharding
 from .tool_calls import OP7_SQL, op7_tool_calls
+from .trie_model import op12_trie_model
 
 QUERIES = {
     "op1_bpe": op1_bpe,
@@ -25,6 +26,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_fingerprints": op10_fingerprints,
     "op11_search": op11_search,
+    "op12_trie_model": op12_trie_model,
     "op13_alignment": op13_alignment,
 }
 
