@@ -13,12 +13,12 @@ off the prototypes, which leaves what tells them apart.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -34,7 +34,7 @@ PIECE_CHARS = 1_000_000  # of a text whose n-grams are counted at once
 UNKNOWN = "und"
 GAP = 1  # stands between words
 
-NOT_LETTERS = re.compile(r"[\W\d_]+")
+NOT_LETTERS = regex.compile(r"\P{L}+")  # numerals of any kind are no letters
 
 
 def letter_vector(code: int) -> np.ndarray:

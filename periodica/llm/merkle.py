@@ -3,18 +3,20 @@
 A paragraph is what stands between line feeds and is a leaf; its digest is a hash of its
 text. A section is a run of paragraphs that ends after one whose digest ends in 0 (so an
 insertion moves no other boundary); its digest hashes those of its paragraphs. The root is
-the SHA-256 of the sections' digests: equal roots, equal texts. Beside its digest a leaf
-carries short hashes of its pieces. Pieces tile the paragraph and end where content says so:
+the SHA-256 of the sections' digests. Leaves and sections have digests of 64 bits, so equal
+roots mean equal texts up to a collision of these. Beside its digest a leaf carries short
+hashes of its pieces. Pieces tile the paragraph and end where content says so:
 after a word whose hash is 0 modulo PIECE_WORDS, and in words of over LONG_WORD characters
 after two differing characters whose hash is 0 modulo PIECE_CHARACTERS; so what is inserted
-or deleted changes the pieces that it touches. In a text of at most SHORT_TEXT characters a
-leaf's pieces are its runs of three characters.
+or deleted changes the pieces that it touches. Texts of every length have them. In a text of
+at most SHORT_TEXT characters, which has few, a leaf carries its runs of three characters too.
 
 Likeness is found from the root down: equal roots are alike; else equal sections count with
 all their pieces, below the sections that differ equal paragraphs do, and only below the
-paragraphs that differ pieces are compared.
+paragraphs that differ pieces are compared. Two texts that both have runs are compared by
+runs in place of pieces; one that has runs and one that hasn't, by the pieces of both.
 
-    fingerprint = root:section(paragraph=piece.piece,paragraph=piece);section(...)
+    fingerprint = root:section(paragraph=piece.piece~run.run,paragraph=piece);section(...)
 """
 
 from __future__ import annotations
@@ -24,8 +26,8 @@ from pyspark.sql import functions as F
 
 from .common import checked, documents, stored
 
-PIECE_WORDS, PIECE_CHARACTERS = 4, 16  # on average
-LONG_WORD, SHORT_TEXT = 32, 200  # characters
+PIECE_WORDS, PIECE_CHARACTERS = 2, 8  # on average
+LONG_WORD, SHORT_TEXT = 16, 200  # characters
 RANGES, STEP = 1024, 32  # ranges by percentile, and how many of them are looked through at once
 RANGE_BYTES = 16 << 20  # that a part of a range aims at
 ROW_BYTES = 64  # that a row counts beside its text
@@ -54,7 +56,7 @@ def in_pieces(paragraph: Column) -> Column:
 
 def pieces(paragraph: Column) -> Column:
     """Short hashes of the paragraph's pieces, in order."""
-    return F.transform(in_pieces(paragraph), lambda p: F.lower(F.hex(F.shiftrightunsigned(F.xxhash64(p), 32))))
+    return F.transform(in_pieces(paragraph), lambda p: F.lower(F.hex(F.shiftrightunsigned(F.xxhash64(p), 36))))
 
 
 def runs(paragraph: Column) -> Column:
@@ -71,8 +73,8 @@ def is_short(text: Column) -> Column:
 def tree(text: Column) -> Column:
     """The fingerprint of a text; of a null one, that of the empty text."""
     body = F.coalesce(text, F.lit(""))
-    leaf = lambda of: F.transform(F.split(body, "\n", -1), lambda p: F.concat(F.lower(F.hex(F.xxhash64(p))), F.lit("="), F.array_join(of(p), ".")))
-    leaves = F.when(is_short(body), leaf(runs)).otherwise(leaf(pieces))
+    more = lambda p: F.when(is_short(body), F.concat(F.lit("~"), F.array_join(runs(p), "."))).otherwise(F.lit(""))
+    leaves = F.transform(F.split(body, "\n", -1), lambda p: F.concat(F.lower(F.hex(F.xxhash64(p))), F.lit("="), F.array_join(pieces(p), "."), more(p)))
     sections = F.split(F.regexp_replace(F.array_join(leaves, ","), "(0=[^,]*),", "$1;"), ";", -1)
 
     def digested(found: Column) -> Column:
@@ -86,6 +88,11 @@ def tree(text: Column) -> Column:
     return once(once(sections, digested), written)
 
 
+def by(fingerprint: Column, runs: Column) -> Column:
+    """The fingerprint with runs in place of pieces, or without runs."""
+    return F.when(runs, F.regexp_replace(fingerprint, "=[^~]*~", "=")).otherwise(F.regexp_replace(fingerprint, "~[^,)]*", ""))
+
+
 def root(fingerprint: Column) -> Column:
     return F.substring_index(fingerprint, ":", 1)
 
@@ -117,7 +124,8 @@ def compared(a: Column, b: Column) -> Column:
     """struct of likeness and changed_paragraphs (distinct ones of `a` that `b` hasn't) of two fingerprints. A
     branch is looked into only where `a` and `b` differ in it."""
     sections = lambda x: F.struct(sections_of(x).alias("all"))
-    start = F.struct(sections(a).alias("a"), sections(b).alias("b"))
+    runs = F.contains(a, F.lit("~")) & F.contains(b, F.lit("~"))
+    start = F.struct(sections(by(a, runs)).alias("a"), sections(by(b, runs)).alias("b"))
 
     def below(s: Column) -> Column:
         one, two = s["a"]["all"], s["b"]["all"]

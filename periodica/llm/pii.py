@@ -42,6 +42,7 @@ BUCKETS = 4096  # of hashed features
 SURE = 0.6
 ROUNDS = 12  # of message passing
 FIT_ROUNDS = 40
+CONVERGED = 0.02  # a fit ends when no weight moves by more
 PRIOR = 0.1  # precision of the weights' normal prior
 ACTIVE = 8  # weights that a token's score adds up, about: bounds the curvature in a step of the fit
 HELD = 50_000  # distinct examples a task counts before it hands them on
@@ -130,12 +131,18 @@ def sum_of(word: str) -> str:
     """What the checks of the base patterns say of a token: a card's check digit, an address's parts."""
     digits = re.sub("[^0-9]", "", word)
     if "@" not in word and re.fullmatch(r"[0-9]+(?:\.[0-9]+){3}", word):
-        return "parts" if all(int(p) <= 255 for p in word.split(".")) else "no parts"
+        return "parts" if all(is_part(p) for p in word.split(".")) else "no parts"
     if 13 <= len(digits) <= 19 and re.fullmatch("[0-9-]+", word):
         return "digit" if luhn(digits) else "no digit"
     return ""
 
 
+def is_part(digits: str) -> bool:
+    """At most 255, however many digits."""
+    rest = digits.lstrip("0")
+    return len(rest) < 3 or len(rest) == 3 and rest <= "255"
+
+
 def hash_name(name: str) -> int:
     return zlib.crc32(name.encode("utf-8", "surrogatepass")) % BUCKETS
 
@@ -352,8 +359,11 @@ def learn(docs: DataFrame) -> Field:
         summed = table.mapInPandas(run, "place int, slope double, share double").groupBy("place").agg(F.sum("slope"), F.sum("share"))
         found = np.array([tuple(r) for r in summed.collect()], np.float64).reshape(-1, 3)  # at most as many rows as weights
         place = found[:, 0].astype(np.int64)
-        now[place] += (found[:, 1] - PRIOR * now[place]) / (ACTIVE / 4 * found[:, 2] + PRIOR)
+        step = (found[:, 1] - PRIOR * now[place]) / (ACTIVE / 4 * found[:, 2] + PRIOR)
+        now[place] += step
         field.set(now)
+        if np.abs(step).max(initial=0) < CONVERGED:
+            break
     return field
 
 

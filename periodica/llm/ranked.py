@@ -28,6 +28,9 @@ ITEMS_AT_ONCE = 2_000  # items whose terms go to all tasks together; more are ta
 LENGTH = 75  # hundredths in which the length counts
 SCALE = 1_000_000_000
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: The same signs one by one, which Java's patterns look up in a table: a term with what stands before and behind it.
+NO_TERM = "".join(f"\\x{i:02X}" for i in range(128) if not chr(i).isalnum())
+AROUND = f"[{NO_TERM}]*[^{NO_TERM}]+[{NO_TERM}]*"
 
 #: Every byte of a sign that no term has becomes a space, A-Z become a-z.
 BYTES = bytes(i if i > 127 or 48 <= i < 58 or 97 <= i < 123 else i + 32 if 65 <= i < 91 else 32 for i in range(256))
@@ -88,7 +91,8 @@ def build_index(docs: DataFrame) -> Index:
     """The index of all rows of `docs` that have a term, whole texts, each row a document of its own (repeated
     rows and null ids too). Null and empty texts have no terms. It is written to the shared folder."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole().alias("text"))
-    n = F.regexp_count("text", F.lit(TERM)).cast("long")
+    has = F.col("text").rlike(f"[^{NO_TERM}]")
+    n = F.when(has, F.length(F.regexp_replace("text", AROUND, "x"))).otherwise(0).cast("long")  # a sign for each term
     lengths = stored(own.select(n.alias("n")).where("n > 0").groupBy("n").agg(F.count("*").alias("documents")), "search-lengths")
     total = lengths.agg(F.sum("documents"), F.sum(F.col("n") * F.col("documents"))).first()
     count, occurrences = int(total[0] or 0), int(total[1] or 0)

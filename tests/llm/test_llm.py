@@ -247,6 +247,42 @@ def test_languages_held_out(spark):
     assert language_id.keep_identified(docs_of(spark, [], WIDE)).count() == 0
 
 
+def test_language_scores_equal_brute_force(spark):
+    """Profiles, prototypes, cosines and scores on a small table, from n-grams bound and bundled one by one."""
+    rnd = random.Random(9)
+    words = {"a": ["the", "of", "and", "Éa"], "b": ["der", "und", "ist", "ß"], "c": ["il", "la", "che", "è"]}
+    texts = [(i, " ".join(rnd.choice(words[lang]) for _ in range(rnd.randrange(1, 9))), lang) for i in range(90) for lang in [rnd.choice("abc")]]
+    texts += [(200, "² ½", "a"), (201, "①②③ Ⅷ", "b"), (202, "x²y", None), (203, None, "a"), (204, "a", "a"), (None, "der und", "b")]
+    rows = language_id.identify(spark.createDataFrame([(i, t, lang, "s", None) for i, t, lang in texts], DOCS)).collect()
+
+    def bundle(text):
+        plain = " " + re.sub("[^a-zéèß]+", " ", re.sub("[²½①②③Ⅷ]", " ", (text or "").lower())).strip() + " "
+        total = np.zeros(language_id.DIMENSIONS)
+        for k in range(len(plain) - language_id.GRAM + 1):
+            bound = np.ones(language_id.DIMENSIONS)
+            for i in range(language_id.GRAM):
+                bound = bound * np.roll(language_id.letter_vector(ord(plain[k + i])), language_id.GRAM - 1 - i)
+            total += bound
+        return total, bool(plain.strip())
+
+    import zlib
+
+    held = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 3 == 1
+    unit = lambda v: v / max(np.linalg.norm(v), 1e-12)
+    learned = np.array([unit(sum(bundle(t)[0] for i, t, lang in texts if lang == name and t is not None and not held(i))) for name in "abc"])
+    sharp = np.array([unit(v - learned.mean(axis=0)) for v in learned])
+    expected = []
+    for i, t, _ in texts:
+        profile, letters = bundle(t)
+        cosines = sharp @ unit(profile)
+        expected.append((str(i), str(t), held(i), *(("abc"[int(cosines.argmax())], max(0.0, float(cosines.max()))) if letters else ("und", 0.0))))
+    text_of = {str(i): str(t) for i, t, _ in texts}
+    found = sorted((str(r["doc_id"]), text_of[str(r["doc_id"])], r["held_out"], r["lang_pred"], r["score"]) for r in rows)
+    for x, y in zip(found, sorted(expected)):
+        assert x[:4] == y[:4] and x[4] == pytest.approx(y[4], abs=1e-4)
+    assert {x[3] for x in found if x[0] in ("200", "201", "203")} == {"und"}
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
@@ -284,6 +320,21 @@ def test_field_adds_what_patterns_miss_and_leaves_clean_text_alone(spark):
         assert [(pii.KINDS.index(s["kind"]), s["start"], s["end"]) for s in found[i] if s["base"]] == brute_spans(t)
 
 
+@pytest.mark.parametrize("token", ["9" * 1_000_000 + ".1.1.1", "1." * 500_000, "@" * 1_000_000, "a@" * 300_000 + "b.c", "1" * 1_000_000, "+1 " + "2" * 300_000], ids=lambda t: t[:6])
+def test_huge_tokens_end_no_job(token):
+    spans = pii.base_spans(token)
+    assert all(0 <= a < b <= len(token) for _, a, b in spans)
+    tokens = pii.marked_tokens(token)
+    assert len(pii.features(token, tokens)) == len(tokens)
+    assert len(list(pii.examples(token))) >= 0 and isinstance(pii.Field().more_spans(token, spans), list)
+
+
+def test_parts_of_addresses_of_any_length():
+    for digits in ("0", "255", "256", "0255", "00256", "9" * 5000, "0" * 5000, "1" * 3, "99"):
+        small = len(digits.lstrip("0")) <= 3 and int(digits.lstrip("0") or 0) <= 255
+        assert pii.is_part(digits) == small
+
+
 def test_skip_edges_decide_what_a_distant_repeat_is(spark):
     rnd = random.Random(3)
     digits = lambda n: "".join(rnd.choice("123456789") for _ in range(n))
@@ -360,7 +411,9 @@ def test_merkle_edits_and_next(spark):
 
 
 def brute_likeness(one, two):
-    """From the fingerprints' texts, by sets."""
+    """From the fingerprints' texts, by sets: by runs if both have them, else by pieces."""
+    both = "~" in one and "~" in two
+    one, two = (re.sub("=[^~]*~", "=", f) if both else re.sub("~[^,)]*", "", f) for f in (one, two))
     if one.split(":")[0] == two.split(":")[0]:
         return 1.0
     size = lambda branches: sum(x.count("=") + x.count(".") for x in branches)
@@ -421,6 +474,35 @@ def test_likeness_under_insertion_deletion_and_offset(spark):
     assert 0.2 < rows[2]["near_edited"] < 0.8 and 0.1 < rows[1]["near_edited"] < 0.8 and rows[1]["near_next"] == 0
 
 
+def test_likeness_has_no_gap_at_any_length(spark):
+    """Every length from 1 to 400 against a brute-force tree, and on both sides of the length up to which runs are kept."""
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(1, 9)))
+    text = ""
+    while len(text) < 450:
+        text += word() + rnd.choice([" ", " ", " ", " ", "\n"])
+    pairs = [(n, text[:n], text[: n + 20]) for n in range(1, 401)] + [(1000 + n, text[:n] + word(), word() + " " + text[:n]) for n in range(1, 401)]
+    frame = spark.createDataFrame(pairs, "k int, x string, y string").select("k", merkle.tree(F.col("x")).alias("x"), merkle.tree(F.col("y")).alias("y"))
+    near = {}
+    for r in frame.select("*", merkle.compared(F.col("x"), F.col("y"))["likeness"].alias("near")).collect():
+        near[r["k"]] = r["near"]
+        assert r["near"] == brute_likeness(r["x"], r["y"])
+    assert near[195] > 0.8 and near[230] > 0.8
+    assert min(near[n] for n in range(100, 401)) > 0.6 and min(near[n] for n in range(181, 201)) > 0.7
+    assert min(near[1000 + n] for n in range(150, 401)) > 0.6
+
+
+def test_an_edited_text_that_falls_below_the_limit_keeps_its_half(spark):
+    rnd = random.Random(13)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 8)))
+    texts = []
+    for i in range(0, 80, 2):
+        texts += [(i + 1, " ".join(word() for _ in range(60))[:240]), (i, "tiny!")]
+    rows = {r["doc_id"]: r for r in merkle.fingerprints(docs_of(spark, texts)).collect()}
+    halves = [rows[i + 1]["near_edited"] for i in range(0, 80, 2)]
+    assert min(halves) > 0.35 and sum(halves) / len(halves) > 0.55
+
+
 PAGE = """<html><head><title>T</title></head><body><header>Site</header><nav><a href="/">home</a></nav><div id="cookie-notice">We use cookies</div>
 <article><h1>Title &amp; more</h1><p>First <b>bold</b>&nbsp;words<br>here<p>Les.<div class="ad">Buy</div><p>Last</p><script>"<p>no</p>"</script></article>
 <section class="comments"><p>I like it</p></section><aside>side</aside><form>f</form><footer>c</footer></body></html>"""
