@@ -116,6 +116,13 @@ def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
     return found, np.bincount(inverse, np.concatenate([p[1] for p in parts])).astype(np.int64)
 
 
+def inside_texts(found: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without the n-grams of texts side by side that reach from one into the next: only they have two gaps together."""
+    gaps = [(found >> (21 * i) & 0x1FFFFF) == ord(" ") for i in range(GRAM)]
+    own = ~np.any([a & b for a, b in zip(gaps, gaps[1:])], axis=0)
+    return found[own], number[own]
+
+
 def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
 
@@ -137,7 +144,7 @@ def prototypes(docs: DataFrame) -> dict[str, np.ndarray]:
         for batch in batches:
             for lang, own in batch.groupby("lang", sort=False):
                 for part in np.array_split(own["text"].to_numpy(), 1 + len(own) // 200):
-                    found, number = counted("".join(map(clean, part)))
+                    found, number = inside_texts(*counted("".join(map(clean, part))))
                     so_far = counts.setdefault(lang, {})
                     for k, n in zip(found.tolist(), number.tolist()):
                         so_far[k] = so_far.get(k, 0) + n
