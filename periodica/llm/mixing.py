@@ -80,7 +80,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, total: int | N
     name can clash.
     """
     table = stored(distributions(rates(docs, weights, total)), "mix-rates")
-    packed = docs.select(F.struct("*").alias("row"), source_key().alias("source_key"), F.md5("text").alias("text_md5"))
+    packed = docs.select(F.struct("*").alias("row"), source_key().alias("source_key"), F.md5("text").alias("text_md5"), F.monotonically_increasing_id().alias("place"))
     if (table.agg(F.sum(F.size("cdf") + 4).alias("n")).first()["n"] or 0) <= BROADCAST_NUMBERS:
         joined = packed.join(F.broadcast(table), "source_key")
     else:  # a hot source is spread over SALT partitions
@@ -90,12 +90,13 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, total: int | N
         )
     drawn = uniform(seed, F.col("row.doc_id"), F.col("text_md5"))
     copies = F.col("low") + F.size(F.filter("cdf", lambda c: c <= F.col("u")))
-    counted = joined.withColumn("u", drawn).select("row", "text_md5", copies.cast("int").alias("copies"))
+    counted = joined.withColumn("u", drawn).select("row", "text_md5", "place", copies.cast("int").alias("copies"))
     exploded = counted.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     own = [F.coalesce(c.cast("string"), F.lit("null")) for c in (F.col("row.doc_id"), F.col("text_md5"))]
     key = F.md5(F.concat_ws("|", F.lit(f"{seed}.mix"), *own, F.col("copy").cast("string")))
-    shuffled = exploded.select("row", "copies", "copy", key.alias("shuffle_key"))
-    return shuffled.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    shuffled = exploded.select("row", "copies", "copy", key.alias("shuffle_key"), "place")
+    # Rows that are equal have equal keys: by their place in the table they go to different tasks all the same.
+    return shuffled.repartition("shuffle_key", "place").sortWithinPartitions("shuffle_key").drop("place")
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:

@@ -129,6 +129,16 @@ def test_mixing_meets_target_weights(spark):
     assert mixing.mix(frame, {}).count() == 0
 
 
+def test_copies_of_one_row_go_to_many_tasks(spark):
+    frame = spark.createDataFrame([(1, "same", None, "a", None)] * 3000 + [(i, f"t{i}", None, "a", None) for i in range(2, 3000)], DOCS)
+    out = mixing.mix(frame, {"a": 1.0}, total=6000)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few bytes end in one task
+    dealt = out.select("row.doc_id", F.spark_partition_id().alias("p")).where("doc_id = 1").groupBy("p").count().collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(dealt) == 4 and max(r["count"] for r in dealt) < 0.4 * sum(r["count"] for r in dealt)
+    assert "place" not in out.columns
+
+
 def test_poisson_of_small_and_large_rates(spark):
     table = spark.createDataFrame([("a", 0.3), ("b", 4.0), ("c", 10_000_000.0)], "source_key string, rate double")
     for r in mixing.distributions(table).collect():
