@@ -26,16 +26,17 @@ def roll(state: DataFrame, publishers: DataFrame, results: DataFrame, issue: int
     return roll_runs(state, publishers, fresh, [issue], window)
 
 
-def roll_runs(state: DataFrame, publishers: DataFrame, results: DataFrame, runs: list[int], window: int = fixed.WINDOW) -> DataFrame:
+def roll_runs(state: DataFrame, publishers: DataFrame, results: DataFrame, runs: list[int], window: int = fixed.WINDOW, newest: int | None = None) -> DataFrame:
     """R1 for one or more runs at once: the state after those of the issues in `runs`, whose results
-    (publisher, issue, value, reason) are joined in together.
+    (publisher, issue, value, reason) are joined in together. With `newest` beyond them the runs are made up for:
+    the window stays where it is, and what it holds of later issues too.
 
     The grid is publishers x the last issues (linear in the publishers). Old values stay
     inside the window, but for the issues run; a success sets the value and clears the
     reason, a failure or a missing result sets a reason; any other hole keeps its reason or
     gets a default one. Archived publishers aren't rolled (see archived_part).
     """
-    issue = max(runs)
+    issue = max(runs) if newest is None else max(*runs, newest)
     current = F.col("issue").isin(*[i for i in runs if i > issue - window])
     old = state.where(F.col("issue").between(issue - window + 1, issue)).select("publisher", "issue", F.col("value").alias("old_value"), F.col("reason").alias("old_reason"))
     grid = publishers.where("NOT archived").select("publisher", F.explode(issues.window(F.lit(issue), window)).alias("issue"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..sources import pages, reports
+from ..functions import fixed
 from ..streaming import roll
 from . import observed as O
 from .registry import query
@@ -144,6 +145,53 @@ def w1_gated(spark, sf_dir):
     return rows
 
 
+@query("w1_quarantine_replay", ROLL + f""" SELECT 'state' AS what, g.publisher, g.issue, s.value, CASE WHEN s.value IS NULL THEN '{fixed.DEFAULT_REASON}' END AS reason FROM grid g LEFT JOIN series s ON s.publisher = g.publisher AND s.issue = g.issue
+UNION ALL SELECT 'waiting 1', publisher, issue, CASE WHEN publisher % 10 = 1 THEN '77x' ELSE value END, 'value' FROM series, top WHERE issue = top - 2
+UNION ALL SELECT 'waiting 2', publisher, issue, CASE WHEN publisher % 10 = 1 THEN '77x' ELSE value END, 'value' FROM series, top WHERE issue = top - 2""")
+def w1_replay(spark, sf_dir):
+    """An issue comes with values of the wrong form beside a good one, which is taken; later ones follow; then the bad
+    values alone come right. The state is that of a run without a fault, and nothing waits any more."""
+    bad = F.when((F.col("publisher") % 10 == 1) & (F.col("issue") == F.col("top") - 2), "77x").otherwise(F.col("value"))
+    issue = F.col("issue")
+    store = streamed(spark, sf_dir, [
+        lambda own, top: own.where(issue <= top - 4),
+        lambda own, top: own.where(issue.between(top - 3, top - 2)).withColumn("top", F.lit(top)).withColumn("value", bad).drop("top"),
+        lambda own, top: own.where(issue == top - 1),
+        lambda own, top: own.where((issue == top) | (issue == top - 2) & (F.col("publisher") % 10 == 1)),
+    ])
+    rows = store.read(3).select(F.lit("state").alias("what"), "publisher", "issue", "value", "reason")
+    for version in (1, 2, 3):
+        rows = rows.unionByName(store.waiting(version).select(F.lit(f"waiting {version}").alias("what"), "publisher", "issue", "value", F.col("fault").alias("reason")))
+    return rows
+
+
+ARRIVALS = """o AS (SELECT event_id AS seq, user_id AS publisher, CAST(CAST(floor(value) AS BIGINT) % 10 AS VARCHAR) AS value, (event_id * 2937600) // (SELECT max(event_id) + 1 FROM events) AS second FROM events),
+a AS (SELECT *, CAST(second // 86400 + 1 - (seq * 7919) % 15 AS INTEGER) AS issue FROM o), b AS (SELECT * FROM a WHERE issue >= 1),
+j AS (SELECT *, coalesce(issue <= max(issue) OVER (PARTITION BY publisher ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 10, false) AS refused, max(issue) OVER (PARTITION BY publisher) AS newest, max(second) OVER () AS clock FROM b)"""
+
+
+@query("w2_keyed_state", f"""WITH {ARRIVALS} SELECT 'held' AS kind, publisher, issue, arg_max(value, seq) AS value, NULL AS seq FROM j WHERE NOT refused AND issue > newest - 10 AND (issue + 9) * 86400 > clock - 1 GROUP BY publisher, issue
+UNION ALL SELECT 'refused', publisher, issue, value, seq FROM j WHERE refused""")
+def w2_keyed(spark, sf_dir):
+    """Results in shuffled order in three parts, the query started anew from its checkpoint for each."""
+    from ..streaming import keyed
+
+    rows = O.observations(spark, sf_dir).select("publisher", "value", "seq")
+    ids = rows.agg(F.max("seq")).first()[0] or 0
+    second = F.expr(f"(seq * 2937600L) div {ids + 1}L")
+    issue = (F.floor(second / 86400) + 1 - (F.col("seq") * 7919) % 15).cast("int")
+    own = rows.select("publisher", issue.alias("issue"), "value", F.lit(None).cast("string").alias("reason"), "seq", F.timestamp_seconds(second + 1704067200).alias("at")).where("issue >= 1")
+    root = scratch(spark)
+    for part in range(3):
+        third = F.expr(f"(seq * 3L) div {ids + 1}L") == part
+        own.where(third).coalesce(8).write.mode("append").parquet(f"{root}/in")
+        source = spark.readStream.schema(own.schema).option("maxFilesPerTrigger", 1000).parquet(f"{root}/in")
+        keyed.keyed_stream(source, f"{root}/log", f"{root}/checkpoint").awaitTermination()
+    log = keyed.changes(spark, f"{root}/log")
+    held = keyed.held_cells(log).select(F.lit("held").alias("kind"), "publisher", "issue", "value", F.lit(None).cast("long").alias("seq"))
+    return held.unionByName(keyed.refused_results(log).select(F.lit("refused").alias("kind"), "publisher", "issue", "value", "seq"))
+
+
 @query("w2_late_results", """WITH o AS (SELECT event_id, user_id AS publisher, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) + 1 AS INTEGER) AS arrived, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) + 1 - event_id % 15 AS INTEGER) AS issue FROM events),
 d AS (SELECT arrived, max(max(issue)) OVER (ORDER BY arrived ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM o GROUP BY arrived)
 SELECT event_id, CASE WHEN issue <= before - 10 THEN 'refused' ELSE 'accepted' END AS status FROM o JOIN d USING (arrived)""")
