@@ -270,16 +270,18 @@ def target_blocks(documents: DataFrame) -> DataFrame:
 
 
 def links(pages: DataFrame) -> DataFrame:
-    """Url, place, text, target of the anchors of pages (url, html), resolved against the page."""
+    """Url, place, text, target, status of the anchors of pages (url, html), resolved against the page. A malformed
+    link has no target."""
     form = F.lit(r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>""")
     both = F.arrays_zip(F.regexp_extract_all("html", form, F.lit(1)).alias("href"), F.regexp_extract_all("html", form, F.lit(2)).alias("inner"))
     rows = pages.select("url", F.posexplode(both).alias("place", "a"))
-    return rows.select("url", "place", page_text(F.col("a.inner")).alias("text"), absolute_url("url", F.col("a.href")).alias("target"))
+    resolved = rows.select("url", "place", page_text(F.col("a.inner")).alias("text"), absolute_url("url", F.col("a.href")).alias("target"))
+    return resolved.withColumn("status", F.when(F.col("target").isNull(), "malformed link").otherwise("ok"))
 
 
 def chosen_link(found: DataFrame, keywords: list[str], bottom: bool) -> DataFrame:
     """By page the first or last link whose text has all keywords."""
-    fits = found.where(F.forall(T.words(keywords), lambda k: F.contains(F.col("text"), k)))
+    fits = found.where(F.col("target").isNotNull() & F.forall(T.words(keywords), lambda k: F.contains(F.col("text"), k)))
     pick = F.max_by if bottom else F.min_by
     return fits.groupBy("url").agg(pick("target", "place").alias("target"))
 

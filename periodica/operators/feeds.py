@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..helpers.tables import stored
 
 ITEM = (
     "struct<id:string,user_id:string,user:struct<id:string,nickname:string>,topic:string,sub_topic:string,title:string,draw:string,content:string,body:string>"
@@ -150,33 +147,26 @@ def single_article(rows: DataFrame, astray: Column) -> DataFrame:
 
 
 def nested_articles(pages: DataFrame) -> DataFrame:
-    """As X22, from JSON of any depth; a vectorised search for objects with the id."""
-
-    def found(value, target: str) -> Iterator[dict]:
-        todo = [value]
-        while todo:
-            v = todo.pop()
-            if isinstance(v, dict):
-                if str(v.get("id") if v.get("id") is not None else v.get("_id") or "").strip() == target and ("html" in v or "content" in v or "authorNickname" in v):
-                    yield v
-                todo += v.values()
-            elif isinstance(v, list):
-                todo += v
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for page, target, author, text in batch.itertuples(index=False):
-                try:
-                    hits = list(found(json.loads(text or ""), target))
-                except ValueError:
-                    hits = []
-                rows += [(page, target, author, json.dumps(h, ensure_ascii=False)) for h in hits] or [(page, target, author, None)]
-            yield pd.DataFrame(rows, columns=["page", "target_id", "author", "article"])
-
-    hits = pages.select("page", "target_id", "author", "text").mapInPandas(run, "page string, target_id string, author string, article string")
-    rows = hits.select("page", "target_id", "author", F.lit("").alias("section"), F.from_json("article", ARTICLE).alias("article"))
-    return single_article(rows, F.lit(False))
+    """As X22, from JSON of any nesting: objects with the target's id (or _id) and a field of an article. The text
+    is read as a variant and taken apart level by level, each level a join with the children of the last, until a
+    level has none. Text that isn't JSON, or nests deeper than the JSON reader goes (about a thousand levels), has no articles."""
+    spark = pages.sparkSession
+    rows = pages.select("page", "target_id", "author", F.try_parse_json(F.coalesce("text", F.lit(""))).alias("v"))
+    level = rows.where("v IS NOT NULL")
+    field = lambda name, kind="string": F.try_variant_get("v", f"$.{name}", kind)
+    ident = F.trim(F.coalesce(field("id"), field("_id")))
+    article = field("html", "variant").isNotNull() | field("content", "variant").isNotNull() | field("authorNickname", "variant").isNotNull()
+    hits = None
+    while True:
+        found = level.where((ident == F.col("target_id")) & article).select("page", F.to_json("v").alias("article"))
+        hits = found if hits is None else hits.unionByName(found)
+        children = spark.tvf.variant_explode(F.col("v").outer()).select(F.col("value").alias("child"))
+        below = level.lateralJoin(children).select("page", "target_id", "author", F.col("child").alias("v"))
+        level = stored(below.where(F.to_json("v").rlike(r"^[\[{]")))
+        if level.isEmpty():
+            break
+    own = pages.select("page", "target_id", "author").join(hits, "page", "left")
+    return single_article(own.select("page", "target_id", "author", F.lit("").alias("section"), F.from_json("article", ARTICLE).alias("article")), F.lit(False))
 
 
 def forum_details(pages: DataFrame) -> DataFrame:

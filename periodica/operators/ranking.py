@@ -87,3 +87,21 @@ def health_keys(publishers: DataFrame, old: DataFrame) -> DataFrame:
 def match_report(matches: DataFrame) -> DataFrame:
     """Matches by level."""
     return matches.groupBy("level").agg(F.count("*").alias("pairs"), F.max("length").alias("longest"))
+
+
+def ordered_matches(matches: DataFrame, series: DataFrame, publishers: DataFrame) -> DataFrame:
+    """Place, level, a, b, a_name, b_name, start, end, values: the matches of equal_runs, newest start first, then by
+    the name of a (then a, b); values are those of the run, newest first. Places are counted up by start and
+    name, then within these, so that no window runs over all matches."""
+    names = publishers.select("publisher", "name")
+    named = matches.join(names.toDF("a", "a_name"), "a").join(names.toDF("b", "b_name"), "b")
+    cells = series.select(F.col("publisher").alias("a"), "issue", "value")
+    run = named.select("a", "b", "start", "end").join(cells, "a").where(F.col("issue").between(F.col("end"), F.col("start")))
+    values = run.groupBy("a", "b").agg(F.transform(F.sort_array(F.collect_list(F.struct("issue", "value")), asc=False), lambda x: x["value"]).alias("values"))
+    starts = named.groupBy("start").agg(F.count("*").alias("n"))  # a row an issue
+    firsts = starts.select("start", (F.sum("n").over(Window.orderBy(F.desc("start"))) - F.col("n")).alias("before"))
+    groups = named.groupBy("start", "a_name").agg(F.count("*").alias("n"))
+    inside = groups.select("start", "a_name", (F.sum("n").over(Window.partitionBy("start").orderBy("a_name")) - F.col("n")).alias("above"))
+    own = F.row_number().over(Window.partitionBy("start", "a_name").orderBy("a", "b"))
+    placed = named.join(F.broadcast(firsts), "start").join(inside, ["start", "a_name"]).withColumn("place", F.col("before") + F.col("above") + own)
+    return placed.join(values, ["a", "b"]).select("place", "level", "a", "b", "a_name", "b_name", "start", "end", "values")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..helpers.tables import stored
 
 K = ("document_order", "position", "parser", "document")
 A = ("publisher", "source_url", "source_type", "record", "document", "document_order", "parser")
@@ -72,27 +73,67 @@ def presentations(candidates: DataFrame) -> DataFrame:
     return tagged.withColumn("n", F.row_number().over(best)).where("n = 1").select(candidates.columns)
 
 
+PRIMES = (2147483629, 2147483587)  # below 2 ** 31, so that a product of two residues fits into 63 bits
+BASES = (911382323, 972663749)
+POWER_BITS = 31  # of a place in an authority
+
+
+def power(base: int, prime: int, exponent: Column) -> Column:
+    """base ** exponent modulo prime, from the powers of two that the exponent has."""
+    squares = [pow(base, 1 << k, prime) for k in range(POWER_BITS)]
+    found = F.lit(1).cast("long")
+    steps = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(x).cast("long").alias("x")) for k, x in enumerate(squares)])
+    return F.aggregate(steps, found, lambda acc, s: F.when(F.bit_get(exponent, s["k"]) == 1, acc * s["x"] % prime).otherwise(acc))
+
+
+def authority_rows(pages: DataFrame) -> DataFrame:
+    """A row for each candidate of the authorities whose blocks all have a text: auth and origin (digests of their
+    columns), n (place from 1), size, proof, and the rolling fingerprint: p0, p1 (sums of a polynomial over the
+    proofs up to here, to two moduli), x0, x1 (this row's part), i0, i1 (what shifts a window that starts here to the front)."""
+    digest = lambda columns: F.unhex(F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})))
+    block = T.normalize("block")
+    rows = pages.select(
+        digest([F.col(c) for c in A]).alias("auth"), digest([F.col(c) for c in ("publisher", "source_url", "source_type", "record", "parser")]).alias("origin"),
+        *[F.col(c).alias(f"k_{c}") for c in K], digest(["issue", "value", block.alias("block"), "error"]).alias("proof"), (F.coalesce(block, F.lit("")) != "").alias("has"),
+    )
+    every = Window.partitionBy("auth")
+    order = every.orderBy(*[f"k_{c}" for c in K], "proof")
+    placed = rows.withColumns({"n": F.row_number().over(order), "size": F.count("*").over(every), "proven": F.min("has").over(every)}).where("proven")
+    number = F.xxhash64("proof")
+    for k, (prime, base) in enumerate(zip(PRIMES, BASES)):
+        place = (F.col("n") - 1).cast("long")
+        placed = placed.withColumn(f"x{k}", (F.pmod(number, F.lit(prime)) + 1) * power(base, prime, place) % prime).withColumn(f"i{k}", power(pow(base, -1, prime), prime, place))
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for k, prime in enumerate(PRIMES):
+        placed = placed.withColumn(f"p{k}", F.sum(f"x{k}").over(so_far) % prime)
+    return placed.select("auth", "origin", "n", "size", "proof", "x0", "x1", "i0", "i1", "p0", "p1")
+
+
 def without_fragments(candidates: DataFrame) -> DataFrame:
     """V4: without page authorities whose whole evidence is a strictly shorter contiguous part of another
-    one's of the same URL, type, record and parser. Authorities meet only by their first evidence."""
-    origin = ["publisher", "source_url", "source_type", "record", "parser"]
-    proof = F.sha2(F.to_json(F.struct("issue", "value", T.normalize("block").alias("block"), "error")), 256)
-    pages = candidates.where("source_type = 'page'")
-    sequences = (
-        pages.groupBy(*A)
-        .agg(
-            F.array_sort(F.collect_list(F.struct(*K, proof.alias("proof")))).alias("all"),
-            F.bool_and(T.normalize("block") != "").alias("proven"),
-        )
-        .where("proven")
-        .select(*A, F.transform("all", lambda x: x["proof"]).alias("proofs"))
-    )
-    small = sequences.select(*A, F.col("proofs").alias("s"), F.col("proofs")[0].alias("proof"))
-    large = sequences.select(*origin, F.col("proofs").alias("l"), F.explode(F.array_distinct("proofs")).alias("proof"))
-    met = small.join(large, [*origin, "proof"]).where("size(s) < size(l)")
-    inside = F.exists(F.sequence(F.lit(1), F.size("l") - F.size("s") + 1), lambda i: F.slice("l", i, F.size("s")) == F.col("s"))
-    gone = met.where(inside).select(*A).distinct()
-    return null_safe_anti(candidates, gone, A)
+    one's of the same URL, type, record and parser.
+
+    Authorities of equal evidence are one class. A class meets the places of longer ones at which its first
+    proof stands; of such a place only the row at which a window of its length ends is joined in, and the two
+    sums there give the window's fingerprint. Of the equal ones one is compared proof by proof. All joins are on
+    equal keys, and rows are moved in proportion to the candidates and to the places that a first proof meets."""
+    rows = stored(authority_rows(candidates.where("source_type = 'page'")))
+    whole = rows.where("n = size").select("auth", "origin", "size", F.col("p0").alias("t0"), F.col("p1").alias("t1"))
+    firsts = rows.where("n = 1").select("auth", "proof")
+    members = whole.join(firsts, "auth")
+    classes = members.groupBy("origin", "size", "t0", "t1", "proof").agg(F.min("auth").alias("rep"))
+    large = rows.join(classes.select(F.col("rep").alias("auth")), "auth", "left_semi")
+    start = large.select("origin", "proof", F.col("auth").alias("host"), F.col("n").alias("at"), F.col("size").alias("host_size"), *[((F.col(f"p{k}") - F.col(f"x{k}")) % PRIMES[k]).alias(f"b{k}") for k in (0, 1)], "i0", "i1")
+    met = classes.join(start, ["origin", "proof"]).where((F.col("size") < F.col("host_size")) & (F.col("at") + F.col("size") - 1 <= F.col("host_size")))
+    end = large.select(F.col("auth").alias("host"), F.col("n").alias("until"), "p0", "p1")
+    closed = met.withColumn("until", F.col("at") + F.col("size") - 1).join(end, ["host", "until"])
+    same = [F.pmod(F.col(f"p{k}") - F.col(f"b{k}"), F.lit(PRIMES[k])) * F.col(f"i{k}") % PRIMES[k] == F.col(f"t{k}") for k in (0, 1)]
+    one = closed.where(same[0] & same[1]).groupBy("rep", "size").agg(F.min(F.struct("host", "at")).alias("x")).select("rep", "size", "x.host", "x.at")
+    parts = rows.select(F.col("auth").alias("rep"), "n", "proof").join(one, "rep").withColumn("n", F.col("n") + F.col("at") - 1)
+    proven = parts.join(rows.select(F.col("auth").alias("host"), "n", "proof"), ["host", "n", "proof"]).groupBy("rep", "size").count().where(F.col("count") == F.col("size"))
+    gone = members.join(classes.join(proven.select("rep"), "rep", "left_semi"), ["origin", "size", "t0", "t1", "proof"]).select(F.col("auth").alias("gone"))
+    digest = F.unhex(F.md5(F.to_json(F.struct(*A), {"ignoreNullFields": "false"})))
+    return candidates.join(gone, (F.col("source_type") == "page") & (digest == F.col("gone")), "left_anti")
 
 
 def null_safe_anti(left: DataFrame, right: DataFrame, on) -> DataFrame:

@@ -2,29 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..functions import text as T
+from ..helpers.tables import scratch
 from ..sources import pages, reports
-from ..functions import fixed
 from ..streaming import roll
 from . import observed as O
 from .registry import query
 
 
-def scratch(spark) -> str:
-    """A folder that executors share: below spark.checkpoint.dir, or a temporary one where that is unset on one machine."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if spark.sparkContext.master.split("[")[0] != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        folder = tempfile.mkdtemp(prefix="periodica-")
-    return f"{folder.rstrip('/')}/periodica/query-{uuid.uuid4().hex}"
-
-
 def named(spark, sf_dir):
     own = O.series(spark, sf_dir).join(O.publishers(spark, sf_dir).select("publisher", "idx", "name", "url", "pick"), "publisher")
     bad = F.col("publisher") % 6 == 0

@@ -23,8 +23,9 @@ def raw_bodies(spark: SparkSession, path: str) -> DataFrame:
 
 
 def decode(bodies: DataFrame) -> DataFrame:
-    """Adds text to bodies (body, content_type, encoding)."""
-    return bodies.withColumn("text", decoded("body", "content_type", "encoding"))
+    """Adds text and decode_status (ok, or charset not usable) to bodies (body, content_type, encoding)."""
+    found = bodies.withColumn("decoded", decoded("body", "content_type", "encoding"))
+    return found.withColumns({"text": F.col("decoded.text"), "decode_status": F.col("decoded.status")}).drop("decoded")
 
 
 def placeholder(body: Column) -> Column:
