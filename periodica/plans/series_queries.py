@@ -84,17 +84,27 @@ def a8(spark, sf_dir):
     return ranking.health_keys(own, own.where(F.lit(False)).select(F.col("url").alias("key"), "name"))
 
 
-RUNS = f"""WITH {BINARY}, p AS (SELECT publisher, string_agg(issue || ':' || value, ',' ORDER BY issue) AS cells FROM series GROUP BY publisher), rep AS (SELECT * FROM series WHERE publisher IN (SELECT min(publisher) FROM p GROUP BY cells)),
+def runs_sql(series: str, more: str = "true") -> str:
+    return f"""WITH {series}, p AS (SELECT publisher, string_agg(issue || ':' || value, ',' ORDER BY issue) AS cells FROM series WHERE {more} GROUP BY publisher), rep AS (SELECT * FROM series WHERE publisher IN (SELECT min(publisher) FROM p GROUP BY cells)),
 eq AS (SELECT a.publisher AS a, b.publisher AS b, a.issue FROM rep a JOIN rep b ON a.issue = b.issue AND a.value = b.value AND a.publisher < b.publisher),
 g AS (SELECT *, issue + row_number() OVER (PARTITION BY a, b ORDER BY issue DESC) AS island FROM eq),
 r AS (SELECT a, b, max(issue) AS start, min(issue) AS "end", count(*) AS length FROM g GROUP BY a, b, island HAVING count(*) >= 3),
 best AS (SELECT a, b, length, start, "end", CASE WHEN length >= 6 THEN 'duplicate' ELSE 'suspect' END AS level FROM r QUALIFY row_number() OVER (PARTITION BY a, b ORDER BY length DESC, start DESC) = 1)"""
 
 
+RUNS = runs_sql(SERIES)
+FEW = "publisher % 50 = 0"  # whose values are taken modulo 2, which makes long runs
+
+
 @query("d1_equal_runs", RUNS + " SELECT * FROM best")
 def d1(spark, sf_dir):
     """Pairs of class representatives; d1_equal_series_classes has the members."""
-    return S.equal_runs(O.series(spark, sf_dir, 2), expand=False)
+    return S.equal_runs(O.series(spark, sf_dir), expand=False)
+
+
+@query("d1_long_equal_runs", runs_sql(BINARY, FEW) + " SELECT * FROM best")
+def d1_long(spark, sf_dir):
+    return S.equal_runs(O.series(spark, sf_dir, 2).where(FEW), expand=False)
 
 
 @query("a9_match_report", RUNS + " SELECT level, count(*) AS pairs, max(length) AS longest FROM best GROUP BY level")
@@ -102,6 +112,14 @@ def a9(spark, sf_dir):
     return ranking.match_report(d1(spark, sf_dir))
 
 
+@query("a9_ordered_matches", runs_sql(BINARY, FEW) + """, v AS (SELECT b.a, b.b, string_agg(s.value, '|' ORDER BY s.issue DESC) AS "values" FROM best b JOIN series s ON s.publisher = b.a AND s.issue BETWEEN b."end" AND b.start GROUP BY b.a, b.b)
+SELECT row_number() OVER (ORDER BY start DESC, 'P' || a, a, b) AS place, level, a, b, 'P' || a AS a_name, 'P' || b AS b_name, start, "end", "values" FROM best JOIN v USING (a, b)""")
+def a9_ordered(spark, sf_dir):
+    names = O.publishers(spark, sf_dir).select("publisher", "name")
+    found = ranking.ordered_matches(d1_long(spark, sf_dir), O.series(spark, sf_dir, 2), names)
+    return found.withColumn("values", F.array_join("values", "|"))
+
+
 @query("d1_equal_series_classes", f"""WITH {SERIES}, w AS (SELECT publisher, issue, CAST(CAST(value AS INTEGER) % 2 AS VARCHAR) AS value FROM series),
 p AS (SELECT publisher, string_agg(issue || ':' || value, ',' ORDER BY issue) AS cells FROM w GROUP BY publisher) SELECT publisher, min(publisher) OVER (PARTITION BY cells) AS rep FROM p""")
 def d1_classes(spark, sf_dir):
@@ -134,7 +152,9 @@ def d3(spark, sf_dir):
     return pick(S.duplicates(found), False).unionByName(pick(S.suspicions(found), True))
 
 
-HISTORY = f"""{O.OBS}, rec AS (SELECT publisher, issue, value, seq % 31 <> 0 AS valid FROM obs WHERE issue BETWEEN 16 AND 25 AND publisher % 10 = 3 AND (publisher + issue) % 4 = 0),
+HISTORY = f"""{O.OBS}, recent AS (SELECT * FROM obs WHERE issue BETWEEN 16 AND 25 AND publisher % 10 = 3),
+rec AS (SELECT publisher, issue, value, seq % 31 <> 0 AS valid FROM recent WHERE (publisher + issue) % 4 = 0
+  UNION ALL SELECT publisher, issue, CASE WHEN bool_or(bottom) THEN arg_max(value, seq) ELSE arg_min(value, seq) END, min(seq) % 31 <> 0 FROM recent WHERE (publisher + issue) % 4 <> 0 GROUP BY publisher, issue),
 base AS (SELECT publisher, 25 AS issue, CASE WHEN bool_or(bottom) THEN arg_max(value, seq) ELSE arg_min(value, seq) END AS value FROM obs WHERE issue = 25 AND publisher % 10 = 3 GROUP BY publisher),
 h AS (SELECT publisher, issue, count(*) AS n, count(*) FILTER (valid) AS good, min(value) AS value FROM rec GROUP BY publisher, issue),
 jj AS (SELECT publisher, issue, h.value, base.value AS base_value, CASE WHEN n IS NOT NULL AND NOT (n = 1 AND good = 1) THEN 'not unique' WHEN h.value <> base.value THEN 'conflict' END AS error FROM h FULL JOIN base USING (publisher, issue)),
@@ -142,9 +162,12 @@ history AS (SELECT publisher, issue, CASE WHEN error IS NULL THEN coalesce(value
 
 
 def history(spark, sf_dir):
+    """Every record of the window: all as they come in a quarter of the cells, one of each other cell."""
     rows = O.observations(spark, sf_dir).where("publisher % 10 = 3")
-    records = rows.where("issue BETWEEN 16 AND 25 AND (publisher + issue) % 4 = 0").select("publisher", "issue", "value", (F.col("seq") % 31 != 0).alias("valid"))
     value = F.when(F.bool_or("bottom"), F.max_by("value", "seq")).otherwise(F.min_by("value", "seq"))
+    recent = rows.where("issue BETWEEN 16 AND 25")
+    single = recent.where("(publisher + issue) % 4 != 0").groupBy("publisher", "issue").agg(value.alias("value"), (F.min("seq") % 31 != 0).alias("valid"))
+    records = recent.where("(publisher + issue) % 4 = 0").select("publisher", "issue", "value", (F.col("seq") % 31 != 0).alias("valid")).unionByName(single)
     base = rows.where("issue = 25").groupBy("publisher", "issue").agg(value.alias("value"))
     return S.admission_history(records, base)
 
