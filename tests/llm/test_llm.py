@@ -734,6 +734,68 @@ def test_both_passes_equal_brute_force():
     assert decided > 200
 
 
+def test_both_passes_equal_brute_force_inside_of_regions():
+    """Blocks of an article: link-dense list items are bad, link-dense paragraphs and short blocks ask their neighbours."""
+    rnd = random.Random(14)
+    content, function = "harbour signal mountain copper river garden window yellow".split(), "the of and to in is that it".split()
+    fates = {"+": 0, "-": 0, "bad": 0, "good": 0}
+    for _ in range(200):
+        made, html = [], []
+        for _ in range(rnd.randrange(1, 12)):
+            share, n, tag = rnd.choice([0.0, 0.22, 0.6]), rnd.choice([3, 8, 20, 60]), rnd.choice(["p", "p", "p", "h2", "li", "li"])
+            words = [rnd.choice(function if rnd.random() < share else content) for _ in range(n)]
+            cut = rnd.choice([0, 0, n // 4, n // 2 + 2, n])
+            linked = " ".join(words[:cut])
+            made.append((" ".join(words), len(linked), tag))
+            inner = f"<{tag}>" + (f"<a href='/x'>{linked}</a> " if cut else "") + " ".join(words[cut:]) + f"</{tag}>"
+            html.append(f"<ul>{inner}</ul>" if tag == "li" else inner)
+
+        def by_itself(text, link, tag):
+            words = [re.sub(r"^[\W\d_]+|[\W\d_]+$", "", w) for w in text.split()]
+            stops = sum(w in html_text.STOPS for w in words) / len(words)
+            if link > len(text) / 2:
+                return "bad" if tag == "li" else "unsure"
+            return "unsure" if len(text) < 70 or stops < 0.2 and link > 0.2 * len(text) else "good"
+
+        labels = [by_itself(*b) for b in made]
+        sure = [i for i, x in enumerate(labels) if x != "unsure"]
+        kept = []
+        for i, (b, x) in enumerate(zip(made, labels)):
+            nearest = [j for j in sure if abs(j - i) == min(abs(k - i) for k in sure)]
+            if x == "unsure" and b[2] == "h2" and [j for j in sure if j > i]:
+                nearest = [j for j in sure if j > i][:1]
+            fate = x if x != "unsure" else "+" if not sure or any(labels[j] == "good" for j in nearest) else "-"
+            fates[fate] += 1
+            kept += [b[0]] if fate in ("good", "+") else []
+        assert html_text.main_text("<body><article>" + "".join(html) + "</article></body>") == "\n".join(kept)
+    assert min(fates.values()) > 50, fates
+
+
+def test_departures_of_tags_and_names():
+    page = lambda inner: html_text.main_text(f"<body><article><p>{PROSE}</p>{inner}<p>{PROSE}</p></article></body>")
+    kept = lambda *more: "\n".join([PROSE, *more, PROSE])
+    assert page(f'<ul><li class="advert"><ul><li>{PROSE}</li><li>{PROSE}</li></ul></li><li>{PROSE} Two.</li></ul>') == kept(f"{PROSE} Two.")
+    assert page(f'<table><tr><td class="sidebar"><table><tr><td>{PROSE}</td></tr></table></td><td>{PROSE} In.</td></tr></table>') == kept(f"{PROSE} In.")
+    assert page(f"<ul><li>{PROSE} One.<li>{PROSE} Two.</ul>") == kept(f"{PROSE} One.", f"{PROSE} Two.")
+    assert page("<script src='x'/>var a = 1;</script>") == page("<style/>p { }</style>") == kept()
+    for name in ("commentBody", "comment-body", "userComments", "AdBox", "ad_box"):
+        assert page(f"<div class='{name}'><p>{PROSE}</p></div>") == kept(), name
+    assert page(f"<p class='page-share-story'>{PROSE} Mine.</p>") == kept(f"{PROSE} Mine.")
+    assert page("<div class='page-share-story'>Share this</div>") == page("<div class='share'>Share</div>") == kept()
+    assert page(f"<p>See <a href='/x'>{PROSE}</a></p>") == kept(f"See {PROSE}")
+    filler = " ".join(f'data-x{i}="{i}"' for i in range(400))
+    assert html_text.language_of(f"<!doctype html><html {filler} lang='pl-PL'><body>") == "pl"
+
+
+def test_stop_words_come_from_a_bounded_sample(spark, monkeypatch):
+    monkeypatch.setattr(html_text, "SAMPLE_PAGES", 20)
+    seen, learn = [], html_text.learn
+    monkeypatch.setattr(html_text, "learn", lambda pages: seen.append(pages.count()) or learn(pages))
+    pages = spark.createDataFrame([(i, f"u{i}", PAGE) for i in range(400)], "page_id long, url string, html string")
+    assert {r["text"] for r in html_text.extract(pages).collect()} == {"Title & more\nFirst bold words here\nLes.\nLast"}
+    assert 2 <= seen[0] <= 60
+
+
 def test_pages_empty_clashing_and_null(spark):
     schema = "page_id long, url string, html string, text string, n_chars string, language string"
     pages = spark.createDataFrame([(1, "u", PAGE, "x", "y", "z"), (None, None, None, None, None, None)], schema)
