@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, issues
 from ..functions import text as T
+from ..helpers.tables import scratch
 from ..operators import ranking, rolling
 from ..operators import series as S
+from ..sources.buckets import BucketedState
 from . import observed as O
 from .registry import query
 
@@ -303,10 +305,13 @@ corrected AS (SELECT publisher, issue, CASE WHEN g.publisher IS NOT NULL THEN g.
   FROM rolled r LEFT JOIN good g USING (publisher, issue))"""
 
 
-def corrected(spark, sf_dir):
+def corrections(spark, sf_dir):
     p = F.col("publisher")
-    fix = O.publishers(spark, sf_dir).where("publisher % 4 = 0").select("publisher", F.when(p % 8 == 0, 3).otherwise(20).alias("issue"), F.when(p % 3 == 0, "7").alias("value"), F.lit(None).cast("string").alias("reason"))
-    return rolling.correct(rolled(spark, sf_dir), fix, O.LAST_ISSUE)
+    return O.publishers(spark, sf_dir).where("publisher % 4 = 0").select("publisher", F.when(p % 8 == 0, 3).otherwise(20).alias("issue"), F.when(p % 3 == 0, "7").alias("value"), F.lit(None).cast("string").alias("reason"))
+
+
+def corrected(spark, sf_dir):
+    return rolling.correct(rolled(spark, sf_dir), corrections(spark, sf_dir), O.LAST_ISSUE)
 
 
 @query("r6_correct", CORRECTED + " SELECT * FROM corrected")
@@ -319,6 +324,27 @@ def r6_refused(spark, sf_dir):
     return corrected(spark, sf_dir)[1]
 
 
+@query("r1_bucketed_roll", ROLLED + " SELECT * FROM rolled")
+def r1_bucketed(spark, sf_dir):
+    """As r1_roll, on segments bucketed by publisher."""
+    held = BucketedState(spark, scratch(spark))
+    held.create(O.state(spark, sf_dir))
+    held.roll(0, O.publishers(spark, sf_dir), O.results(spark, sf_dir), O.LAST_ISSUE)
+    return held.read(1)
+
+
+@query("r6_bucketed_correct", CORRECTED + """ SELECT 'state' AS what, publisher, issue, value, reason FROM corrected
+UNION ALL SELECT 'refused', f.publisher, f.issue, NULL, CASE WHEN f.issue <= """ + str(O.LAST_ISSUE - 10) + """ THEN 'outside the window' ELSE 'unknown publisher' END FROM fix f ANTI JOIN good USING (publisher)""")
+def r6_bucketed(spark, sf_dir):
+    """As r6_correct and r6_refused, on segments bucketed by publisher."""
+    held = BucketedState(spark, scratch(spark))
+    held.create(rolled(spark, sf_dir))
+    refused = held.correct(0, corrections(spark, sf_dir), O.LAST_ISSUE)
+    none = F.lit(None).cast("string")
+    rows = held.read(1).select(F.lit("state").alias("what"), "publisher", "issue", "value", "reason")
+    return rows.unionByName(refused.select(F.lit("refused").alias("what"), "publisher", "issue", none.alias("value"), F.col("why").alias("reason")))
+
+
 @query("r7_header", ROLLED + """ SELECT count(*) AS site_count, count(*) FILTER (holes = 0) AS vector_count, count(*) FILTER (holes > 0) AS fail_count FROM (SELECT publisher, count(*) FILTER (value IS NULL) AS holes FROM rolled GROUP BY publisher)""")
 def r7(spark, sf_dir):
     return rolling.header(rolled(spark, sf_dir))
