@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, issues
+from ..helpers.tables import stored
+
+
+HEAVY = 1_000  # publishers that share a gram from which on it is joined in tiles, and of a tile
+HEAVIEST, SKETCHED = 1_000, 20_000  # grams that the sketch names, and that it tracks
 
 
 def classes_of_equal_series(series: DataFrame) -> DataFrame:
@@ -41,18 +46,40 @@ def longest_runs(hits: DataFrame, n: int) -> DataFrame:
     return best.select("a", "b", "best.length", "best.start", "best.end")
 
 
+def heavy_grams(own: DataFrame) -> DataFrame:
+    """issue, gram, tiles of grams that more than HEAVY publishers have: a sketch of frequent items, merged over all
+    tasks, names at most HEAVIEST of them, which are then counted."""
+    key = F.concat_ws("|", "issue", "gram")
+    named = own.agg(F.expr(f"approx_top_k(concat_ws('|', issue, gram), {HEAVIEST}, {SKETCHED})").alias("top")).select(F.explode("top").alias("x")).where(F.col("x.count") > HEAVY).select(F.col("x.item").alias("key"))
+    counted = own.join(F.broadcast(named), key == F.col("key"), "left_semi").groupBy("issue", "gram").agg(F.count("*").alias("n"))
+    return counted.where(F.col("n") > HEAVY).select("issue", "gram", F.ceil(F.col("n") / HEAVY).cast("int").alias("tiles"))
+
+
+def equal_grams(own: DataFrame) -> DataFrame:
+    """a, b, issue for publishers a < b with an equal gram at an issue. A gram that many have is cut into tiles of about
+    HEAVY publishers; each pair of tiles is a key of its own, so that no task gets more than two tiles of it."""
+    heavy = stored(heavy_grams(own))
+    rare = own.join(F.broadcast(heavy), ["issue", "gram"], "left_anti")
+    one, two = (rare.select(F.col("publisher").alias(c), "issue", "gram") for c in "ab")
+    plain = one.join(two, ["issue", "gram"]).where("a < b").select("a", "b", "issue")
+    tiled = own.join(F.broadcast(heavy), ["issue", "gram"]).withColumn("tile", F.pmod(F.xxhash64("publisher"), F.col("tiles")).cast("int"))
+    left = tiled.select(F.col("publisher").alias("x"), "issue", "gram", F.col("tile").alias("i"), F.explode(F.expr("sequence(tile, tiles - 1)")).alias("j"))
+    right = tiled.select(F.col("publisher").alias("y"), "issue", "gram", F.explode(F.expr("sequence(0, tile)")).alias("i"), F.col("tile").alias("j"))
+    met = left.join(right.hint("shuffle_hash"), ["issue", "gram", "i", "j"]).where("i < j OR x < y")
+    return plain.unionByName(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "issue"))
+
+
 def equal_runs(series: DataFrame, least: int = fixed.SUSPECT_RUN, expand: bool = True) -> DataFrame:
     """A, b, length, start, end, level for pairs a < b of publishers with an equal run of `least` or more.
 
-    An equal run implies an equal gram, so pairs come from an equi-join on (issue, gram).
+    An equal run implies an equal gram, so pairs come from an equi-join on (issue, gram), frequent ones in tiles.
     Publishers of equal series are one class that joins once; with expand=False the pairs are
     those of class representatives (see classes_of_equal_series for the members).
     """
     classes = classes_of_equal_series(series)
     reps = series.join(classes.where("publisher = rep").select("publisher"), "publisher", "left_semi")
-    own = grams(reps, least)
-    one, two = (own.select(F.col("publisher").alias(c), "issue", "gram") for c in "ab")
-    found = longest_runs(one.join(two, ["issue", "gram"]).where("a < b").select("a", "b", "issue"), least)
+    own = stored(grams(reps, least))
+    found = longest_runs(equal_grams(own), least)
     if expand:
         inside = longest_runs(own.select(F.col("publisher").alias("a"), F.col("publisher").alias("b"), "issue"), least)
         x = classes.select(F.col("publisher").alias("x"), F.col("rep").alias("a"))
@@ -75,14 +102,20 @@ def candidate_runs(candidates: DataFrame, existing: DataFrame) -> DataFrame:
     Cells lie in a window of ten issues, so each kind takes a run of 3 or more: pairs come from
     an equi-join on issue, class and the values of three consecutive issues.
     """
-    n = fixed.SUSPECT_RUN
+    own = class_grams(candidates).withColumnRenamed("publisher", "candidate")
+    return judged_runs(candidates, own.join(class_grams(existing), ["issue", "gram"]).where("candidate != publisher"))
+
 
-    def cells(side: DataFrame, name: str) -> DataFrame:
-        tagged = F.concat_ws(":", F.col("paired").cast("string"), "value").alias("value")
-        return grams(side.select("publisher", "issue", tagged), n).withColumnRenamed("publisher", name)
+def class_grams(side: DataFrame) -> DataFrame:
+    """publisher, issue, gram of publisher, issue, value, paired; grams of different classes differ."""
+    tagged = F.concat_ws(":", F.col("paired").cast("string"), "value").alias("value")
+    return grams(side.select("publisher", "issue", tagged), fixed.SUSPECT_RUN)
 
+
+def judged_runs(candidates: DataFrame, hits: DataFrame) -> DataFrame:
+    """D2 from the equal grams: candidate, publisher, issue."""
+    n = fixed.SUSPECT_RUN
     wanted = candidates.groupBy(F.col("publisher").alias("candidate")).agg(F.count("*").alias("cells"))
-    hits = cells(candidates, "candidate").join(cells(existing, "publisher"), ["issue", "gram"]).where("candidate != publisher")
     down = Window.partitionBy("candidate", "publisher").orderBy(F.desc("issue"))
     runs = (
         hits.withColumn("island", F.col("issue") + F.row_number().over(down))
