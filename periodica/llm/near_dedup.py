@@ -14,9 +14,9 @@
    other, each of about BLOCK members or BLOCK_HASHES shingles, whichever are fewer:
    signatures again prune pairs of different components, and the members that have a pair
    left get their full sets, from which the intersections of two blocks are counted at once.
-   A task hands on members or spanning links, never pairs, so what moves grows with the
-   members, also where thousands of copies lie close to the threshold, and no candidate link
-   between two components is lost.
+   A task hands on members or spanning links, never pairs, and no candidate link between two
+   components is lost. A member of such a bucket goes to each of its blocks: what moves and is
+   compared there grows with the square of its members, divided by BLOCK for what moves.
 6. Components of the links; one document of each stays.
 """
 
