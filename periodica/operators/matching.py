@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import urls
+from ..helpers.tables import stored
 
 
 def effective_rules(publishers: DataFrame, by_name: DataFrame, by_url: DataFrame, several: DataFrame) -> DataFrame:
@@ -70,6 +71,34 @@ def existing_publishers(candidates: DataFrame, publishers: DataFrame) -> DataFra
     return reduce(DataFrame.unionByName, found).groupBy("candidate").agg(F.min("idx").alias("idx"))
 
 
+def identity_clusters(publishers: DataFrame, most_rounds: int = 60) -> DataFrame:
+    """J4, transitively: idx, cluster (the smallest idx reached) of publishers (idx, name, url) that share a name, a URL
+    identity or a source with each other, or with one that does.
+
+    Publishers and keys are the two sides of a graph: a key takes the smallest label of its publishers, a publisher that
+    of its keys and then its label's label, until nothing changes. No pairs are made, and a key that a third of
+    all share is a partial minimum in each task. Rows without idx are left out; a blank name or no URL ties nothing."""
+    ident = urls.identity(F.col("url"))
+    keys = F.array_compact(F.array(
+        F.when(T.normalize("name") != "", F.concat(F.lit("n"), T.normalize("name"))),
+        F.when(ident.isNotNull(), F.concat(F.lit("u"), F.to_json(ident))),
+        F.when(ident.isNotNull(), F.concat(F.lit("s"), F.to_json(urls.source(F.col("url"))))),
+    ))
+    rows = publishers.where("idx IS NOT NULL")
+    ties = stored(rows.select(F.col("idx").cast("long").alias("idx"), F.explode(keys).alias("key")).distinct())
+    labels = stored(rows.select(F.col("idx").cast("long").alias("idx")).distinct().withColumn("label", F.col("idx")))
+    for _ in range(most_rounds):
+        least = ties.join(labels, "idx").groupBy("key").agg(F.min("label").alias("low"))
+        own = ties.join(least, "key").groupBy("idx").agg(F.min("low").alias("low"))
+        near = labels.join(own, "idx", "left").select("idx", F.col("label").alias("before"), F.least("label", F.coalesce("low", "label")).alias("label"))
+        above = labels.select(F.col("idx").alias("label"), F.col("label").alias("jump"))
+        fresh = stored(near.join(above, "label", "left").select("idx", "before", F.least("label", F.coalesce("jump", "label")).alias("label")))
+        labels = fresh.select("idx", "label")
+        if fresh.where("label < before").isEmpty():
+            return labels.withColumnRenamed("label", "cluster")
+    raise ValueError(f"labels still move after {most_rounds} rounds")
+
+
 def retry_targets(blocks: DataFrame, publishers: DataFrame, issue: int) -> DataFrame:
     """Distinct failed (name, url, pick) of the issue that are configured; place is the first one's."""
     mine = blocks.where(F.col("issue") == issue).groupBy("name", "url", "pick").agg(F.min("place").alias("place"))

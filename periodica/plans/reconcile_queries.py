@@ -212,6 +212,16 @@ def j4(spark, sf_dir):
     return matching.existing_publishers(asked, pages.where(p % 2 == 0).select(p.alias("idx"), "url", "name"))
 
 
+@query("j4_identity_clusters", """WITH RECURSIVE p AS (SELECT page_id AS idx, 'N' || page_id // 2 % 60 AS name, 'https://h' || page_id % 45 || '.example/a' || page_id % 77 AS url FROM pages),
+k AS (SELECT idx, name AS key FROM p UNION ALL SELECT idx, url FROM p), e AS (SELECT DISTINCT a.idx AS a, b.idx AS b FROM k a JOIN k b USING (key)),
+r(a, b) AS (SELECT idx, idx FROM p UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a) SELECT a AS idx, min(b) AS cluster FROM r GROUP BY a""")
+def j4_clusters(spark, sf_dir):
+    p = F.col("page_id")
+    url = F.concat(F.lit("https://h"), (p % 45).cast("string"), F.lit(".example/a"), (p % 77).cast("string"))
+    rows = O.table(spark, sf_dir, "pages").select(p.alias("idx"), F.concat(F.lit("N"), (F.floor(p / 2) % 60).cast("string")).alias("name"), url.alias("url"))
+    return matching.identity_clusters(rows)
+
+
 BLOCKS = """blocks AS (SELECT 'P' || user_id AS name, 'https://p' || user_id || '.example/list' AS url, CASE WHEN user_id % 2 = 0 THEN 'bottom' ELSE 'top' END AS pick, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) + 1 AS INTEGER) AS issue, event_id AS place FROM events WHERE event_type = 'error')"""
 
 
