@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import urls
+from ..helpers.tables import scratch
 from ..operators import matching, reconcile
+from ..sources.change_flow import ChangeFlow
 from . import observed as O
 from .registry import query
 
@@ -119,6 +121,22 @@ def v13(spark, sf_dir):
     return reconcile.decide(O.candidates(spark, sf_dir), O.targets(spark, sf_dir))
 
 
+@query("v13_change_flow", DECIDE + " SELECT * FROM decided")
+def v13_changes(spark, sf_dir):
+    """As v13_decide, from a version with other values and without some documents, and three change sets."""
+    own, targets = O.candidates(spark, sf_dir), O.targets(spark, sf_dir)
+    p, late = F.col("publisher"), F.length("document") % 3 == 0
+    off = F.when(p % 8 == 3, F.lit("9")).otherwise(F.col("value"))
+    flow = ChangeFlow(spark, scratch(spark), lambda rows: reconcile.decide(rows, targets.join(rows.select("publisher").distinct(), "publisher", "left_semi")))
+    extra = own.where(p % 10 == 4).withColumns({"document": F.concat("document", F.lit("#old")), "value": F.lit("1")})
+    flow.create(own.where(~((p % 5 == 1) & late)).withColumn("value", off).unionByName(extra))
+    none = own.where(F.lit(False))
+    flow.apply(0, own.where((p % 5 == 1) & late).unionByName(own.where(p % 7 == 0)), none)  # new documents, and some that are the same
+    flow.apply(1, own.where(p % 8 == 3), none)  # changed ones
+    flow.apply(2, none, extra.select("publisher", "document").distinct())  # gone ones
+    return flow.read(3, "decisions")
+
+
 @query("v14_v17_warnings", AUTH + """, w0 AS (SELECT *, row_number() OVER (PARTITION BY publisher, document ORDER BY position) AS r FROM asked WHERE scope IS NOT NULL AND NOT several),
 wide AS (SELECT publisher, document, max(target) AS target, min(seq) AS first_seq, list_distinct(list(value) FILTER (issue = target)) AS vals FROM w0 GROUP BY publisher, document HAVING bool_or(issue = target)),
 f AS (SELECT publisher, arg_min(vals, first_seq) AS first FROM wide GROUP BY publisher),
