@@ -8,13 +8,16 @@ new publisher needs a row, not code; further kinds are registered with register_
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import fixed
 from ..functions import text as T
 from ..helpers import markup
+from ..helpers.tables import scratch
 from ..helpers.values import absolute_url, unescape, value_in
 
 
@@ -42,6 +45,24 @@ def extract(documents: DataFrame, kind: str) -> DataFrame:
     return EXTRACTORS[kind](documents)
 
 
+def extract_all(documents: DataFrame) -> DataFrame:
+    """RECORD and kind of documents of any kinds (publisher, document, content, kind, and columns of a rule, null for its
+    default). They are written once, a folder for each kind, and each extractor reads its own folder only: all
+    documents are read twice in sum, however many kinds there are. Unknown kinds give no rows (see unknown_kinds)."""
+    ruled = documents.withColumns({k: F.coalesce(F.col(k), v) for k, v in default_rule().items() if k in documents.columns})
+    path = scratch(documents.sparkSession)
+    ruled.where(F.col("kind").isin(list(EXTRACTORS))).write.partitionBy("kind").parquet(path)
+    schema = StructType([f for f in ruled.schema if f.name != "kind"] + [f for f in ruled.schema if f.name == "kind"])
+    held = documents.sparkSession.read.schema(schema).parquet(path)
+    found = [extract(held.where(F.col("kind") == kind).drop("kind"), kind).select(*RECORD, F.lit(kind).alias("kind")) for kind in sorted(EXTRACTORS)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def unknown_kinds(documents: DataFrame) -> DataFrame:
+    """kind, documents: how many documents have a kind that no extractor is registered for."""
+    return documents.where(F.col("kind").isNull() | ~F.col("kind").isin(list(EXTRACTORS))).groupBy("kind").agg(F.count("*").alias("documents"))
+
+
 def with_rule(documents: DataFrame) -> DataFrame:
     return documents.withColumns({k: v for k, v in default_rule().items() if k not in documents.columns})
 

@@ -22,10 +22,21 @@ def item_issue(item: Column) -> Column:
     return F.coalesce(F.when(draw.rlike(r"^\d+$"), draw.try_cast("int")), T.first_issue(F.coalesce(item["title"], F.lit(""))))
 
 
+PAGE_ITEMS = 1_000_000  # more than a page of a feed has
+
+
+def paged_items(feeds: DataFrame) -> DataFrame:
+    """The items of feeds with their place. A feed may come in pages, one text each, numbered by page_no from 0, so that
+    no row holds all of its history."""
+    rows = feeds.select("*", F.posexplode(F.from_json("text", f"array<{ITEM}>")).alias("at", "item"))
+    page = F.col("page_no").cast("long") * PAGE_ITEMS if "page_no" in feeds.columns else F.lit(0).cast("long")
+    return rows.withColumn("place", page + F.col("at")).drop("at")
+
+
 def feed_items(feeds: DataFrame) -> DataFrame:
-    """Items of feeds (feed, owner, name, keyword, text): owned, with an id, on the topic, by the
+    """Items of feeds (feed, owner, name, keyword, text, perhaps page_no): owned, with an id, on the topic, by the
     publisher, with a body. A repeated id of the owner's fails the feed."""
-    rows = feeds.select("*", F.posexplode(F.from_json("text", f"array<{ITEM}>")).alias("place", "item"))
+    rows = paged_items(feeds)
     owner = F.trim(F.coalesce("item.user_id", "item.user.id"))
     mine = rows.where((owner == F.col("owner")) & (F.coalesce("item.id", F.lit("")) != ""))
     body = F.coalesce(F.nullif("item.content", F.lit("")), F.col("item.body"))
@@ -66,8 +77,8 @@ def edge_items(items: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def history_items(histories: DataFrame) -> DataFrame:
-    """Items of reference histories (feed, owner, sub_topic, text) as edge_items takes them."""
-    rows = histories.select("*", F.posexplode(F.from_json("text", f"array<{ITEM}>")).alias("place", "item"))
+    """Items of reference histories (feed, owner, sub_topic, text, perhaps page_no) as edge_items takes them."""
+    rows = paged_items(histories)
     mine = (F.coalesce("item.user_id", F.lit("")) == F.col("owner")) & (T.normalize(F.col("item.sub_topic")) == T.normalize("sub_topic"))
     return rows.where(mine).select(
         "feed", "place", F.col("item.id").alias("item_id"), item_issue(F.col("item")).alias("issue"), F.lit(None).cast("string").alias("document"), F.lit(False).alias("repeated")

@@ -76,30 +76,46 @@ def v19(spark, sf_dir):
     return reconcile.rejections(extract.refused(rendered(spark, sf_dir, row)))
 
 
-@query("x2_section", f"WITH {SERIES} SELECT {SHOWN}, publisher % 3 = 0 AS uncut FROM series")
-def x2(spark, sf_dir):
+def section_docs(spark, sf_dir):
     row = F.concat(I(), F.lit("期:"), name(), F.lit(" 杀一尾["), V(), F.lit("]"), draw())
     early = F.col("publisher") % 3 == 0
     head = F.concat(F.lit("<p>1期 P0 杀一尾[0] 开:鼠01准</p>杀尾专区 "), F.col("name"), F.lit(" 杀一尾 "), F.when(early, "完结 ").otherwise(""))
     tail = F.when(early, "").otherwise(F.concat(F.lit(" 完结 99期:"), F.col("name"), F.lit(" 杀一尾[8] 开:鼠01准")))
     docs = rendered(spark, sf_dir, row, head, tail).withColumns({"stops": F.array(F.lit("完结")), "section_span": F.lit(4000)})
-    return extract.extract(docs, "section").select("publisher", "issue", "value", "uncut")
+    return docs
 
 
-@query("x3_lead_compact", f"WITH {SERIES}, l AS (SELECT *, row_number() OVER (PARTITION BY publisher ORDER BY issue DESC) AS n, max(issue) OVER (PARTITION BY publisher) AS top FROM series) SELECT {SHOWN} FROM l WHERE top - issue * CASE WHEN publisher % 2 = 0 THEN 1 ELSE 3 END <= 40 AND (publisher % 2 = 0 OR top * 3 - issue * 3 <= 40)")
-def x3(spark, sf_dir):
+@query("x2_section", f"WITH {SERIES} SELECT {SHOWN}, publisher % 3 = 0 AS uncut FROM series")
+def x2(spark, sf_dir):
+    return extract.extract(section_docs(spark, sf_dir), "section").select("publisher", "issue", "value", "uncut")
+
+
+X3 = f"WITH {SERIES}, l AS (SELECT *, row_number() OVER (PARTITION BY publisher ORDER BY issue DESC) AS n, max(issue) OVER (PARTITION BY publisher) AS top FROM series) SELECT {SHOWN} FROM l WHERE top - issue * CASE WHEN publisher % 2 = 0 THEN 1 ELSE 3 END <= 40 AND (publisher % 2 = 0 OR top * 3 - issue * 3 <= 40)"
+
+
+def lead_docs(spark, sf_dir):
     odd = F.col("publisher") % 2 == 1
     shown_issue = (F.col("issue") * F.when(odd, 3).otherwise(1)).cast("string")
     row = F.concat(shown_issue, F.lit("期:"), name(), F.lit(" 杀一尾["), V(), F.lit("]"), draw())
-    found = extract.extract(rendered(spark, sf_dir, row).withColumn("lead", F.lit(10_000)), "lead_compact")
+    return rendered(spark, sf_dir, row).withColumn("lead", F.lit(10_000))
+
+
+@query("x3_lead_compact", X3)
+def x3(spark, sf_dir):
+    odd = F.col("publisher") % 2 == 1
+    found = extract.extract(lead_docs(spark, sf_dir), "lead_compact")
     return found.select("publisher", (F.col("issue") / F.when(odd, 3).otherwise(1)).cast("int").alias("issue"), "value")
 
 
-@query("x4_user_feed", f"WITH {SERIES} SELECT {SHOWN} FROM series WHERE NOT (publisher % 5 = 1 AND issue % 4 = 0)")
-def x4(spark, sf_dir):
+def feed_docs(spark, sf_dir):
     double = (F.col("publisher") % 5 == 1) & (F.col("issue") % 4 == 0)
     row = F.concat(I(), F.lit("期:杀一尾【"), F.when(double, F.repeat(V(), 2)).otherwise(V()), F.lit("】开鼠"), F.lpad(I(), 2, "0"), F.lit("准 "), name())
-    return shown(extract.extract(rendered(spark, sf_dir, row), "user_feed"))
+    return rendered(spark, sf_dir, row)
+
+
+@query("x4_user_feed", f"WITH {SERIES} SELECT {SHOWN} FROM series WHERE NOT (publisher % 5 = 1 AND issue % 4 = 0)")
+def x4(spark, sf_dir):
+    return shown(extract.extract(feed_docs(spark, sf_dir), "user_feed"))
 
 
 @query("x4_repeated_rows", f"WITH {SERIES} SELECT {SHOWN}, CASE WHEN issue % 2 = 0 THEN 0 ELSE 1 END AS far FROM series WHERE issue % 3 <> 0")
@@ -133,21 +149,45 @@ def table_row():
 TABLE_HEAD = "<table><tr><th>期数</th><th>名</th><th>杀一尾</th><th>开奖结果</th></tr>"
 
 
-@query("x5_table", f"WITH {SERIES} SELECT {SHOWN}, '开鼠' || lpad(CAST(issue AS VARCHAR), 2, '0') AS draw FROM series WHERE issue % 6 <> 0")
-def x5(spark, sf_dir):
+def table_docs(spark, sf_dir):
     head = F.concat(F.lit("<table><tr><td>7期</td><td>1尾</td></tr></table><div>"), F.col("name"), F.lit("主表</div>" + TABLE_HEAD))
     tail = F.lit("<tr><th>期数</th><th>名</th><th>其他</th></tr><tr><td>88期</td><td>x</td><td>4尾</td></tr></table>")
     docs = rendered(spark, sf_dir, table_row(), head, tail, "\n").withColumns({"anchors": F.array(F.lit("主表")), "required": F.array(F.lit("期数"))})
-    return extract.extract(docs, "table").select("publisher", "issue", "value", "draw")
+    return docs
 
 
-@query("x6_row_regex", f"WITH {SERIES} SELECT {SHOWN} FROM series WHERE publisher % 3 <> 2 OR issue % 2 = 0")
-def x6(spark, sf_dir):
+@query("x5_table", f"WITH {SERIES} SELECT {SHOWN}, '开鼠' || lpad(CAST(issue AS VARCHAR), 2, '0') AS draw FROM series WHERE issue % 6 <> 0")
+def x5(spark, sf_dir):
+    return extract.extract(table_docs(spark, sf_dir), "table").select("publisher", "issue", "value", "draw")
+
+
+def regex_docs(spark, sf_dir):
     third = F.col("publisher") % 3 == 2
     row = F.concat(I(), F.lit("期 尾数"), F.when(third & (F.col("issue") % 2 == 1), "x").otherwise(F.concat(F.lit("4"), V())), F.lit("点"), draw())
     docs = rendered(spark, sf_dir, row, F.concat(F.lit("5期 尾数77点 开:鼠01准 "), F.col("name"), F.lit("主区 ")), F.lit(" 下区 6期 尾数88点 开:鼠01准"))
     ruled = docs.withColumns({"scope_re": F.when(F.col("publisher") % 2 == 0, F.concat("name", F.lit("主区"))), "value_re": F.lit("尾数(\\d+)点"), "stops": F.array(F.lit("下区")), "section_span": F.lit(6000)})
-    return shown(extract.extract(ruled, "dedicated"))
+    return ruled
+
+
+@query("x6_row_regex", f"WITH {SERIES} SELECT {SHOWN} FROM series WHERE publisher % 3 <> 2 OR issue % 2 = 0")
+def x6(spark, sf_dir):
+    return shown(extract.extract(regex_docs(spark, sf_dir), "dedicated"))
+
+
+@query("x_all_kinds", f"""WITH {SERIES}, l AS (SELECT *, issue * CASE WHEN publisher % 2 = 0 THEN 1 ELSE 3 END AS told, max(issue) OVER (PARTITION BY publisher) * CASE WHEN publisher % 2 = 0 THEN 1 ELSE 3 END AS top FROM series)
+SELECT 'compact' AS kind, {SHOWN} FROM series WHERE {KEPT} UNION ALL SELECT 'section', {SHOWN} FROM series
+UNION ALL SELECT 'lead_compact', publisher, told, value FROM l WHERE top - told <= 40
+UNION ALL SELECT 'user_feed', {SHOWN} FROM series WHERE NOT (publisher % 5 = 1 AND issue % 4 = 0)
+UNION ALL SELECT 'table', {SHOWN} FROM series WHERE issue % 6 <> 0 UNION ALL SELECT 'dedicated', {SHOWN} FROM series WHERE publisher % 3 <> 2 OR issue % 2 = 0""")
+def x_all(spark, sf_dir):
+    """Documents of six kinds, and of one that is unknown, in one table."""
+    docs = {"compact": rendered(spark, sf_dir, plain_row()), "section": section_docs(spark, sf_dir), "lead_compact": lead_docs(spark, sf_dir), "user_feed": feed_docs(spark, sf_dir), "table": table_docs(spark, sf_dir), "dedicated": regex_docs(spark, sf_dir)}
+    docs["unheard"] = docs["compact"]
+    tagged = [d.withColumns({"kind": F.lit(kind), "document": F.concat(F.lit(kind), "document")}) for kind, d in docs.items()]
+    every = tagged[0]
+    for more in tagged[1:]:
+        every = every.unionByName(more, allowMissingColumns=True)
+    return extract.extract_all(every).select("kind", "publisher", "issue", "value")
 
 
 def body_row():
@@ -255,16 +295,21 @@ def p5(spark, sf_dir):
 # feeds
 
 
+def in_pages(own) -> DataFrame:
+    """With page_no: a publisher's events in their order, 100 a page."""
+    order = F.row_number().over(Window.partitionBy("publisher").orderBy("seq"))
+    return own.withColumn("page_no", F.floor((order - 1) / 100))
+
+
 def feed_json(spark, sf_dir) -> DataFrame:
     item = F.struct(
         F.col("seq").cast("string").alias("id"), F.struct((F.col("publisher") + F.when(F.col("seq") % 9 == 0, 1000).otherwise(0)).cast("string").alias("id"), F.concat(F.lit("P"), P()).alias("nickname")).alias("user"),
         F.when(F.col("seq") % 8 == 0, "其他").otherwise("绝杀一尾").alias("topic"), F.when(F.col("seq") % 2 == 0, F.col("issue").cast("string")).alias("draw"), F.concat(I(), F.lit("期")).alias("title"),
         F.concat(F.lit("body "), F.col("seq").cast("string")).alias("content"),
     )
-    own = O.observations(spark, sf_dir)
     items = F.transform(F.array_sort(F.collect_list(F.struct("seq", item.alias("item")))), lambda x: x["item"])
-    texts = own.groupBy("publisher").agg(F.to_json(items).alias("text"))
-    return texts.select("publisher", P().alias("feed"), P().alias("owner"), F.concat(F.lit("P"), P()).alias("name"), F.lit("绝杀一尾").alias("keyword"), "text")
+    texts = in_pages(O.observations(spark, sf_dir)).groupBy("publisher", "page_no").agg(F.to_json(items).alias("text"))
+    return texts.select("publisher", "page_no", P().alias("feed"), P().alias("owner"), F.concat(F.lit("P"), P()).alias("name"), F.lit("绝杀一尾").alias("keyword"), "text")
 
 
 FEED = f"""WITH {O.OBS}, items AS (SELECT * FROM obs WHERE seq % 9 <> 0 AND seq % 8 <> 0)"""
@@ -292,8 +337,9 @@ CASE WHEN seq % 9 <> 0 AND seq % 7 <> 0 THEN 'P' || publisher || chr(10) || 'T'
 def x19(spark, sf_dir):
     own = O.observations(spark, sf_dir)
     item = F.struct(F.col("seq").cast("string").alias("id"), P().alias("user_id"), F.when(F.col("seq") % 5 == 0, "其他").otherwise(" 绝杀一尾").alias("sub_topic"), I().alias("draw"))
-    histories = own.groupBy("publisher").agg(F.to_json(F.collect_list(item)).alias("text")).select(P().alias("feed"), P().alias("owner"), F.lit("绝杀一尾").alias("sub_topic"), "text")
-    wanted = feeds.history_items(histories).select("feed", "item_id").join(histories.select("feed", "owner", "sub_topic", F.concat(F.lit("P"), F.col("feed")).alias("name")), "feed")
+    histories = in_pages(own).groupBy("publisher", "page_no").agg(F.to_json(F.collect_list(item)).alias("text")).select("page_no", P().alias("feed"), P().alias("owner"), F.lit("绝杀一尾").alias("sub_topic"), "text")
+    known = own.select(P().alias("feed"), P().alias("owner"), F.lit("绝杀一尾").alias("sub_topic"), F.concat(F.lit("P"), P()).alias("name")).distinct()
+    wanted = feeds.history_items(histories).select("feed", "item_id").join(known, "feed")
     detail = F.struct(
         F.col("seq").cast("string").alias("id"), F.when(F.col("seq") % 9 == 0, "0x").otherwise(P()).alias("user_id"), F.lit("T").alias("topic"), F.lit("绝杀一尾").alias("sub_topic"),
         F.when(F.col("seq") % 7 == 0, " ").otherwise(F.concat(F.lit("body "), F.col("seq").cast("string"))).alias("content"),

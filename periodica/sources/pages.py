@@ -31,3 +31,24 @@ def decode(bodies: DataFrame) -> DataFrame:
 def placeholder(body: Column) -> Column:
     """A body that stands for none."""
     return F.lower(F.trim(F.trim(F.trim(F.coalesce(body, F.lit(""))), F.lit("\"'")))).isin(*fixed.PLACEHOLDER_BODIES)
+
+
+TASK_BYTES = 64 << 20  # of pages that a task should get
+
+
+def packed(pages: DataFrame, content: str, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """The same rows, dealt by size before Python works on them: a page larger than `task_bytes` has a task to itself, all
+    others go by hash to as many tasks as their bytes ask for. Two reads of the sizes, one shuffle of the pages.
+
+    Large pages are named by a hash of the row; there are at most as many as tasks. Equal large rows share a task.
+    Null content has no size; an empty table gives an empty one."""
+    size = F.coalesce(F.octet_length(content), F.lit(0)).cast("long")
+    marked = pages.select(F.struct("*").alias("row"), size.alias("size"), F.xxhash64(*pages.columns).alias("own"))
+    large = marked.where(F.col("size") > task_bytes).groupBy("own").agg(F.max("size").alias("size")).select("own")
+    places = sorted(r["own"] for r in large.collect())  # fewer than all bytes / task_bytes
+    light = marked.where(F.col("size") <= task_bytes).agg(F.sum("size")).first()[0] or 0
+    tasks = max(1, -(-light // task_bytes))
+    place = F.create_map(*[F.lit(x) for i, own in enumerate(places) for x in (own, i)])[F.col("own")] if places else F.lit(None).cast("int")
+    spread = F.lit(len(places)) + F.pmod(F.xxhash64("own", F.monotonically_increasing_id()), F.lit(tasks)).cast("int")
+    dealt = marked.withColumn("task", F.when(F.col("size") > task_bytes, place).otherwise(spread).cast("int"))
+    return dealt.repartitionById(len(places) + tasks, "task").select("row.*")

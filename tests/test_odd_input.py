@@ -100,3 +100,15 @@ def test_powers(spark, exponent):
     for base, prime in zip(reconcile.BASES, reconcile.PRIMES):
         for b in (base, pow(base, -1, prime)):
             assert spark.range(1).select(reconcile.power(b, prime, F.lit(exponent).cast("long"))).first()[0] == pow(b, exponent, prime)
+
+
+def test_a_huge_page_has_a_task_of_its_own(spark):
+    small = spark.range(10_000).select(F.col("id").cast("string").alias("url"), F.repeat(F.lit("x"), (F.col("id") % 3000).cast("int")).alias("html"))
+    huge = spark.range(1).select(F.lit("huge").alias("url"), F.repeat(F.lit("y"), 5_000_000).alias("html"))
+    none = spark.range(1).select(F.lit("none").alias("url"), F.lit(None).cast("string").alias("html"))
+    dealt = pages.packed(small.unionByName(huge).unionByName(none), "html", 1_000_000)
+    tasks = dealt.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.sum(F.length("html")).alias("bytes"), F.max("url").alias("url")).collect()
+    assert [(r["n"], r["url"]) for r in tasks if r["bytes"] >= 5_000_000] == [(1, "huge")]
+    rest = [r["bytes"] for r in tasks if r["bytes"] < 5_000_000]
+    assert len(rest) == 14 and max(rest) < 1.3 * sum(rest) / len(rest) and sum(r["n"] for r in tasks) == 10_002
+    assert pages.packed(small.where("false"), "html").count() == 0
