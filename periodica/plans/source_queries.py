@@ -22,8 +22,9 @@ def named(spark, sf_dir):
 
 @query("s4_s7_success_reports", f"WITH {O.series_sql()} SELECT issue, 'P' || publisher AS name, value FROM series WHERE publisher % 6 <> 0")
 def s4(spark, sf_dir):
-    texts = reports.report_text(named(spark, sf_dir)).where("successes IS NOT NULL")
-    lines = texts.select("issue", F.posexplode(F.split("successes", "\n")).alias("place", "line"))
+    path = scratch(spark)
+    reports.write_reports(reports.report_lines(named(spark, sf_dir)), path)
+    lines = reports.read_report_lines(spark, path).where("report = 'successes'")
     keyed = lines.withColumn("line", F.when(F.col("line").rlike("尾 P"), F.concat("line", F.lit("@"), "issue")).otherwise(F.col("line")))
     found = reports.success_lines(keyed)
     return found.select(F.substring_index("name", "@", -1).cast("int").alias("issue"), F.substring_index("name", "@", 1).alias("name"), "value")
@@ -31,8 +32,9 @@ def s4(spark, sf_dir):
 
 @query("s5_failure_blocks", f"WITH {O.series_sql()} SELECT 'P' || publisher AS name, 'https://p' || publisher || '.example/list' AS url, CASE WHEN publisher % 2 = 0 THEN 'bottom' ELSE 'top' END AS pick, issue, 'issue' AS stage, 'timeout ' || issue AS reason FROM series WHERE publisher % 6 = 0")
 def s5(spark, sf_dir):
-    texts = reports.report_text(named(spark, sf_dir)).where("failures IS NOT NULL").select(F.col("failures").alias("value"))
-    return reports.failure_blocks(texts).drop("place")
+    path = scratch(spark)
+    reports.write_reports(reports.report_lines(named(spark, sf_dir)), path)
+    return reports.failure_blocks(reports.read_report_blocks(spark, path).where("report = 'failures'")).drop("place")
 
 
 @query("s6_failure_lines", f"WITH {O.series_sql()} SELECT 'P ' || publisher AS name, CASE WHEN max(issue) % 4 = 0 THEN '失败原因为空' ELSE 'r' || max(issue) END AS reason FROM series GROUP BY publisher")

@@ -65,6 +65,35 @@ def report_text(results: DataFrame) -> DataFrame:
     return good.join(bad, "issue", "full")
 
 
+def report_lines(results: DataFrame) -> DataFrame:
+    """Issue, report (successes or failures), section, place, line: the reports of report_text as rows, blank lines too,
+    so that no cell holds a whole report. results: issue, idx, name, value, line."""
+    found = ranking.success_report(results).select("issue", F.lit("successes").alias("report"), (2 * F.col("section") - 1).alias("section"), "place", "line")
+    head = found.select("issue", "report").distinct().select("issue", "report", F.lit(2).alias("section"), F.explode(F.array(F.struct(F.lit(0).alias("place"), F.lit("").alias("line")), F.struct(F.lit(1).alias("place"), F.lit("内容 次数 排名").alias("line")))).alias("x"))
+    bad = results.where("value IS NULL").select("issue", F.lit("failures").alias("report"), F.lit(1).alias("section"), F.explode(F.array(F.struct((2 * F.col("idx")).alias("place"), "line"), F.struct((2 * F.col("idx") + 1).alias("place"), F.lit("").alias("line")))).alias("x"))
+    rows = [d.select("issue", "report", "section", F.col("x.place").cast("long").alias("place"), F.col("x.line").alias("line")) for d in (head, bad)]
+    return found.withColumn("place", F.col("place").cast("long")).unionByName(rows[0]).unionByName(rows[1])
+
+
+def write_reports(lines: DataFrame, path: str) -> None:
+    """A text file for each issue and report, its lines in their order."""
+    order = ["issue", "report", "section", "place"]
+    lines.repartition("issue", "report").sortWithinPartitions(*order).select("issue", "report", F.col("line").alias("value")).write.partitionBy("issue", "report").text(path)
+
+
+def read_report_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of text files by their place: file, start of the part that a task read, and number in it."""
+    rows = spark.read.text(path)
+    own = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"))
+    return rows.select(own.alias("place"), F.regexp_replace("value", "^\ufeff|\r", "").alias("line"), *[c for c in rows.columns if c != "value"])
+
+
+def read_report_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """The blocks of text files that blank lines separate, a row each, as failure_blocks takes them. Tasks read byte
+    ranges that end at a blank line."""
+    return spark.read.option("lineSep", "\n\n").text(path)
+
+
 def write_results(results: DataFrame, path: str) -> None:
     """Results by issue; a second run of an issue replaces its partition only."""
     results.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("issue").parquet(path)
