@@ -15,8 +15,9 @@
    signatures again prune pairs of different components, and the members that have a pair
    left get their full sets, from which the intersections of two blocks are counted at once.
    A task hands on members or spanning links, never pairs, and no candidate link between two
-   components is lost. A member of such a bucket goes to each of its blocks: what moves and is
-   compared there grows with the square of its members, divided by BLOCK for what moves.
+   components is lost. Members of the bucket's largest component aren't compared with each other
+   and go only to the blocks of the others: what moves and is compared grows with the members
+   where few stand outside of it, and as their square where a bucket has many components.
 6. Components of the links; one document of each stays.
 """
 
@@ -266,6 +267,25 @@ def intersections(hashes: np.ndarray, sizes: np.ndarray, width: int = 1024) -> n
     return common.astype(np.int64)
 
 
+def tiles(inside: DataFrame) -> DataFrame:
+    """bucket, left, right, band, block, node, root: members of buckets with several components, once for each pair of
+    blocks that they have to be compared in. inside: bucket, band, size, hashes, node, root.
+
+    Members of a bucket's largest component, which need no comparison with each other, have blocks of their own and go to
+    the blocks of the others only; these go to all. So what moves is members times the others' blocks, and
+    others times all blocks: in proportion to the members where few of them stand outside of the largest component."""
+    roots = inside.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    largest = roots.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1")
+    mixed = stored(largest.select("bucket", F.col("most.root").alias("largest"), F.col("most.n").alias("inner")), "near-mixed")
+    needed = lambda n: F.ceil(F.greatest(n / BLOCK, F.col("hashes") * (n / F.col("size")) / BLOCK_HASHES)).cast("int")
+    rows = inside.join(mixed, "bucket").withColumns({"own": F.col("root") == F.col("largest"), "inside": needed(F.col("inner")), "outside": needed(F.col("size") - F.col("inner"))})
+    order = F.xxhash64("node")
+    block = F.when(F.col("own"), F.col("outside") + F.pmod(order, F.col("inside"))).otherwise(F.pmod(order, F.col("outside")))
+    last = F.when(F.col("own"), F.col("outside") - 1).otherwise(F.col("outside") + F.col("inside") - 1)
+    placed = rows.withColumn("block", block.cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    return placed.select("bucket", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "band", "block", "node", "root")
+
+
 class Verifier:
     """Links among candidate pairs of classes; `texts` has rep (a document of the class) and text."""
 
@@ -303,13 +323,7 @@ class Verifier:
         inside = stored(
             members.join(found, "node", "left").select("bucket", "band", "size", "hashes", "node", F.coalesce("root", "node").alias("root")), "near-inside"
         )
-        mixed = inside.groupBy("bucket").agg((F.min("root") != F.max("root")).alias("mixed")).where("mixed").select("bucket")
-        blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("hashes") / BLOCK_HASHES)).cast("int")
-        rows = inside.join(stored(mixed, "near-mixed"), "bucket").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-        other = F.explode(F.sequence(F.lit(0), blocks - 1))
-        paired = rows.withColumn("other", other).select(
-            "bucket", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "band", "block", "node", "root"
-        )
+        paired = tiles(inside)
         signed = paired.join(self.classes.select("node", "signature"), "node")
         ordered = signed.select(*KEY, "band", "block", "node", "root", "signature").repartition(*KEY).sortWithinPartitions(*KEY)
         busy = stored(ordered.mapInArrow(screen(self.least), "bucket long, left int, right int, block int, node long, root long"), "near-busy")

@@ -208,6 +208,22 @@ def test_blocks_of_a_large_bucket_answer_for_every_pair(spark, monkeypatch):
     assert all(r["component_id"] == expected[r["doc_id"]][1] for r in near_dedup.near_groups(docs_of(spark, texts)).collect())
 
 
+def test_members_move_in_proportion_where_one_component_is_large(spark):
+    """Rows for 10,000 and for 40,000 members of a bucket, of which 60 stand outside of the largest component."""
+    moved = []
+    for n in (10_000, 40_000):
+        inside = spark.range(n).select(
+            F.lit(7).cast("long").alias("bucket"), F.lit(3).alias("band"), F.lit(n).cast("long").alias("size"), F.lit(40 * n).cast("long").alias("hashes"), F.col("id").alias("node"),
+            F.when(F.col("id") < 60, F.col("id")).otherwise(100).cast("long").alias("root"),
+        )
+        found = near_dedup.tiles(inside)
+        moved.append(found.count())
+        blocks = found.groupBy("left", "right").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).collect()
+        assert max(r["n"] for r in blocks) < 3 * near_dedup.BLOCK and all(r["low"] < 60 for r in blocks)
+        assert found.where("root < 60").select("node", "left", "right").distinct().count() == 60 * len(blocks)
+    assert moved[0] < 1.2 * 10_000 and moved[1] < 4.2 * moved[0]
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(150)] + [(500, 501), (7, 7)], "a long, b long")
     found = {r["node"]: r["root"] for r in components(links).collect()}
