@@ -127,7 +127,8 @@ def v13_changes(spark, sf_dir):
     own, targets = O.candidates(spark, sf_dir), O.targets(spark, sf_dir)
     p, late = F.col("publisher"), F.length("document") % 3 == 0
     off = F.when(p % 8 == 3, F.lit("9")).otherwise(F.col("value"))
-    flow = ChangeFlow(spark, scratch(spark), lambda rows: reconcile.decide(rows, targets.join(rows.select("publisher").distinct(), "publisher", "left_semi")))
+    decide = lambda rows: reconcile.decide(rows, targets.join(rows.select("publisher").distinct(), "publisher", "left_semi"))
+    flow = ChangeFlow(spark, scratch(spark), decide, 8)
     extra = own.where(p % 10 == 4).withColumns({"document": F.concat("document", F.lit("#old")), "value": F.lit("1")})
     flow.create(own.where(~((p % 5 == 1) & late)).withColumn("value", off).unionByName(extra))
     none = own.where(F.lit(False))
