@@ -76,3 +76,14 @@ def test_only_asked_parts_of_the_index_are_read(spark, tmp_path):
     plain = series.candidate_runs(few, frame.where("publisher != 7"))
     assert sorted(map(tuple, series.judged_runs(few, hits).collect())) == sorted(map(tuple, plain.collect()))
     assert index.hits(cells.where("false")).count() == 0
+
+
+def test_d1_takes_the_two_valued_series_of_all_publishers(spark, sf_dir):
+    from periodica.plans import catalog
+    from periodica.plans import observed as O
+
+    cells = {(r["publisher"], r["issue"]): r["value"] for r in O.series(spark, sf_dir, 2).collect()}
+    rows = [(p, i, cells.get((p, i), f"none of {p}")) for p in {p for p, _ in cells} for i in range(1, 31)]
+    found = catalog.QUERIES["d1_equal_runs"](spark, sf_dir)
+    pairs = {(r["a"], r["b"], r["length"], r["start"], r["end"]) for r in found.collect()}
+    assert pairs == loop(rows) and len(pairs) > 50
