@@ -85,8 +85,9 @@ def health_keys(publishers: DataFrame, old: DataFrame) -> DataFrame:
 
 
 def match_report(matches: DataFrame) -> DataFrame:
-    """Matches by level."""
-    return matches.groupBy("level").agg(F.count("*").alias("pairs"), F.max("length").alias("longest"))
+    """Matches by level. A row of counted_runs stands for its `pairs`, another for one."""
+    pairs = F.sum("pairs") if "pairs" in matches.columns else F.count("*")
+    return matches.groupBy("level").agg(pairs.alias("pairs"), F.max("length").alias("longest"))
 
 
 def ordered_matches(matches: DataFrame, series: DataFrame, publishers: DataFrame) -> DataFrame:

@@ -87,3 +87,26 @@ def test_d1_takes_the_two_valued_series_of_all_publishers(spark, sf_dir):
     found = catalog.QUERIES["d1_equal_runs"](spark, sf_dir)
     pairs = {(r["a"], r["b"], r["length"], r["start"], r["end"]) for r in found.collect()}
     assert pairs == loop(rows) and len(pairs) > 50
+
+
+def test_match_report_counts_copies_without_expanding_them(spark, sf_dir, tmp_path):
+    from periodica.operators import ranking
+    from periodica.plans import catalog
+    from periodica.plans import observed as O
+
+    rows = near_constant(30)
+    rows += [(100 + k, i, v) for k in range(5) for p, i, v in rows if p == k % 2]  # copies of 0 and 1
+    expected = {}
+    for a, b, length, *_ in loop(rows):
+        expected.setdefault("duplicate" if length >= 6 else "suspect", []).append(length)
+    frame = spark.createDataFrame(rows, SERIES)
+    for found in (series.counted_runs(frame), series.equal_runs(frame)):
+        assert {tuple(r) for r in ranking.match_report(found).collect()} == {(k, len(v), max(v)) for k, v in expected.items()}
+
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    copies = events.where("user_id < 4").withColumn("user_id", F.col("user_id") + 1_500).withColumn("event_id", F.col("event_id") + 100_000)
+    events.unionByName(copies).write.parquet(str(tmp_path / "events.parquet"))
+    alone, found = ({r["level"]: r["pairs"] for r in catalog.QUERIES["a9_match_report"](spark, d).collect()} for d in (sf_dir, str(tmp_path)))
+    every = series.equal_runs(O.series(spark, str(tmp_path), 2)).groupBy("level").count()
+    assert found == {r["level"]: r["count"] for r in every.collect()}
+    assert sum(found.values()) > sum(alone.values()) > 50
