@@ -10,8 +10,10 @@ inherits the label of its nearest decided neighbours (a heading that of what fol
 those inside a region and those outside each among themselves.
 
 Stop words are those known beforehand and the frequent short words of the pages of the
-same declared language, learnt from at most SAMPLE_PAGES pages that a hash of the url picks. Where long blocks without them outweigh the good ones, the
+same declared language, learnt from all of them. Where long blocks without them outweigh the good ones, the
 language or its spelling isn't known, and they count as good.
+
+Pages are parsed once: what may be text is written with the counts of its words, and labelled when the stop words are known.
 """
 
 from __future__ import annotations
@@ -75,9 +77,12 @@ LANGUAGE = re.compile(r"""\blang\s*=\s*["']?([a-z]{2,3})\b""", re.I)
 ENDS = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 # A word of at most SHORT_WORD letters is learnt if it is FREQUENT among the words of its language's pages and on LEAST_PAGES of them.
-SAMPLE_PAGES = 5_000
 SHORT_WORD, FREQUENT, LEAST_PAGES = 6, 1 / 250, 10
-COUNTS = "language string, word string, n long, pages long"
+# A page's blocks but for those that are out: their texts, a line each, and for each its link_chars and MARKS. Counts of words are
+# those of all pages that were parsed at once, in the row of the first one.
+MARKS = ("doubtful", "region", "heading", "paragraph")
+COUNTS = "languages array<string>, words array<string>, n array<long>, pages array<long>"
+PARSED = f"page_id long, url string, language string, text string, told array<long>, {COUNTS}"
 
 
 @dataclass
@@ -328,13 +333,14 @@ def main_text(page: str | None, learnt: dict[str, set[str]] | None = None) -> st
     return "\n".join(b.text for b in label(blocks(page), (learnt or {}).get(language_of(page), STOPS)))
 
 
-def short_words(pages: Iterator[str]) -> Iterator[tuple[str, str, int, int]]:
-    """COUNTS of the short words in long blocks that aren't links; under the empty word the number of all their words."""
+def short_words(pages: list[tuple[str, list[Block]]]) -> Iterator[tuple[str, str, int, int]]:
+    """(language, word, times, pages) of the short words in long blocks that aren't links, from languages and blocks of pages;
+    under the empty word the number of all their words."""
     counts: Counter[tuple[str, str]] = Counter()
     on_pages: Counter[tuple[str, str]] = Counter()
-    for page in pages:
-        language, own = language_of(page), Counter()
-        for b in blocks(page):
+    for language, found in pages:
+        own: Counter[str] = Counter()
+        for b in found:
             if not b.out and len(b.text) >= SHORT and b.link_chars <= FEW_LINKS * len(b.text):
                 words = words_of(b.text)
                 own.update(w for w in words if 0 < len(w) <= SHORT_WORD)
@@ -345,22 +351,42 @@ def short_words(pages: Iterator[str]) -> Iterator[tuple[str, str, int, int]]:
     return ((*key, n, on_pages[key]) for key, n in counts.items())
 
 
-def learn(pages: DataFrame) -> dict[str, set[str]]:
-    """The stop words of each language that pages declare (none counts as one), from `pages`: at most
-    1 / FREQUENT words a language, and languages are codes of two or three letters."""
+def as_told(block: Block) -> int:
+    return block.link_chars << len(MARKS) | sum(getattr(block, m) << i for i, m in enumerate(MARKS))
+
+
+def as_block(text: str, told: int) -> Block:
+    return Block(text=text, link_chars=told >> len(MARKS), **{m: bool(told >> i & 1) for i, m in enumerate(MARKS)})
+
+
+def parse(pages: DataFrame) -> DataFrame:
+    """PARSED: a row for each of `pages`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = list(short_words(h or "" for _, part in slices(batch.column(0)) for h in part))
-            if rows:
-                language, word, n, on_pages = map(list, zip(*rows))
+            for at, part in slices(batch.column(2)):
+                found = [(language_of(h or ""), [b for b in blocks(h or "") if not b.out]) for h in part]
+                counts = list(zip(*short_words(found))) or [()] * 4
+                first = lambda values, kind: pa.array([list(values), *[None] * (len(part) - 1)], pa.list_(kind))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(language, pa.string()), pa.array(word, pa.string()), pa.array(n, pa.int64()), pa.array(on_pages, pa.int64())],
-                    ["language", "word", "n", "pages"],
-                )
+                    [
+                        *[batch.column(i).slice(at, len(part)) for i in (0, 1)], pa.array([x for x, _ in found], pa.string()),
+                        pa.array(["\n".join(b.text for b in own) for _, own in found], pa.string()), pa.array([[as_told(b) for b in own] for _, own in found], pa.list_(pa.int64())),
+                        *[first(x, kind) for x, kind in zip(counts, (pa.string(), pa.string(), pa.int64(), pa.int64()))],
+                    ],
+                    [c.split()[0] for c in PARSED.split(", ")],
+                )
+
+    own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    return own.mapInArrow(run, PARSED)
+
 
-    counted = pages.select(F.col("html").cast("string").alias("html")).mapInArrow(run, COUNTS)
-    counts = stored(counted.groupBy("language", "word").agg(F.sum("n").alias("n"), F.sum("pages").alias("pages")), "page-words")
+def frequent_words(parsed: DataFrame) -> dict[str, set[str]]:
+    """The stop words of each language that pages declare (none counts as one), from all parsed pages: at most
+    1 / FREQUENT words a language, and languages are codes of two or three letters."""
+    each = parsed.where("words IS NOT NULL").select(F.explode(F.arrays_zip("languages", "words", "n", "pages")).alias("x"))
+    named = each.select(F.col("x.languages").alias("language"), F.col("x.words").alias("word"), "x.n", "x.pages")
+    counts = stored(named.groupBy("language", "word").agg(F.sum("n").alias("n"), F.sum("pages").alias("pages")), "page-words")
     totals = counts.where("word = ''").select("language", F.col("n").alias("total"))
     frequent = counts.join(F.broadcast(totals), "language").where(f"word != '' AND pages >= {LEAST_PAGES} AND n >= {FREQUENT} * total")
     found: dict[str, set[str]] = {}
@@ -369,24 +395,33 @@ def learn(pages: DataFrame) -> dict[str, set[str]]:
     return found
 
 
+def learn(pages: DataFrame) -> dict[str, set[str]]:
+    """The stop words of each language, from all of `pages`."""
+    return frequent_words(parse(pages))
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text for each row of `pages`.
 
     The text is empty if html is null, empty or has no article. A row's text depends on the
-    others only by the stop words learnt from the sample; repeated rows count each there,
+    others only by the stop words learnt from all of them; repeated rows count each there,
     null ids don't matter, an empty table gives an empty result, other columns are ignored.
     Very long pages are read whole, in time linear in their length.
     """
-    every = max(1, -(-pages.count() // SAMPLE_PAGES))  # pages for each that is learnt from; all, if they are few
-    learnt = {k: v | STOPS for k, v in learn(pages.where(F.pmod(F.xxhash64("url", "page_id"), F.lit(every)) == 0)).items()}
+    parsed = stored(parse(pages), "page-blocks")
+    learnt = {k: v | STOPS for k, v in frequent_words(parsed).items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pa.array([main_text(h, learnt) for _, part in slices(batch.column(2)) for h in part], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], ["page_id", "url", "text"])
-
-    own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    return own.mapInArrow(run, "page_id long, url string, text string")
+            texts = []
+            for at, part in slices(batch.column(3)):
+                languages, told = (batch.column(i).slice(at, len(part)).to_pylist() for i in (2, 4))
+                for language, lines, own in zip(languages, part, told):
+                    found = [as_block(*x) for x in zip(lines.split("\n"), own)]
+                    texts.append("\n".join(b.text for b in label(found, learnt.get(language, STOPS))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+
+    return parsed.select("page_id", "url", "language", "text", "told").mapInArrow(run, "page_id long, url string, text string")
 
 
 def op8_html_text(spark, sf_dir: str) -> DataFrame:

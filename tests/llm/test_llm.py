@@ -812,6 +812,30 @@ def test_stop_words_come_from_a_bounded_sample(spark, monkeypatch):
     assert 2 <= seen[0] <= 60
 
 
+def test_stop_words_come_from_all_pages(spark):
+    """Ten pages in 6,000 are in a language of their own, whose words only all ten together make known."""
+    menu = "".join(f'<li><a href="/{i}">Page number {i}</a></li>' for i in range(4))
+    rnd = random.Random(8)
+    long = lambda: "".join(rnd.choices("aeioklmnrst", k=9))
+    text = lambda: " ".join(rnd.choice(("zu", "ke", "mo")) if rnd.random() < 0.5 else long() for _ in range(60))
+    bare = [" ".join(long() for _ in range(12)) for _ in range(2)]  # the first of them goes where the language is known
+    page = lambda *texts: f'<html lang="xq"><body><ul>{menu}</ul><div>{"".join(f"<p>{t}</p>" for t in texts)}</div></body></html>'
+    rare = [[*bare, text(), text()] for _ in range(10)]
+    others = [f"<html lang='en'><body><p>{i}</p></body></html>" for i in range(5_990)]
+    pages = spark.createDataFrame([(i, f"u{i}", h) for i, h in enumerate([page(*texts) for texts in rare] + others)], "page_id long, url string, html string")
+    assert html_text.learn(pages) == {"xq": {"zu", "ke", "mo"}}
+    assert html_text.main_text(page(*rare[0])) == "\n".join(rare[0])
+    found = {r["page_id"]: r["text"] for r in html_text.extract(pages).where("page_id < 10").collect()}
+    assert found == {i: "\n".join(texts[1:]) for i, texts in enumerate(rare)}
+
+
+def test_blocks_are_labelled_as_on_their_page(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    learnt = {k: v | html_text.STOPS for k, v in html_text.learn(pages).items()}
+    expected = {r["page_id"]: html_text.main_text(r["html"], learnt) for r in pages.collect()}
+    assert {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()} == expected
+
+
 def test_pages_empty_clashing_and_null(spark):
     schema = "page_id long, url string, html string, text string, n_chars string, language string"
     pages = spark.createDataFrame([(1, "u", PAGE, "x", "y", "z"), (None, None, None, None, None, None)], schema)
