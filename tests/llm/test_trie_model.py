@@ -89,6 +89,15 @@ def test_frequent_words_are_split(spark, monkeypatch, hot):
     assert sum(r[6] for r in split) == pytest.approx(sum(r[6] for r in whole), rel=0.25)
 
 
+@pytest.mark.parametrize("hot", [2, 8, 60])
+def test_counts_are_whole_whatever_is_split(spark, monkeypatch, hot):
+    texts = corpus()
+    monkeypatch.setattr(T, "HOT", hot)
+    monkeypatch.setattr(T, "BLOCK_BYTES", 1500)
+    monkeypatch.setattr(T, "GRAM_SHARD", 300)
+    same(scored(T.score(docs_of(spark, texts).repartition(3))), brute(texts))
+
+
 def test_probabilities_sum_to_one():
     rng = np.random.default_rng(2)
     ids = T.FIRST_ID + np.arange(40)
