@@ -80,6 +80,12 @@ def unpack(packed: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8").astype(np.int64)
 
 
+def narrow(values: np.ndarray) -> np.ndarray:
+    """In the smallest unsigned type of up to 32 bits that holds them, else as they are."""
+    top = int(values.max(initial=0))
+    return values if top >> 32 else values.astype(np.min_scalar_type(top))
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A 64-bit hash of whole numbers."""
     x = values.astype(np.uint64)
@@ -229,17 +235,19 @@ class Trie:
 
     def __init__(self, before, w, p1, u, times=None, n_v=None, n_vw=None, n_uv=None):
         self.span = int(max(w.max(initial=0), u.max(initial=0))) + 1
-        none = np.zeros(len(w), np.int64)
+        none = np.zeros(len(w), np.uint8)
         times = none + 1 if times is None else times
         n_v, n_vw, n_uv = (none if n is None else n for n in (n_v, n_vw, n_uv))
         known = (times > 0) | (n_v > 0)
         before, w, p1, u, times, n_v, n_vw, n_uv = (x[known] for x in (before, w, p1, u, times, n_v, n_vw, n_uv))
         words, sizes, _, vi = self.counted(before, times, n_v)
+        del known, before, n_v
         at = np.flatnonzero((times > 0) | (n_vw > 0))
         pairs, pair_times, first, found = self.counted(vi[at] * self.span + w[at], times[at], n_vw[at])
         pair = np.zeros(len(w), np.int64)
         pair[at], first = found, at[first]
         p2 = (pair_times + K2 * p1[first]) / (sizes[vi[first]] + K2)
+        del p1, n_vw, found
         ends = np.searchsorted(pairs, np.arange(len(words) + 1) * self.span)
         at = np.flatnonzero((times > 0) | (n_uv > 0))
         contexts, context_times, _, found = self.counted(vi[at] * self.span + u[at], times[at], n_uv[at])
@@ -319,7 +327,8 @@ def as_message(key, w, q, u, doc, n_v, n_vw, n_uv, times) -> tuple[bytes, ...]:
 
 
 def from_message(*packed: bytes) -> tuple[np.ndarray, ...]:
-    keys, runs, step, q, u, doc, n_v, n_vw, n_uv, times = map(unpack, packed)
+    keys, runs, step = map(unpack, packed[:3])
+    q, u, doc, n_v, n_vw, n_uv, times = (narrow(unpack(x)) for x in packed[3:])
     key, w = from_runs(keys, runs, step)
     return key, w, q[np.unique(w, return_inverse=True)[1]], u, doc, np.repeat(n_v, runs), n_vw[np.cumsum(changes(key, w)) - 1], n_uv, times
 
@@ -465,11 +474,15 @@ def answer(table: pa.Table) -> pa.Table:
         messages = [from_message(*x) for x in zip(*[sent[c].to_pylist() for c in names(SENT)[3:13]])]
         sizes = np.array([len(m[0]) for m in messages])
         message = np.repeat(np.arange(len(sizes)), sizes)
-        key, w, q, u, doc, n_v, n_vw, n_uv, times = map(np.concatenate, zip(*messages))
+        columns = [list(x) for x in zip(*messages)]
         del messages
+        key, w, q, u, doc, n_v, n_vw, n_uv, times = (np.concatenate(columns.pop(0)) for _ in range(len(columns)))
         times = np.where(n_uv > 0, times, doc < sent["train_docs"].to_numpy()[message])
         p1 = 10.0 ** (q / -STEPS)
-        scores = Trie(key, w, p1, u, times, n_v, n_vw, n_uv).log10(key, w, p1, u)
+        trie = Trie(key, w, p1, u, times, n_v, n_vw, n_uv)
+        del q, times, n_v, n_vw, n_uv
+        scores = trie.log10(key, w, p1, u)
+        del trie, key, w, p1, u
         slot = message * (int(doc.max()) + 1) + doc
         slots, inverse = np.unique(slot, return_inverse=True)
         parts = np.bincount(inverse, scores, len(slots))
