@@ -291,12 +291,13 @@ def target_blocks(documents: DataFrame) -> DataFrame:
 
 
 def links(pages: DataFrame) -> DataFrame:
-    """Url, place, text, target, status of the anchors of pages (url, html), resolved against the page. A malformed
-    link has no target."""
+    """Url, place, text, target, status of the anchors of pages (url, html), resolved against the page, with the
+    pages' further columns. A malformed link has no target."""
     form = F.lit(r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>""")
     both = F.arrays_zip(F.regexp_extract_all("html", form, F.lit(1)).alias("href"), F.regexp_extract_all("html", form, F.lit(2)).alias("inner"))
-    rows = pages.select("url", F.posexplode(both).alias("place", "a"))
-    resolved = rows.select("url", "place", page_text(F.col("a.inner")).alias("text"), absolute_url("url", F.col("a.href")).alias("target"))
+    own = [c for c in pages.columns if c != "html"]
+    rows = pages.select(*own, F.posexplode(both).alias("place", "a"))
+    resolved = rows.select(*own, "place", page_text(F.col("a.inner")).alias("text"), absolute_url("url", F.col("a.href")).alias("target"))
     return resolved.withColumn("status", F.when(F.col("target").isNull(), "malformed link").otherwise("ok"))
 
 

@@ -29,6 +29,22 @@ def test_malformed_links_have_no_target(spark):
     assert {(r["url"], r["target"]) for r in extract.chosen_link(found, ["word"], True).collect()} == {("https://a.example/p", "https://a.example/ok")}
 
 
+def test_pages_of_one_url_keep_their_own_links(spark, tmp_path):
+    import duckdb
+
+    from periodica.plans import catalog
+
+    link = lambda h: f'<a href="/{h}">{h}</a>'
+    same = "https://a.example/p"
+    rows = [(1, same, link("one") + link("two")), (2, same, link("three")), (3, same, "none"), (4, "https://b.example/", link("one") * 2), (None, same, link("five"))]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    expected = con.sql(f"SELECT page_id, place, target FROM ({catalog.ORACLE_SQL['x25_links']})").fetchall()
+    assert sorted(map(tuple, catalog.QUERIES["x25_links"](spark, str(tmp_path)).select("page_id", "place", "target").collect())) == sorted(expected)
+    assert len(expected) == 5
+
+
 def deep(levels, inner):
     return '{"a":[' * (levels // 2) + inner + "]}" * (levels // 2)
 
