@@ -110,3 +110,32 @@ def test_match_report_counts_copies_without_expanding_them(spark, sf_dir, tmp_pa
     every = series.equal_runs(O.series(spark, str(tmp_path), 2)).groupBy("level").count()
     assert found == {r["level"]: r["count"] for r in every.collect()}
     assert sum(found.values()) > sum(alone.values()) > 50
+
+
+def by_sql(name, folder):
+    import duckdb
+
+    from periodica.plans import catalog
+
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{folder}/events.parquet/*.parquet'")
+    found = con.sql(catalog.ORACLE_SQL[name])
+    return list(found.columns), sorted(map(str, found.fetchall()))
+
+
+def with_copies(spark, sf_dir, folder):
+    """The events and those of publishers below 10 as four publishers more each."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    copies = events.where("user_id < 10").crossJoin(spark.range(1, 5).toDF("k")).withColumn("user_id", F.expr("user_id + 30 * k")).withColumn("event_id", F.expr("event_id + 100000 * k")).drop("k")
+    events.unionByName(copies).write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+def test_d1_gives_the_pairs_of_copies_too(spark, sf_dir, tmp_path):
+    from periodica.plans import catalog
+
+    folder = with_copies(spark, sf_dir, tmp_path)
+    names, expected = by_sql("d1_equal_runs", folder)
+    found = catalog.QUERIES["d1_equal_runs"](spark, folder).select(names).collect()
+    assert sorted(str(tuple(r)) for r in found) == expected
+    assert {(r["a"], r["b"]) for r in found} >= {(p, p + 30 * k) for p in range(10) for k in range(1, 5)}
