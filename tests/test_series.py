@@ -3,12 +3,14 @@
 import random
 from itertools import combinations
 
+import pytest
 from pyspark.sql import functions as F
 
-from periodica.operators import series
+from periodica.operators import overlap, series
 from periodica.sources.gram_index import GramIndex
 
 SERIES = "publisher long, issue int, value string"
+UNSHUFFLED = [("d1_equal_runs", None)]
 
 
 def near_constant(n=90, top=12):
@@ -139,3 +141,49 @@ def test_d1_gives_the_pairs_of_copies_too(spark, sf_dir, tmp_path):
     found = catalog.QUERIES["d1_equal_runs"](spark, folder).select(names).collect()
     assert sorted(str(tuple(r)) for r in found) == expected
     assert {(r["a"], r["b"]) for r in found} >= {(p, p + 30 * k) for p in range(10) for k in range(1, 5)}
+
+
+@pytest.mark.parametrize("name, by", UNSHUFFLED)
+def test_nothing_of_a_pair_is_shuffled(spark, sf_dir, name, by):
+    """Above the join of publishers there is no exchange, or only one of sums by another key."""
+    from periodica.plans import catalog
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("ShuffledHashJoin") == 1
+    above = plan[: plan.index("ShuffledHashJoin")]
+    assert "Window" not in above
+    if by:
+        assert f"HashAggregate(keys=[{by}" in above.split("Exchange")[-1]
+    else:
+        assert "Exchange hashpartitioning" not in above and "Union" not in above
+
+
+def random_series(publishers, issues, values, seed=3, kept=0.9):
+    """Series of which a third copy stretches of others, some cells missing."""
+    rnd = random.Random(seed)
+    cells = {p: {i: rnd.choice(values) for i in issues if rnd.random() < kept} for p in range(publishers)}
+    for p in range(0, publishers, 3):
+        first = rnd.randrange(len(issues))
+        cells[p] |= {i: v for i, v in cells[rnd.randrange(publishers)].items() if issues[first] <= i < issues[first] + 7}
+    return [(p, i, v) for p, own in cells.items() for i, v in own.items()]
+
+
+def test_runs_of_all_spans_and_values_equal_a_loop(spark, monkeypatch):
+    digits, many = [str(k) for k in range(10)], [f"v{k}" for k in range(3_000)]
+    cases = [(range(1, 31), ["0", "1"]), (range(40, 102), digits), (range(1, 64), ["0", "1"]), (range(1, 20), many), (range(5, 6), ["1"]), (range(-3, 9), ["1"])]
+    for issues, values in cases:
+        rows = random_series(24, issues, values)
+        frame = spark.createDataFrame(rows, SERIES)
+        assert (overlap.scale(frame, 3) is None) == (len(issues) > 62 or values is many)
+        cells = {(p, i): v for p, i, v in rows}
+        expected = loop([(p, i, cells.get((p, i), f"none of {p}")) for p in range(24) for i in issues])
+        monkeypatch.setattr(overlap, "TILE", 3)
+        found = series.equal_runs(frame)
+        assert {(r["a"], r["b"], r["length"], r["start"], r["end"]) for r in found.collect()} == expected
+        hard = found.where("level = 'duplicate' AND start > 3")
+        assert {(r["a"], r["b"]) for r in hard.collect()} == {(a, b) for a, b, length, start, _ in expected if length >= 6 and start > 3}
+    assert series.equal_runs(frame.where("false")).count() == 0
