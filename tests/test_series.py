@@ -10,7 +10,7 @@ from periodica.operators import overlap, series
 from periodica.sources.gram_index import GramIndex
 
 SERIES = "publisher long, issue int, value string"
-UNSHUFFLED = [("d1_equal_runs", None), ("a9_match_report", "level")]
+UNSHUFFLED = [("d1_equal_runs", None), ("a9_match_report", "level"), ("d2_candidate_runs", None)]
 
 
 def near_constant(n=90, top=12):
@@ -187,3 +187,12 @@ def test_runs_of_all_spans_and_values_equal_a_loop(spark, monkeypatch):
         hard = found.where("level = 'duplicate' AND start > 3")
         assert {(r["a"], r["b"]) for r in hard.collect()} == {(a, b) for a, b, length, start, _ in expected if length >= 6 and start > 3}
     assert series.equal_runs(frame.where("false")).count() == 0
+
+
+def test_missing_values_agree_with_none(spark):
+    rows = [(p, i, None if i in (3, 4, 5) else "1" if i != 9 else str(p)) for p in range(3) for i in range(1, 13)]
+    found = {(r["a"], r["b"], r["length"], r["start"], r["end"]) for r in series.equal_runs(spark.createDataFrame(rows, SERIES)).collect()}
+    assert found == {(a, b, 3, 12, 10) for a, b in combinations(range(3), 2)}
+    frame = spark.createDataFrame([(*r, False) for r in rows], SERIES + ", paired boolean").where("issue <= 10")
+    judged = series.candidate_runs(frame.where("publisher = 0"), frame.where("publisher != 0"))
+    assert {tuple(r)[1:] for r in judged.collect()} == {(p, "suspicion", 3, 8, 6) for p in (1, 2)}
