@@ -10,7 +10,7 @@ from periodica.operators import overlap, series
 from periodica.sources.gram_index import GramIndex
 
 SERIES = "publisher long, issue int, value string"
-UNSHUFFLED = [("d1_equal_runs", None), ("a9_match_report", "level"), ("d2_candidate_runs", None), ("d5_admission", "candidate")]
+UNSHUFFLED = [("d1_equal_runs", None), ("a9_match_report", "level"), ("d2_candidate_runs", None), ("d5_admission", "candidate"), ("d3_duplicates_and_suspicions", None)]
 
 
 def near_constant(n=90, top=12):
