@@ -10,7 +10,7 @@ from periodica.operators import overlap, series
 from periodica.sources.gram_index import GramIndex
 
 SERIES = "publisher long, issue int, value string"
-UNSHUFFLED = [("d1_equal_runs", None), ("a9_match_report", "level"), ("d2_candidate_runs", None), ("d5_admission", "candidate"), ("d3_duplicates_and_suspicions", None)]
+UNSHUFFLED = [("d1_equal_runs", None), ("a9_match_report", "level"), ("d2_candidate_runs", None), ("d5_admission", "candidate"), ("d3_duplicates_and_suspicions", None), ("d2_stored_index", None)]
 
 
 def near_constant(n=90, top=12):
@@ -196,3 +196,18 @@ def test_missing_values_agree_with_none(spark):
     frame = spark.createDataFrame([(*r, False) for r in rows], SERIES + ", paired boolean").where("issue <= 10")
     judged = series.candidate_runs(frame.where("publisher = 0"), frame.where("publisher != 0"))
     assert {tuple(r)[1:] for r in judged.collect()} == {(p, "suspicion", 3, 8, 6) for p in (1, 2)}
+
+
+def test_the_index_gives_the_runs_of_candidates(spark, tmp_path, monkeypatch):
+    frame = spark.createDataFrame(random_series(60, range(16, 26), ["0", "1", "2"]), SERIES).withColumn("paired", F.col("publisher") % 7 == 0)
+    index = GramIndex(spark, str(tmp_path / "index"), 16)
+    index.write(frame.where("publisher % 4 = 1"))
+    index.add(frame.where("publisher % 4 > 1"))
+    asked = frame.where("publisher % 4 = 0")
+    expected = series.judged_runs(asked, index.hits(series.class_grams(asked))).collect()
+    for tile in (1_000, 3):
+        monkeypatch.setattr(overlap, "TILE", tile)
+        assert sorted(map(tuple, index.runs(asked).collect())) == sorted(map(tuple, expected))
+        assert sorted(map(tuple, series.candidate_runs(asked, frame.where("publisher % 4 != 0")).collect())) == sorted(map(tuple, expected))
+    assert {r["kind"] for r in expected} >= {"duplicate", "suspicion"}
+    assert index.runs(asked.where("false")).count() == 0
